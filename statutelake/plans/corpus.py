@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statutelake.functions.numerals import int_to_numeral
-
 PRC = "中华人民共和国"
 TOPICS = [
     "合同", "公司", "专利", "商标", "保险", "税收", "银行", "证券", "劳动", "就业促进",
@@ -44,6 +42,15 @@ def _pick(words: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), (index + 1).cast("int"))
 
 
+_ONES = ["", "一", "二", "三", "四", "五", "六", "七", "八", "九"]
+NUMERALS = [(["", "十"] + [d + "十" for d in _ONES[2:]])[i // 10] + _ONES[i % 10] for i in range(1, 100)]
+
+
+def _numeral(n: Column) -> Column:
+    """Numeral of 1..99 by lookup; the general form is functions.numerals."""
+    return _pick(NUMERALS, n - 1)
+
+
 def _stem(n: Column) -> Column:
     return F.translate(n.cast("string"), "0123456789", STEMS)
 
@@ -116,8 +123,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item; the reading order is a unique key inside a law."""
     order, line, supp, qty = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_quantity").cast("int")
     num = (order % 60 + 1).cast("int")
-    label = F.when((line == 7) & (qty == 1), "").otherwise(F.concat(F.lit("第"), int_to_numeral(num), F.lit("条")))
-    cited, target = supp * 10 + line % 5, int_to_numeral((order * 7 + supp) % 60 + 1)
+    label = F.when((line == 7) & (qty == 1), "").otherwise(F.concat(F.lit("第"), _numeral(num), F.lit("条")))
+    cited, target = supp * 10 + line % 5, _numeral((order * 7 + supp) % 60 + 1)
     content = F.concat(
         label,
         F.lit("　"),
@@ -125,7 +132,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 4 == 2, F.concat(F.lit("参照"), short_title(cited), F.lit("第"), target, F.lit("条，"))).otherwise(""),
         _pick(WORDS, supp % len(WORDS)),
         F.lit("的当事人应当在"), qty, F.lit("日内承担"), _pick(WORDS, (order + line) % len(WORDS)), F.lit("。"),
-        F.when(qty % 3 == 0, F.concat(F.lit("本法第"), int_to_numeral(qty), F.lit("条规定的情形除外。"))).otherwise(""),
+        F.when(qty % 3 == 0, F.concat(F.lit("本法第"), _numeral(qty), F.lit("条规定的情形除外。"))).otherwise(""),
         F.when(line % 3 == 0, F.lit("\n（一）申请人；\n（二）被申请人。")).otherwise(""),
         F.when(supp % 20 == 0, F.lit("－PAGE  2－")).when(supp % 20 == 1, F.lit("自l月起，HYPERLINK \"x\" 适用GDP标准ABC。")).otherwise(""),
     )
@@ -165,8 +172,8 @@ def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_chapter = F.col("section_num") == 0
     title = F.when(
         is_chapter,
-        F.concat(F.lit("第"), int_to_numeral(F.col("chapter_num")), F.lit("章　"), _pick(["总则", "合同与责任", "附则"], F.col("chapter_num") - 1)),
-    ).otherwise(F.concat(F.lit("第"), int_to_numeral(F.col("section_num")), F.lit("节　"), _pick(["一般规定", "特别规定"], F.greatest(F.col("section_num") - 1, F.lit(0)))))
+        F.concat(F.lit("第"), _numeral(F.col("chapter_num")), F.lit("章　"), _pick(["总则", "合同与责任", "附则"], F.col("chapter_num") - 1)),
+    ).otherwise(F.concat(F.lit("第"), _numeral(F.col("section_num")), F.lit("节　"), _pick(["一般规定", "特别规定"], F.greatest(F.col("section_num") - 1, F.lit(0)))))
     return both.select(
         "law_id",
         F.when(is_chapter, "chapter").otherwise("section").alias("type"),
@@ -191,7 +198,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(F.col("o_orderstatus") == "F", "judgment").when(F.col("o_orderstatus") == "O", "guiding").otherwise("court")
 
     def cite(n: Column, prefix: str, number: Column) -> Column:
-        return F.concat(F.lit(f"《{prefix}"), short_title(n), F.lit("》第"), int_to_numeral(number), F.lit("条"))
+        return F.concat(F.lit(f"《{prefix}"), short_title(n), F.lit("》第"), _numeral(number), F.lit("条"))
 
     first = F.expr("o_custkey div 15") * 10 + key % 5
     second = F.expr("o_custkey div 15") * 10 + F.expr("o_orderkey div 5") % 5

@@ -11,6 +11,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Longer generated methods are not compiled by the JVM's JIT.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -29,6 +31,7 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in ADAPTIVE.items():
         builder = builder.config(key, value)
