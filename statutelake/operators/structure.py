@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from statutelake.functions.numerals import numeral_to_int
 from statutelake.functions.text import clean_article, strip
+from statutelake.operators.lineage import materialize
 from statutelake.operators.ordered import rank_by_segment
 
 # The heading grammar.
@@ -98,9 +99,10 @@ def segment(lines: DataFrame, span: int, grammar: dict[str, str] = GRAMMAR) -> D
 
     Columns: doc, article_line, label, content, part_line, chapter_line,
     section_line. The carried values are line numbers, which rise, so the end
-    of a segment is a plain maximum.
+    of a segment is a plain maximum. The classified lines are written once: the
+    steps that look for headings then scan only the few lines of their kind.
     """
-    marked = classify_lines(lines, grammar)
+    marked = materialize(classify_lines(lines, grammar))
     facts = marked.groupBy("doc").agg(F.max((F.col("kind") == "article").cast("int")).alias("has_articles"))
     numbered = (F.col("kind") == "numbered") & (F.col("has_articles") == 0)
     body = drop_toc_headings(drop_toc_block(marked)).join(facts, "doc")
@@ -148,9 +150,9 @@ def whole_text_fallback(lines: DataFrame, articles: DataFrame) -> DataFrame:
 def number_nodes(articles: DataFrame, span: int) -> DataFrame:
     """E5: sibling order and depth-first order of articles and their headings."""
     seg = F.expr(f"line_no div {span}")
-    rows = articles.select(
+    rows = materialize(articles.select(
         "doc", F.col("article_line").alias("line_no"), F.lit("article").alias("type"), "part_line", "chapter_line", "section_line"
-    )
+    ))
     none = F.lit(None).cast("bigint")
     chapters = rows.filter("chapter_line IS NOT NULL").select("doc", "part_line", "chapter_line").distinct().select(
         "doc", F.col("chapter_line").alias("line_no"), F.lit("chapter").alias("type"), "part_line", none.alias("chapter_line"), none.alias("section_line"))

@@ -30,7 +30,7 @@ LAY_WORDS = [
 ]
 STEMS = "甲乙丙丁戊己庚辛壬癸"
 CHAPTER_BIT = 400_000_000_000_000_000  # chapter and section part of global_order
-ORDER_STEP = 100_000                   # room for the supplier inside one line
+ORDER_STEP = 100_000                   # room for the supplier and for the text lines of one article
 SEGMENT = 8 * 4096 * ORDER_STEP        # reading-order span handled by one task group
 
 
@@ -144,7 +144,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(supp % 25 == 3, F.lit(" See 《X》第三条。")).otherwise(""),
         ),
     )
-    seq = (order * 8 + line) * ORDER_STEP + supp % ORDER_STEP
+    seq = (order * 8 + line) * ORDER_STEP + supp % (ORDER_STEP // 5) * 5
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("law_id"),
         F.lit("article").alias("type"),
@@ -249,6 +249,17 @@ def question_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def law_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The laws as text: (doc, line_no, text), trimmed and non-empty."""
+    parts = F.split("content", "\n")
+    rows = nodes(spark, sf_dir).select("law_id", "global_order", F.posexplode(parts).alias("pos", "raw"))
+    return rows.select(
+        F.col("law_id").alias("doc"),
+        (F.col("global_order") + F.col("pos")).alias("line_no"),
+        F.regexp_replace("raw", r"(?U)^\s+|\s+$", "").alias("text"),
+    ).filter(F.col("text") != "")
+
+
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trimmed, non-empty, numbered lines of the documents."""
     return (

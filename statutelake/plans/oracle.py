@@ -94,7 +94,7 @@ cte(
   CASE WHEN l_linenumber % 5 <> 0 THEN 'Article ' || (l_orderkey % 60 + 1) || ' The party shall pay within ' || (l_quantity::INT)
    || ' days. If the amount exceeds the limit, the people court ' || CASE WHEN l_suppkey % 4 = 0 THEN 'will' ELSE 'may' END || ' decide the case.'
    || CASE WHEN l_suppkey % 25 = 3 THEN ' See 《X》第三条。' ELSE '' END END AS content_en,
-  ({_CH} * 4 + {_SE}) * {CHAPTER_BIT} + (l_orderkey * 8 + l_linenumber) * {ORDER_STEP} + l_suppkey % {ORDER_STEP} AS global_order
+  ({_CH} * 4 + {_SE}) * {CHAPTER_BIT} + (l_orderkey * 8 + l_linenumber) * {ORDER_STEP} + l_suppkey % {ORDER_STEP // 5} * 5 AS global_order
 FROM lineitem""",
 )
 cte(
@@ -107,6 +107,13 @@ cte(
   (ch * 4 + se) * {CHAPTER_BIT} AS global_order
 FROM (SELECT DISTINCT l_partkey AS law_id, {_CH} AS ch, unnest([0, {_SE}]) AS se FROM lineitem)""",
 )
+cte(
+    "law_lines",
+    """SELECT law_id AS doc, global_order + pos - 1 AS line_no, trim(raw, ' 　') AS text FROM (
+  SELECT law_id, global_order, unnest(string_split(content, chr(10))) AS raw, generate_subscripts(string_split(content, chr(10)), 1) AS pos FROM nodes)
+ WHERE trim(raw, ' 　') <> ''""",
+    "nodes",
+)
 cte("nodes", "SELECT * FROM articles UNION ALL SELECT * FROM headings", "articles", "headings")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statutelake.operators import citations as cit
 from statutelake.plans import corpus
-from statutelake.plans.oracle import NUM, cte, sql
+from statutelake.plans.oracle import NUM, NUMERALS, cte, sql
 from statutelake.plans.registry import query
 
 PRC = corpus.PRC
@@ -85,7 +85,7 @@ cte(
 cte(
     "case_cites",
     f"""SELECT doc_key, i AS pos, m[i] AS raw_ref, regexp_extract(m[i], '《([^》]{{2,30}})》第({NUM})条', 1) AS title,
-      list_position({__import__('statutelake.plans.oracle', fromlist=['NUMERALS']).NUMERALS}, regexp_extract(m[i], '《([^》]{{2,30}})》第({NUM})条', 2)) AS article_num
+      list_position({NUMERALS}, regexp_extract(m[i], '《([^》]{{2,30}})》第({NUM})条', 2)) AS article_num
     FROM (SELECT doc_key, regexp_extract_all(full_text, '《([^》]{{2,30}})》第({NUM})条') AS m, generate_subscripts(regexp_extract_all(full_text, '《([^》]{{2,30}})》第({NUM})条'), 1) AS i FROM cases)""",
     "cases",
 )
