@@ -7,8 +7,6 @@ titles, aliases) are joined.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +18,11 @@ Rules = list[tuple[str, list[str]]]
 
 
 def any_of(text: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w))
 
 
 def hits(text: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words])
+    return F.size(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w)))
 
 
 def first_match(text: Column, rules: Rules, default: str | None) -> Column:
