@@ -37,22 +37,26 @@ def phrase_match(terms: DataFrame, postings: DataFrame, keys: list[str]) -> Data
 def match_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame, sizes: tuple[int, ...] = (3,)) -> DataFrame:
     """(term, keys) for every text that contains a term.
 
-    Each term has one anchor gram (its first characters). Texts meet terms by
-    an equi join on grams and are then verified. If the terms are few (counted)
-    their anchors are broadcast and nothing is shuffled; otherwise only keys
-    travel with the grams and the text is joined back for the verification.
+    Each text position gives one short window, as long as the longest term; it
+    meets the terms by an equi join on its first characters and is verified
+    against the whole term. Whole texts are covered, yet no text is copied or
+    shuffled. Terms are counted first: only a table of at most
+    ``BROADCAST_TERMS`` rows is broadcast, a larger one is joined by shuffle.
     """
     anchored = terms.select("term").distinct().withColumn("size", F.least(F.length("term"), F.lit(3))).filter(
         F.col("size").isin(*sizes)
-    ).withColumn("gram", F.expr("substring(lower(term), 1, size)"))
-    folded = texts.select(*keys, F.lower(text).alias("_text"))
-    grams = F.array_distinct(F.concat(*[ngrams(F.col("_text"), n) for n in sizes]))
-    contains = F.contains(F.col("_text"), F.lower("term"))
-    if anchored.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        exploded = folded.select(*keys, "_text", F.explode(grams).alias("gram"))
-        return exploded.join(F.broadcast(anchored), "gram").filter(contains).select("term", *keys)
-    candidates = folded.select(*keys, F.explode(grams).alias("gram")).join(anchored, "gram").select("term", *keys)
-    return candidates.join(folded, keys).filter(contains).select("term", *keys)
+    ).withColumn("folded", F.lower("term")).withColumn("gram", F.expr("substring(folded, 1, size)"))
+    facts = anchored.agg(F.count("*").alias("n"), F.max(F.length("folded")).alias("longest")).first()
+    width = facts["longest"] or 1
+    body = F.lower(text)
+    starts = F.sequence(F.lit(1), F.greatest(F.length(body), F.lit(1)))
+    windows = texts.select(*keys, F.explode(F.transform(starts, lambda i: F.substring(body, i, F.lit(width)))).alias("window"))
+    grams = [F.when(F.length("window") >= n, F.substring("window", 1, n)) for n in sizes]
+    keyed = windows.select(*keys, "window", grams[0].alias("gram")) if len(sizes) == 1 else windows.select(
+        *keys, "window", F.explode(F.array(*grams)).alias("gram"))
+    small = facts["n"] <= BROADCAST_TERMS
+    joined = keyed.join(F.broadcast(anchored) if small else anchored, "gram")
+    return joined.filter(F.startswith("window", F.col("folded"))).select("term", *keys).distinct()
 
 
 def search_docs(docs: DataFrame, key: str, columns: list[str], terms: DataFrame, sizes: tuple[int, ...] = (2, 3)) -> DataFrame:
@@ -188,8 +192,8 @@ def context_text(context: DataFrame, articles: DataFrame, laws: DataFrame, limit
 
 def validate_terms(pairs: DataFrame, hits: DataFrame) -> DataFrame:
     """Alias pairs whose target occurs, with its count."""
-    counts = hits.groupBy("term").agg(F.count("*").alias("hits"))
-    return pairs.join(counts, pairs["target"] == counts["term"]).select("source", "target", "hits")
+    counts = hits.groupBy(F.col("term").alias("target")).agg(F.count("*").alias("hits"))
+    return pairs.select("source", "target").join(counts, "target")
 
 
 def validate_hints(hints: DataFrame, laws: DataFrame) -> DataFrame:
