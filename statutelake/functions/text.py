@@ -103,10 +103,17 @@ def cjk_count(text: Column) -> Column:
     return F.length(F.regexp_replace(text, f"[^{CJK}]", ""))
 
 
+def windows(text: Column, width: int) -> Column:
+    """Up to ``width`` characters from every position, in one linear pass.
+
+    ``substring`` would count from the start of the text at each position.
+    """
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{width}}}))."), F.lit(1))
+
+
 def ngrams(text: Column, n: int) -> Column:
     """Character n-grams, empty for shorter texts."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, grams).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
 
 
 def keyword_list(text: Column) -> Column:

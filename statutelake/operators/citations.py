@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statutelake.functions.numerals import NUMERAL, NUMERAL_ANY, numeral_to_int
+from statutelake.functions.text import ngrams
 from statutelake.operators.lineage import materialize
 from statutelake.operators.ordered import top_per_group
 
@@ -438,9 +439,7 @@ def find_by_fragment(refs: DataFrame, laws: DataFrame, articles: DataFrame) -> D
     titles = laws.filter(F.col("is_current") == 1).select("title").distinct()
     grams = titles.filter(F.length("title") >= 3).select(
         "title",
-        F.explode(
-            F.array_distinct(F.expr("transform(sequence(1, length(title) - 2), i -> substring(title, i, 3))"))
-        ).alias("gram"),
+        F.explode(F.array_distinct(ngrams(F.col("title"), 3))).alias("gram"),
     )
     matches = frags.join(grams, "gram").filter(F.col("title").contains(F.col("fragment"))).select("fragment", "title")
     current = laws.filter(F.col("is_current") == 1).select(F.col("id").alias("law_id"), "title")

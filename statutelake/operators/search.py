@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statutelake.functions.text import cjk_count, ngrams
+from statutelake.functions.text import cjk_count, ngrams, windows
 from statutelake.operators.ordered import top_per_group
 
 BROADCAST_TERMS = 100_000
@@ -48,11 +48,9 @@ def match_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame,
     ).withColumn("folded", F.lower("term")).withColumn("gram", F.expr("substring(folded, 1, size)"))
     facts = anchored.agg(F.count("*").alias("n"), F.max(F.length("folded")).alias("longest")).first()
     width = facts["longest"] or 1
-    body = F.lower(text)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(body), F.lit(1)))
-    windows = texts.select(*keys, F.explode(F.transform(starts, lambda i: F.substring(body, i, F.lit(width)))).alias("window"))
+    cut = texts.select(*keys, F.explode(windows(F.lower(text), width)).alias("window"))
     grams = [F.when(F.length("window") >= n, F.substring("window", 1, n)) for n in sizes]
-    keyed = windows.select(*keys, "window", grams[0].alias("gram")) if len(sizes) == 1 else windows.select(
+    keyed = cut.select(*keys, "window", grams[0].alias("gram")) if len(sizes) == 1 else cut.select(
         *keys, "window", F.explode(F.array(*grams)).alias("gram"))
     small = facts["n"] <= BROADCAST_TERMS
     joined = keyed.join(F.broadcast(anchored) if small else anchored, "gram")

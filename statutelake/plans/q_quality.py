@@ -156,7 +156,7 @@ _BASE = "CASE category " + " ".join(f"WHEN '{k}' THEN {v[0]}" for k, v in _RANGE
 cte("assigned", f"""SELECT title || '#' || id AS filename, category, pub_date, {_BASE} + row_number() OVER (PARTITION BY category, pub_date < '2015-01-01' ORDER BY pub_date, title || '#' || id)
     + CASE WHEN pub_date < '2015-01-01' THEN -1 ELSE (SELECT count(*) FROM laws x WHERE x.category = laws.category AND x.pub_date < '2015-01-01') - 1 END AS id FROM laws""", "laws")
 query("e1_assign_ids", sql("SELECT filename, category, pub_date, CAST(id AS BIGINT) AS id FROM assigned", "assigned"))(
-    lambda s, d: (lambda f: ident.assign_ids(f, ident.assign_ids(f.filter("pub_date < '2015-01-01'"), f.limit(0).select("filename", "category", "id"), _RANGES), _RANGES))(files(s, d).drop("id").join(files(s, d).select("filename", "id"), "filename").select("filename", "category", "pub_date", "id")))
+    lambda s, d: (lambda f: ident.assign_ids(f, ident.assign_ids(f.filter("pub_date < '2015-01-01'"), files(s, d).filter("false"), _RANGES), _RANGES))(files(s, d).drop("id")))
 query("m1_changed_files", sql(
     """SELECT doc_id AS path, CASE WHEN NOT (lang IN ('en', 'de', 'fr')) THEN 'removed' WHEN source IN ('src0', 'src1') THEN 'new' WHEN n_chars > 2000 THEN 'modified' ELSE 'no_output' END AS change FROM documents
        WHERE (lang IN ('en', 'de', 'fr') AND (source IN ('src0', 'src1') OR n_chars > 2000 OR n_chars < 300)) OR (NOT (lang IN ('en', 'de', 'fr')) AND NOT (source IN ('src0', 'src1')))"""))(
