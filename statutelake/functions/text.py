@@ -103,12 +103,14 @@ def cjk_count(text: Column) -> Column:
     return F.length(F.regexp_replace(text, f"[^{CJK}]", ""))
 
 
-def windows(text: Column, width: int) -> Column:
+def windows(text: Column, width: int, initials: list[str] | None = None) -> Column:
     """Up to ``width`` characters from every position, in one linear pass.
 
-    ``substring`` would count from the start of the text at each position.
+    ``substring`` would count from the start of the text at each position. With
+    ``initials`` only positions that hold one of these characters count.
     """
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{width}}}))."), F.lit(1))
+    first = "." if initials is None else "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in initials) + "]"
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=({first}.{{0,{width - 1}}})){first}"), F.lit(1))
 
 
 def ngrams(text: Column, n: int) -> Column:

@@ -13,6 +13,7 @@ from statutelake.functions.text import cjk_count, ngrams, windows
 from statutelake.operators.ordered import top_per_group
 
 BROADCAST_TERMS = 100_000
+MAX_INITIALS = 2_000  # first characters of terms; bounded by the alphabet
 LAW_CATEGORIES = ["法律", "宪法", "修正案", "法律解释", "监察法规"]
 INTERPRETATIONS = ["司法解释"]
 NODE = ["law_id", "global_order"]
@@ -40,15 +41,17 @@ def match_terms(texts: DataFrame, keys: list[str], text: str, terms: DataFrame,
     Each text position gives one short window, as long as the longest term; it
     meets the terms by an equi join on its first characters and is verified
     against the whole term. Whole texts are covered, yet no text is copied or
-    shuffled. Terms are counted first: only a table of at most
+    shuffled. Positions that no term starts with are skipped inside the regular
+    expression. Terms are counted first: only a table of at most
     ``BROADCAST_TERMS`` rows is broadcast, a larger one is joined by shuffle.
     """
     anchored = terms.select("term").distinct().withColumn("size", F.least(F.length("term"), F.lit(3))).filter(
         F.col("size").isin(*sizes)
     ).withColumn("folded", F.lower("term")).withColumn("gram", F.expr("substring(folded, 1, size)"))
-    facts = anchored.agg(F.count("*").alias("n"), F.max(F.length("folded")).alias("longest")).first()
+    facts = anchored.agg(F.count("*").alias("n"), F.max(F.length("folded")).alias("longest"), F.collect_set(F.substring("folded", 1, 1)).alias("initials")).first()
     width = facts["longest"] or 1
-    cut = texts.select(*keys, F.explode(windows(F.lower(text), width)).alias("window"))
+    initials = sorted(facts["initials"]) if 0 < len(facts["initials"]) <= MAX_INITIALS else None
+    cut = texts.select(*keys, F.explode(windows(F.lower(text), width, initials)).alias("window"))
     grams = [F.when(F.length("window") >= n, F.substring("window", 1, n)) for n in sizes]
     keyed = cut.select(*keys, "window", grams[0].alias("gram")) if len(sizes) == 1 else cut.select(
         *keys, "window", F.explode(F.array(*grams)).alias("gram"))

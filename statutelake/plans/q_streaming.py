@@ -24,7 +24,7 @@ def _folder(spark) -> str:
 
 
 def _events(s, d):
-    return inc.read_stream(s, d, T(s, d, "events").schema, glob="events.parquet")
+    return inc.read_stream(s, d, T(s, d, "events").schema, glob="events.parquet").withColumn("ts", c("ts").cast("timestamp"))
 
 
 def _to_table(stream, s, mode: str):

@@ -18,12 +18,16 @@ def _stem() -> Column:
 
 
 def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One document per file; an unreadable file is skipped, not fatal."""
+    """One document per file; an unreadable file is skipped, not fatal.
+
+    A file that parses but has a value of another type keeps its other fields.
+    """
     raw = (
         spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json").json(path)
     )
-    return raw.withColumn("stem", _stem()).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    readable = F.col("_corrupt_record").isNull() | F.coalesce(*[F.col(c).cast("string") for c in ("title", "title_en", "doc_key", "law_id") if c in raw.columns]).isNotNull()
+    return raw.withColumn("stem", _stem()).filter(readable).drop("_corrupt_record")
 
 
 def read_statutes(spark: SparkSession, path: str) -> DataFrame:
