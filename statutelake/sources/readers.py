@@ -59,7 +59,7 @@ def read_gazette_translations(spark: SparkSession, path: str) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """A5: text files as numbered, trimmed, non-empty lines."""
-    whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path)
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     lines = whole.select(_stem().alias("doc"), F.posexplode(F.split("value", "\r\n|[\n\r]")).alias("line_no", "raw"))
     return lines.select("doc", F.col("line_no").cast("bigint").alias("line_no"), strip(F.col("raw")).alias("text")).filter(F.col("text") != "")
 
