@@ -38,6 +38,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for a small input that was read in few splits.
+
+    Only the planned split count is looked at. An input with enough splits, as
+    any large one has, is left alone and is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(words: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), (index + 1).cast("int"))
 
@@ -145,7 +155,10 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     seq = (order * 8 + line) * ORDER_STEP + supp % (ORDER_STEP // 5) * 5
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
+    )
+    return spread(lines).select(
         F.col("l_partkey").alias("law_id"),
         F.lit("article").alias("type"),
         F.lit(None).cast("int").alias("part_num"),

@@ -237,3 +237,22 @@ query("c10_find_by_fragment", sql(
        JOIN frag_refs r ON r.fragment = m.fragment JOIN articles a ON a.law_id = m.id AND a.article_number = r.label) WHERE rn = 1""", "frag_refs", "laws", "articles"))(
     lambda s, d: cit.find_by_fragment(refs(s, d), L(s, d), A(s, d)))
 query("j7_expand_hits")(lambda s, d: cit.expand_hits(materialize(se.context_topk(layered(s, d), 5).select("q_id", "law_id", "global_order")), A(s, d), L(s, d)))
+
+
+_F1 = corpus.WORDS + corpus.TOPICS
+
+
+def overlapping(s, d):
+    """Dictionary words at their first place in an article."""
+    found = F.filter(F.transform(F.array(*[F.lit(w) for w in _F1]), lambda w: F.struct(F.instr("content", w).alias("start"), w.alias("title"))), lambda x: x["start"] > 0)
+    return A(s, d).select(F.concat_ws(":", "law_id", "global_order").alias("doc"), F.inline(found))
+
+
+query("f1_longest_match", sql(
+    f"""SELECT doc, start, title FROM (SELECT *, row_number() OVER (PARTITION BY doc, start ORDER BY length(title) DESC, title) AS rn FROM (
+        SELECT law_id || ':' || global_order AS doc, CAST(instr(content, w) AS INT) AS start, w AS title FROM articles JOIN (SELECT unnest({words(_F1)}) AS w) ON contains(content, w))) WHERE rn = 1""", "articles"))(
+    lambda s, d: cit.longest_per_run(overlapping(s, d)))
+query("j4_context_alias", sql(
+    "SELECT p_partkey, CASE WHEN p_size > 25 THEN '中华人民共和国合同法' END AS full_title FROM part"))(
+    lambda s, d: T(s, d, "part").select("p_partkey", cit.context_alias(
+        F.concat(F.when(c("p_size") > 25, F.lit("关于审理商品房买卖合同")).otherwise(F.lit("关于审理")), "p_name"), F.lit("合同法")).alias("full_title")))
