@@ -70,19 +70,27 @@ query("g10_ruling_gist", sql("SELECT doc_key, regexp_extract(full_text, '【裁
     lambda s, d: D(s, d).select("doc_key", tx.ruling_gist(c("full_text")).alias("gist")))
 query("g11_keywords", sql("SELECT doc_key, regexp_extract(full_text, '【关键词】([^\\n]*)\\n', 1) AS marked FROM cases", "cases"))(
     lambda s, d: D(s, d).select("doc_key", tx.marked_keywords(c("full_text")).alias("marked")))
-query("g11_inferred_keywords", sql(
-    f"""SELECT doc_key, array_to_string(list_distinct_ordered[1:8], '、') AS words FROM (SELECT doc_key,
-        list_filter(k, lambda x, i: list_position(k, x) = i) AS list_distinct_ordered FROM (SELECT doc_key,
-        list_concat(list_filter({"['" + "','".join(tx.KEYWORDS) + "']"}, lambda w: contains(title || ' ' || ruling_gist || ' ' || full_text[1:800], w)),
-          regexp_extract_all(title, '[一-龥]{{2,10}}(?:纠纷|争议|案件)')) AS k FROM cases))""", "cases"))(
+_GIST = "CASE WHEN ruling_gist <> '' THEN ruling_gist ELSE regexp_extract(full_text, '【裁判要点】([^。]*。)', 1) END"
+
+
+def _inferred(gist: str) -> str:
+    """Dictionary words in order, then dispute names, each once, eight at most."""
+    known = "['" + "','".join(tx.KEYWORDS) + "']"
+    return f"""SELECT doc_key, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i)[1:8], '、') AS words FROM (SELECT doc_key,
+        list_concat(list_filter({known}, lambda w: contains(title || ' ' || {gist} || ' ' || full_text[1:800], w)),
+          regexp_extract_all(title, '[一-龥]{{2,10}}(?:纠纷|争议|案件)')) AS k FROM cases)"""
+
+
+cte("inferred", _inferred(_GIST), "cases")
+query("g11_inferred_keywords", sql(_inferred("ruling_gist"), "cases"))(
     lambda s, d: D(s, d).select("doc_key", tx.inferred_keywords(c("title"), c("ruling_gist"), c("full_text")).alias("words")))
 query("g12_case_number", sql("SELECT doc_key, nullif(regexp_extract(title, '指导性案例\\d+号'), '') AS number FROM cases", "cases"))(
     lambda s, d: D(s, d).select("doc_key", tx.case_number(c("title")).alias("number")))
 query("g13_enrich_docs", sql(
-    """SELECT doc_key, CASE WHEN ruling_gist <> '' THEN ruling_gist ELSE regexp_extract(full_text, '【裁判要点】([^。]*。)', 1) END AS ruling_gist,
-       nullif(regexp_extract(title, '指导性案例\\d+号'), '') AS case_number, CASE WHEN keywords <> '' THEN keywords ELSE nullif(regexp_extract(full_text, '【关键词】([^\\n]*)\\n', 1), '') END AS keywords
-       FROM cases WHERE keywords <> '' OR contains(full_text, '【关键词】')""", "cases"))(
-    lambda s, d: doc.enrich_docs(D(s, d).filter("keywords <> '' OR contains(full_text, '【关键词】')")).select("doc_key", "ruling_gist", "case_number", "keywords"))
+    f"""SELECT c.doc_key, {_GIST} AS ruling_gist, nullif(regexp_extract(title, '指导性案例\\d+号'), '') AS case_number,
+       CASE WHEN keywords <> '' THEN keywords ELSE coalesce(nullif(regexp_extract(full_text, '【关键词】([^\\n]*)\\n', 1), ''), i.words) END AS keywords
+       FROM cases c JOIN inferred i ON i.doc_key = c.doc_key""", "cases", "inferred"))(
+    lambda s, d: doc.enrich_docs(D(s, d)).select("doc_key", "ruling_gist", "case_number", "keywords"))
 query("g14_n4_merge_keywords", sql(
     """SELECT doc_key, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i), '、') AS words FROM (
        SELECT doc_key, list_concat([source, '民事', source], list_filter(string_split(keywords, '、'), lambda x: x <> '')) AS k FROM cases)""", "cases"))(
@@ -154,8 +162,8 @@ query("e5_number_nodes", sql(
        UNION ALL SELECT DISTINCT doc, section_line, 'section', chapter_line FROM segmented UNION ALL SELECT DISTINCT doc, chapter_line, 'chapter', -1 FROM segmented)""", "segmented"))(
     lambda s, d: st.number_nodes(st.segment(corpus.law_lines(s, d), corpus.SEGMENT), corpus.SEGMENT).select("doc", "line_no", "type", "global_order", "order_index"))
 query("e7_drop_toc_headings", sql(
-    "SELECT doc_id AS doc, text, max(pos) AS line_no FROM doc_lines WHERE length(text) < 60 GROUP BY 1, 2", "doc_lines"))(
-    lambda s, d: st.drop_toc_headings(corpus.doc_lines(s, d).filter("length(text) < 60").select(c("doc_id").alias("doc"), c("pos").alias("line_no"), F.regexp_replace("text", "[ \t]{2,}", " ").alias("text"), F.lit("chapter").alias("kind"))).select("doc", "text", "line_no"))
+    "SELECT doc_id AS doc, md5(regexp_replace(text, '[ \\t]{2,}', ' ', 'g')) AS h, max(pos) AS line_no FROM doc_lines GROUP BY 1, 2", "doc_lines"))(
+    lambda s, d: st.drop_toc_headings(corpus.doc_lines(s, d).select(c("doc_id").alias("doc"), c("pos").alias("line_no"), F.regexp_replace("text", "[ \t]{2,}", " ").alias("text"), F.lit("chapter").alias("kind"))).select("doc", F.md5("text").alias("h"), "line_no"))
 query("g6_whole_text_fallback", sql("SELECT doc_id AS doc, min(pos) AS article_line, count(*) AS lines FROM doc_lines GROUP BY 1", "doc_lines"))(
     lambda s, d: (lambda lines: st.whole_text_fallback(lines, st.segment(lines, 1 << 30)).select("doc", c("article_line"), F.size(F.split("content", "\n")).cast("bigint").alias("lines")))(
         corpus.doc_lines(s, d).select(c("doc_id").alias("doc"), c("pos").alias("line_no"), "text")))

@@ -112,3 +112,19 @@ def test_segment_tree(spark):
         assert [(n.type, n.global_order, n.order_index) for n in nodes] == [
             ("chapter", 1, 1), ("article", 2, 1), ("chapter", 3, 2), ("section", 4, 1), ("article", 5, 1), ("article", 6, 2)]
         assert [r.doc for r in st.whole_text_fallback(lines, seg).collect()] == [3]
+
+
+def test_render(spark):
+    nodes = spark.createDataFrame([(1, 1, "chapter", "第一章　总则", None, None), (1, 2, "article", "第一条　依照《甲法》第二条、《甲法》第二条之规定\n乙", "Article 1 Text.", 1)],
+                                  "law_id bigint, global_order bigint, type string, content string, content_en string, article_num int")
+    laws = spark.createDataFrame([(1, "某法", "法律", "", "国务院", "", "2020-01-01", "", "公布")],
+                                 "id bigint, title string, category string, legal_domain string, issuing_org string, doc_number string, pub_date string, effective_date string, promulgation_info string")
+    edges = spark.createDataFrame([(1, 2, 9, 2, "cross_law", 1, "《甲法》第二条")],
+                                  "from_law_id bigint, from_order bigint, to_law_id bigint, to_article_num int, ref_type string, resolved int, raw_text string")
+    lines = [r.line for r in doc.render_laws(nodes, laws, edges).orderBy("global_order").collect()]
+    link = "[《甲法》第二条](law-9#art-2)"
+    assert lines == [
+        "# 某法\n\n**分类**：法律  \n**发布机关**：国务院  \n**公布日期**：2020-01-01\n\n> 公布\n\n---",
+        "### 第一章　总则",
+        f'<a id="art-1"></a>第一条　依照{link}、{link}之规定  \n乙\n\n**Article 1** Text.',
+    ]
