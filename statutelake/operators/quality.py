@@ -113,17 +113,16 @@ def currency_suite(laws: DataFrame) -> DataFrame:
     own = rel.check_currency(laws.filter(F.col("source") == "flk")).select("id", F.col("problem").alias("rule"))
     live = laws.filter((F.col("source") == "gazette") & rel.missing(F.col("repealed_by")))
     current = laws.filter((F.col("source") == "flk") & (F.col("is_current") == 1))
-    one = current.groupBy("title_key").agg(F.max_by(F.struct("id", "doc_number", "pub_date"), "id").alias("p")).select("title_key", "p.*")
-    pairs = rel.match_versions(one, live).join(live.select(F.col("id").alias("b_id"), "is_current"), "b_id")
+    pairs = rel.match_versions(current, live).join(live.select(F.col("id").alias("b_id"), "is_current"), "b_id")
     cross = pairs.withColumn("rule", F.when((F.col("same_version") == 1) & (F.col("is_current") != 1), "same_version_not_current").when(
         (F.col("same_version") == 0) & (F.col("is_current") == 1), "other_version_current")).filter(F.col("rule").isNotNull()).select(F.col("b_id").alias("id"), "rule")
-    alone = rel.check_currency(laws.filter(F.col("source") == "gazette").join(one.select("title_key"), "title_key", "left_anti")).select("id", F.col("problem").alias("rule"))
+    alone = rel.check_currency(laws.filter(F.col("source") == "gazette").join(current.select("title_key"), "title_key", "left_anti")).select("id", F.col("problem").alias("rule"))
     return own.unionByName(cross).unionByName(alone)
 
 
 def repeal_suite(marks: DataFrame, laws: DataFrame) -> DataFrame:
     """Marks without effect, rows newer than the repeal, zeros that no
-    mark explains. ``marks`` is (mark_id, title_key, doc_number, mark)."""
+    mark explains. ``marks`` is (title_key, doc_number, mark)."""
     rows = rel.match_repeals(marks, laws.select("title_key", "doc_number", "id", "pub_date", "is_current"))
     effective = F.create_map(*[F.lit(x) for kv in REPEAL_DATES.items() for x in kv])[repeal_number(F.col("mark"))]
     kept = rows.filter(F.col("is_current") != 0).select("id", F.lit("mark_not_applied").alias("rule"))

@@ -144,8 +144,11 @@ def match_versions(a: DataFrame, b: DataFrame, days: int = 90, bulk_date: str =
 
     Same document number, or both without one and at most ``days`` apart (or no
     usable date). Texts older than the floor never match the bulk amendment.
+    Source a counts with one version per title, the one of the highest id, so
+    a title with many versions does not pair them all.
     """
-    left = a.select("title_key", F.col("id").alias("a_id"), F.col("doc_number").alias("a_doc"), F.col("pub_date").alias("a_pub"))
+    last = a.groupBy("title_key").agg(F.max_by(F.struct(F.col("id").alias("a_id"), F.col("doc_number").alias("a_doc"), F.col("pub_date").alias("a_pub")), "id").alias("p"))
+    left = last.select("title_key", "p.*")
     right = b.select("title_key", F.col("id").alias("b_id"), F.col("doc_number").alias("b_doc"), F.col("pub_date").alias("b_pub"))
     pair = left.join(right, "title_key")
     a_day, b_day = F.try_to_date("a_pub"), F.try_to_date("b_pub")
@@ -177,7 +180,9 @@ def backfill_headings(headings: DataFrame, laws: DataFrame, constants: dict[str,
 
 def match_repeals(marks: DataFrame, laws: DataFrame) -> DataFrame:
     """Rows that a repeal mark names, by document number and title key,
-    or by title key alone when the mark has no number."""
+    or by title key alone when the mark has no number. Equal marks count once."""
+    marks = marks.select("title_key", "doc_number", "mark").distinct()
+    marks = marks.withColumn("mark_number", F.coalesce("doc_number", F.lit("")))
     numbered = marks.filter(filled("doc_number")).join(laws, ["title_key", "doc_number"])
     bare = marks.filter(missing(F.col("doc_number"))).drop("doc_number").join(laws, "title_key")
     return numbered.unionByName(bare)

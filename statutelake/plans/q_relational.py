@@ -70,7 +70,7 @@ query("c11_match_versions", sql(
        CAST((CASE WHEN a.doc_number <> '' AND b.doc_number <> '' THEN a.doc_number = b.doc_number
             WHEN a.doc_number = '' AND b.doc_number = '' THEN abs(a.pub_date::DATE - b.pub_date::DATE) <= 90 ELSE false END)
          AND NOT (a.pub_date = '2020-12-29' AND b.pub_date < '2020-01-01') AS INT) AS same_version
-       FROM keyed a JOIN keyed b USING (title_key) WHERE a.source = 'flk' AND a.is_current = 1 AND b.source = 'gazette'""", "keyed"))(
+       FROM (SELECT * FROM keyed WHERE id IN (SELECT max(id) FROM keyed WHERE source = 'flk' AND is_current = 1 GROUP BY title_key)) a JOIN keyed b USING (title_key) WHERE b.source = 'gazette'""", "keyed"))(
     lambda s, d: rel.match_versions(keyed_laws(s, d).filter("source = 'flk' AND is_current = 1"), keyed_laws(s, d).filter("source = 'gazette'")))
 _HN = "SELECT p_partkey AS law_id, 'chapter' AS type, 1 AS order_index, 'Chapter ' || p_name AS name_en FROM part WHERE p_size < 25"
 
@@ -96,18 +96,18 @@ query("c21_enrich_domain", sql(
        LEFT JOIN (SELECT s_suppkey AS id, 'domain ' || s_nationkey AS m FROM supplier) o ON o.id = l.id""", "laws"))(
     lambda s, d: L(s, d).select("id", "legal_domain").join(corpus.table(s, d, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("domain "), "s_nationkey").alias("m")), "id", "left")
     .select("id", F.when(F.col("legal_domain") == "", F.coalesce("m", F.lit(""))).otherwise(F.col("legal_domain")).alias("legal_domain")))
-_MARKS = "SELECT title_key, CASE WHEN id % 2 = 0 THEN doc_number ELSE '' END AS doc_number, id AS mark_id, repealed_by AS mark FROM keyed WHERE source = 'gazette' AND repealed_by <> ''"
+_MARKS = "SELECT DISTINCT title_key, CASE WHEN id % 2 = 0 THEN doc_number ELSE '' END AS doc_number, repealed_by AS mark FROM keyed WHERE source = 'gazette' AND repealed_by <> ''"
 
 
 def marks(s, d):
     return keyed_laws(s, d).filter("source = 'gazette' AND repealed_by <> ''").select(
-        "title_key", F.when(F.expr("id % 2 = 0"), F.col("doc_number")).otherwise("").alias("doc_number"), F.col("id").alias("mark_id"), F.col("repealed_by").alias("mark"))
+        "title_key", F.when(F.expr("id % 2 = 0"), F.col("doc_number")).otherwise("").alias("doc_number"), F.col("repealed_by").alias("mark"))
 
 
 query("c22_match_repeals", sql(
-    f"""SELECT m.mark_id, k.id, k.pub_date, k.is_current FROM ({_MARKS}) m JOIN keyed k ON k.title_key = m.title_key
+    f"""SELECT m.doc_number AS mark_number, k.id, k.pub_date, k.is_current FROM ({_MARKS}) m JOIN keyed k ON k.title_key = m.title_key
         AND k.source = 'gazette' AND (m.doc_number = '' OR m.doc_number = k.doc_number)""", "keyed"))(
-    lambda s, d: rel.match_repeals(marks(s, d), keyed_laws(s, d).filter("source = 'gazette'").select("title_key", "doc_number", "id", "pub_date", "is_current")).select("mark_id", "id", "pub_date", "is_current"))
+    lambda s, d: rel.match_repeals(marks(s, d), keyed_laws(s, d).filter("source = 'gazette'").select("title_key", "doc_number", "id", "pub_date", "is_current")).select("mark_number", "id", "pub_date", "is_current"))
 query("d1_count_by_source", sql("SELECT source, count(*) AS n FROM cases GROUP BY 1", "cases"))(lambda s, d: rel.count_by(D(s, d), "source"))
 _COLS = ["title", "ruling_gist", "keywords", "title_en", "full_text_en"]
 _UNP = " UNION ALL ".join(f"SELECT source, '{c}' AS column_name, CASE WHEN coalesce(trim({c}), '') <> '' THEN 1 ELSE 0 END AS f FROM cases" for c in _COLS)

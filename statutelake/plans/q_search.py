@@ -8,7 +8,7 @@ from statutelake.operators import citations as cit
 from statutelake.operators import search as se
 from statutelake.operators.lineage import materialize
 from statutelake.plans import corpus
-from statutelake.plans.oracle import cte, sql, words
+from statutelake.plans.oracle import cte, num, short, sql, words
 from statutelake.plans.registry import query
 
 L, N, A, D, T = corpus.laws, corpus.nodes, corpus.articles, corpus.cases, corpus.table
@@ -62,17 +62,17 @@ cte("top_all", f"SELECT * FROM {top(words(se.LAW_CATEGORIES + se.INTERPRETATIONS
 query("i4_c12_search", sql("SELECT * FROM top_laws", "top_laws"))(lambda s, d: se.search(hits(s, d), L(s, d), 10, DOMAINS, se.LAW_CATEGORIES))
 cte("named", """SELECT * FROM (SELECT h.term, h.law_id, h.global_order, l.title AS law_title, l.category, row_number() OVER (PARTITION BY term, l.title ORDER BY h.law_id, h.global_order) AS hit_rank
       FROM hits h JOIN laws l ON l.id = h.law_id WHERE l.is_current = 1 AND l.title IN (SELECT law_title FROM hints)) WHERE hit_rank <= 10""", "hits", "laws", "hints")
-_N0 = corpus.LAY_WORDS
-
-
 def hint_table(s, d):
-    """Topic words to preferred law titles: the titles that carry a topic."""
+    """Topic words to preferred law titles, a short curated table: one row per
+    nation."""
     topics = F.array(*[F.lit(w) for w in corpus.WORDS])
-    return L(s, d).filter("category = '法律'").groupBy("title").agg(F.min("id").alias("id")).select(
-        F.element_at(topics, (c("id") % len(corpus.WORDS) + 1).cast("int")).alias("topic"), c("title").alias("law_title"), (c("id") % 5).cast("int").alias("priority"))
+    return T(s, d, "nation").select(
+        F.element_at(topics, (c("n_nationkey") + 1).cast("int")).alias("topic"),
+        F.concat(F.lit(corpus.PRC), corpus.short_title(c("n_nationkey") * 10 + c("n_regionkey"))).alias("law_title"),
+        c("n_regionkey").alias("priority"))
 
 
-cte("hints", f"SELECT {words(corpus.WORDS)}[(id % {len(corpus.WORDS)})::INT + 1] AS topic, title AS law_title, CAST(id % 5 AS INT) AS priority FROM (SELECT title, min(id) AS id FROM laws WHERE category = '法律' GROUP BY 1)", "laws")
+cte("hints", f"SELECT {words(corpus.WORDS)}[n_nationkey + 1] AS topic, '{corpus.PRC}' || {short('n_nationkey * 10 + n_regionkey')} AS law_title, n_regionkey AS priority FROM nation")
 query("i5_search_in_laws", sql("SELECT * FROM named", "named"))(
     lambda s, d: se.search_in_laws(hits(s, d), L(s, d), hint_table(s, d).select(c("law_title").alias("title")), 10))
 cte("first_topk", """SELECT q_id, law_id, global_order, pos, hit_rank, term FROM (SELECT *, row_number() OVER (PARTITION BY q_id, law_id, global_order ORDER BY pos, hit_rank) AS rn
@@ -228,8 +228,6 @@ def refs(s, d):
     return T(s, d, "orders").select(F.substring(corpus.short_title(F.expr("o_custkey div 15") * 10), 1, 5).alias("fragment"), F.concat(F.lit("第"), corpus._numeral(c("o_orderkey") % 60 + 1), F.lit("条")).alias("label"))
 
 
-from statutelake.plans.oracle import num, short  # noqa: E402
-
 cte("frag_refs", f"SELECT DISTINCT ({short('o_custkey // 15 * 10')})[1:5] AS fragment, '第' || {num('o_orderkey % 60 + 1')} || '条' AS label FROM orders")
 query("c10_find_by_fragment", sql(
     """SELECT fragment, label, law_id, global_order FROM (SELECT r.*, a.law_id, a.global_order, row_number() OVER (PARTITION BY r.fragment, r.label ORDER BY a.law_id, a.global_order) AS rn
