@@ -19,6 +19,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .hashing import word_hashes
 
@@ -70,7 +71,7 @@ def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     df = df.drop(*names)
     inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     at = df.columns.index(text)
-    schema = inner.schema
+    schema = StructType(list(inner.schema.fields))
     for name in names:
         schema = schema.add(name, "double", False)
 

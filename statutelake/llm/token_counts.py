@@ -14,12 +14,13 @@ import unicodedata
 from collections import deque
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .session import long_or_null
-from .wordcache import WordCache, pieces
+from .wordcache import WordCache, split_batch
 
 _cache: dict[tuple, WordCache] = {}
 
@@ -147,16 +148,13 @@ def count_tokens(df: DataFrame, model_file: str, text: str = "text") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = counter(model_file)
         for batch in batches:
-            words, tokens = [], []
-            for value in batch.column(1):
-                n = m = 0
-                for part in pieces(value.as_py() or ""):
-                    if part:
-                        rows = memo.rows(part.replace("\n", " ").split(" "))
-                        rows = memo.starts[rows]
-                        n, m = n + int(memo.flat[rows].sum()), m + int(memo.flat[rows + 1].sum())
-                words.append(m)
-                tokens.append(n)
+            totals = np.zeros((2, batch.num_rows), np.int64)
+            for strings, counts, places in split_batch(batch.column(1).to_pylist()):
+                rows = memo.rows(strings)
+                starts, heads = memo.starts[rows], np.cumsum([0, *counts[:-1]])
+                for i in (0, 1):
+                    np.add.at(totals[i], places, np.add.reduceat(memo.flat[starts + i].astype(np.int64), heads))
+            tokens, words = totals
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
     return df.select(long_or_null(df, "doc_id").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .session import long_or_null
-from .wordcache import WordCache, pieces
+from .wordcache import WordCache, split_batch
 
 #: The id behind each document.
 END_ID = 1
@@ -49,11 +49,12 @@ def _fast(tokenizer):
     return tokenizer
 
 
-def word_encoder(path: str, limit: int = 600_000) -> WordCache:
+def word_encoder(path: str, limit: int = 500_000) -> WordCache:
     """Memo from a word between spaces to its ids, kept by the Python worker.
 
-    The library encodes each distinct word once, a thousand in a call. Words
-    that hold the string of a special token go to the unchanged tokenizer.
+    The library encodes each distinct word of a normalised text once, a thousand
+    in a call. Words that hold the string of a special token go to the unchanged
+    tokenizer.
     """
     key = ("ids", path)
     if key in _cache:
@@ -63,31 +64,45 @@ def word_encoder(path: str, limit: int = 600_000) -> WordCache:
 
     whole, fast = Tokenizer.from_file(path), _fast(Tokenizer.from_file(path))
     specials = [t.content for t in whole.get_added_tokens_decoder().values()]
-    last = np.zeros(max(whole.get_vocab().values()) + 1, bool)
-    last[[i for piece, i in whole.get_vocab().items() if piece.endswith("</w>")]] = True
-    split, known = regex.compile(WORDS).findall, {}
+    mark = os.path.commonprefix(specials)[:1]
+    size = max(whole.get_vocab().values()) + 1
+    last = [False] * size
+    for piece, i in whole.get_vocab().items():
+        last[i] = piece.endswith("</w>")
+    split = regex.compile(WORDS).findall
+    known: dict[str, list[int]] = {}
+
+    def normal(word: str) -> str:
+        if "Σ" in word:  # Python lower-cases it by its place in the word
+            return whole.normalizer.normalize_str(word)
+        return (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+
+    def cores_of(word: str) -> list[str]:
+        word = normal(word)
+        if word.isalpha():
+            return [word]
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1], word[-1]]
+        return split(word)
 
     def learn(cores: list[str]) -> None:
         for at in range(0, len(cores), 1000):
             part = cores[at : at + 1000]
-            ids = np.array(fast.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            rows = np.split(ids, np.flatnonzero(last[ids])[:-1] + 1) if len(ids) else []
-            if len(rows) != len(part):  # a vocabulary without word ends
-                rows = [e.ids for e in fast.encode_batch_fast(part, add_special_tokens=False)]
-            known.update(zip(part, (tuple(map(int, r)) for r in rows)))
+            ids = fast.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            ends = [i for i, x in enumerate(ids, 1) if last[x]]
+            if len(ends) != len(part):  # a vocabulary without word ends
+                known.update((w, e.ids) for w, e in zip(part, fast.encode_batch_fast(part, add_special_tokens=False)))
+            else:
+                known.update((w, ids[i:j]) for w, i, j in zip(part, [0, *ends], ends))
 
     def work(words: list[str]) -> list:
-        if len(known) > limit:
+        if len(known) > limit // 2:
             known.clear()
-        cores = []
-        for word in words:
-            if any(s in word for s in specials):
-                cores.append(None)
-            else:
-                cores.append(split(unicodedata.normalize("NFC", word).lower() if word.isascii() else _normal(whole, word)))
+        cores = [None if mark in w and any(s in w for s in specials) else cores_of(w) for w in words]
         learn([c for c in dict.fromkeys(c for row in cores if row for c in row) if c not in known])
         return [
-            whole.encode(w, add_special_tokens=False).ids if row is None else [i for c in row for i in known[c]]
+            whole.encode(w, add_special_tokens=False).ids if row is None
+            else known[row[0]] if len(row) == 1 else [i for c in row for i in known[c]]
             for w, row in zip(words, cores)
         ]
 
@@ -95,42 +110,38 @@ def word_encoder(path: str, limit: int = 600_000) -> WordCache:
     return _cache[key]
 
 
-def _normal(tokenizer, word: str) -> str:
-    """The library's own normalisation, for words beyond ASCII."""
-    return tokenizer.normalizer.normalize_str(word)
+def _encoder(tokenizer: str, end_id: int | None):
+    tail = [] if end_id is None else [int(end_id)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = word_encoder(tokenizer)
+        for batch in batches:
+            parts: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
+            for words, counts, places in split_batch(batch.column(1).to_pylist()):
+                rows = memo.rows(words)
+                ids = memo.gather_rows(rows)
+                ends = np.cumsum(memo.lengths[rows])[np.cumsum(counts) - 1]
+                for place, part in zip(places, np.split(ids, ends[:-1])):
+                    parts[place].append(part)
+            for row in parts:
+                row.append(np.array(tail, np.int32))
+            offsets = np.cumsum([0, *(sum(map(len, row)) for row in parts)]).astype(np.int32)
+            ids = np.concatenate([x for row in parts for x in row]) if parts else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))], ["doc_id", "ids"]
+            )
+
+    return run
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", end_id: int | None = END_ID) -> DataFrame:
-    """(doc_id long, ids binary): ids of each whole text as little-endian unsigned 32-bit integers.
+    """(doc_id long, ids array<int>): the ids of each whole text.
 
     Null and empty texts give the end id only; ``end_id=None`` appends none.
     Other columns are dropped; repeated rows stay repeated.
     """
-    tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_encoder(tokenizer)
-        for batch in batches:
-            out = []
-            for value in batch.column(1):
-                value = value.as_py() or ""
-                ids = [memo.gather(part.replace("\n", " ").split(" ")).astype("<u4").tobytes() for part in pieces(value)] if value else []
-                out.append(b"".join([*ids, tail]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
-
-    return df.select(long_or_null(df, "doc_id").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, ids binary"
-    )
-
-
-def _to_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data = batch.column(1).to_pylist()
-        ids = np.frombuffer(b"".join(data), "<u4").astype(np.int32)
-        offsets = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["doc_id", "ids"]
-        )
+    slim = df.select(long_or_null(df, "doc_id").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    return slim.mapInArrow(_encoder(tokenizer, end_id), "doc_id long, ids array<int>")
 
 
 def write_ids(texts: DataFrame, path: str, tokenizer: str, files: int | None = None, **options) -> None:
@@ -143,8 +154,7 @@ def write_ids(texts: DataFrame, path: str, tokenizer: str, files: int | None = N
     slim = texts.select(long_or_null(texts, "doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = files or int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = slim.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    ids = encode(dealt, tokenizer, **options).mapInArrow(_to_array, "doc_id long, ids array<int>")
-    ids.write.options(**ORC).orc(path)
+    encode(dealt, tokenizer, **options).write.options(**ORC).orc(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

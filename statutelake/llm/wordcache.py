@@ -34,7 +34,7 @@ class WordCache:
     The memo is emptied when it is full; that only costs time.
     """
 
-    def __init__(self, work: Callable[[list[str]], list], limit: int = 600_000):
+    def __init__(self, work: Callable[[list[str]], list], limit: int = 500_000):
         self.work, self.limit = work, limit
         self.clear()
 
@@ -62,18 +62,43 @@ class WordCache:
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row number of each word."""
+        if len(self.index) > self.limit:
+            self.clear()
         found = list(map(self.index.get, words))
         if None in found:
-            if len(self.index) > self.limit:
-                self.clear()
-            self.learn([w for w in dict.fromkeys(words) if w not in self.index])
-            found = list(map(self.index.__getitem__, words))
+            missing = [i for i, row in enumerate(found) if row is None]
+            self.learn(list(dict.fromkeys([words[i] for i in missing])))
+            for i in missing:
+                found[i] = self.index[words[i]]
         return np.array(found, np.int64)
 
     def gather(self, words: list[str]) -> np.ndarray:
         """The integers of all words, one after the other."""
-        rows = self.rows(words)
+        return self.gather_rows(self.rows(words))
+
+    def gather_rows(self, rows: np.ndarray) -> np.ndarray:
         sizes = self.lengths[rows]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.repeat(self.starts[rows] - ends + sizes, sizes) + np.arange(total)]
+
+
+def split_batch(texts: list[str | None]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+    """Words between spaces and line ends, for about PIECE characters at a time.
+
+    Gives (words, counts, places): counts[i] words belong to texts[places[i]]. A
+    giant text comes in several parts; null and empty texts do not come at all.
+    """
+    words, counts, places, size = [], [], [], 0
+    for place, text in enumerate(texts):
+        for part in pieces(text) if text else ():
+            if size and size + len(part) > PIECE:
+                yield words, counts, places
+                words, counts, places, size = [], [], [], 0
+            more = part.replace("\n", " ").split(" ")
+            words += more
+            counts.append(len(more))
+            places.append(place)
+            size += len(part)
+    if places:
+        yield words, counts, places
