@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .leader_join import link_classes
+from .leader_join import across_leaders, link_classes
 from .session import written
 
 BITS, TABLES, BLOCK = 16, 40, 512
@@ -166,7 +166,8 @@ def embedding_links(
             _cosines(threshold), "a long, b long, distance double, linked boolean, span double"
         )
 
-    classes, _ = link_classes(lists, measure, lambda distance, radius, span: distance - radius > span + 1e-6, "vectors")
+    across = across_leaders(measure, lambda distance, radius, span: distance - radius > span + 1e-6, "vectors")
+    classes = link_classes(lists, measure, across, "vectors")
     classes = written(classes.select(F.col("node").alias("item"), F.col("component").alias("class")), "classes")
     members = reps.select(F.col("node").alias("item"), F.col("item").alias("id"), "weight", "vector").join(classes, "item", "left")
     members = written(members.withColumn("class", F.coalesce("class", "item")), "members")

@@ -2,10 +2,13 @@
 
 Pairing all items of a list costs the square of its length, and a group of near
 copies fills many lists. So each list is first joined to its leader only; items
-that link to a leader form classes. Two items of different classes can link only
-if their leaders are near enough (triangle inequality), so the answers of the
-leaders rule out most class pairs, and single items are compared only for the
-class pairs that are left. Items of one class are connected already.
+that link to a leader form classes. Items of one class are connected already, and
+what is left are items of different classes that share a list. There are two ways
+to settle those. ``across_leaders`` uses that two items can link only if their
+leaders are near enough (triangle inequality): the answers of the leaders rule
+out most class pairs, and single items are compared for the others.
+``across_blocks`` takes the classes that lists connect and compares their items
+block against block inside tasks, so that no pair becomes a row.
 
 The classes that come out are exactly those of comparing every two items that
 share a list.
@@ -22,6 +25,8 @@ from .components import components
 from .session import written
 
 Measure = Callable[[DataFrame], DataFrame]
+#: (lists, first classes, links to leaders) -> links (a, b) between classes.
+Across = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
 
 def grouped_lists(lists: DataFrame) -> DataFrame:
@@ -38,43 +43,75 @@ def grouped_lists(lists: DataFrame) -> DataFrame:
     return led.filter("k = 0 and item != leader").drop("k")
 
 
-def link_classes(lists: DataFrame, measure: Measure, prune: Callable[[Column, Column, Column], Column], name: str) -> tuple[DataFrame, DataFrame]:
-    """(item, component) of every item that links to another one, and the links that were found.
+def link_classes(lists: DataFrame, measure: Measure, across: Across, name: str) -> DataFrame:
+    """(node, component) of every item that links to another one; the component is its smallest item.
 
     ``measure`` takes pairs (a, b) and returns (a, b, distance double, linked
     boolean, span double): the distance of a metric, whether the two link, and
-    the largest distance at which items of these sizes link. ``prune(distance,
-    radius, span)`` is true where no item within ``radius`` in total of the two
-    leaders can link.
+    the largest distance at which items of these sizes link.
     """
     near = written(grouped_lists(lists), f"{name}-lists")
     pairs = near.select(F.col("leader").alias("a"), F.col("item").alias("b")).distinct()
     stars = written(measure(pairs).filter("linked").select("a", "b", "distance"), f"{name}-stars")
     first = written(components(stars.select("a", "b")), f"{name}-classes")
-    more = written(_across(near, stars, first, measure, prune, name), f"{name}-links")
-    links = stars.select("a", "b").unionByName(more)
-    # Classes are joined through their smallest items: one short edge for each class.
+    more = written(across(near, first, stars), f"{name}-links")
+    # Classes are joined through their smallest items: one short edge for each item.
     own = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(own.unionByName(more)), links
+    return components(own.unionByName(more))
 
 
-def _across(near, stars, first, measure, prune, name) -> DataFrame:
-    """Links (a, b) between items of different classes that share a list."""
-    led = stars.groupBy(F.col("b").alias("item")).agg(F.min(F.struct(F.col("a").alias("head"), "distance")).alias("s"))
-    led = led.select("item", "s.head", "s.distance")
+def mixed_lists(near: DataFrame, first: DataFrame, name: str) -> DataFrame:
+    """(key, item, kind, class) of the lists whose items are of several classes."""
     rows = near.select("key", "item", "kind").unionByName(
         near.select("key", F.col("leader").alias("item"), F.lit(0).alias("kind")).distinct()
     )
-    rows = (
-        rows.join(first.withColumnRenamed("node", "item"), "item", "left")
-        .join(led, "item", "left")
-        .select(
-            "key", "item", "kind", F.coalesce("component", "item").alias("class"),
-            F.coalesce("head", "item").alias("head"), F.coalesce("distance", F.lit(0.0)).alias("radius"),
-        )
+    rows = rows.join(first.withColumnRenamed("node", "item"), "item", "left").select(
+        "key", "item", "kind", F.coalesce("component", "item").alias("class")
     )
     mixed = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo != hi").select("key")
-    rows = written(rows.join(mixed, "key"), f"{name}-mixed")
+    return written(rows.join(mixed, "key"), f"{name}-mixed")
+
+
+def across_blocks(compare: Callable[[DataFrame], DataFrame], name: str) -> Across:
+    """Compare all items of the classes that lists connect, inside tasks.
+
+    ``compare`` takes (item, class, team), where a team is a set of classes
+    connected by shared lists, and returns links (a, b) between classes.
+    """
+
+    def run(near: DataFrame, first: DataFrame, stars: DataFrame) -> DataFrame:
+        rows = mixed_lists(near, first, name)
+        low = rows.groupBy("key").agg(F.min("class").alias("low"))
+        edges = rows.join(low, "key").filter("class != low").select(F.col("low").alias("a"), F.col("class").alias("b")).distinct()
+        teams = components(edges).select(F.col("node").alias("class"), F.col("component").alias("team"))
+        return compare(rows.select("item", "class").distinct().join(teams, "class"))
+
+    return run
+
+
+def across_leaders(measure: Measure, prune: Callable[[Column, Column, Column], Column], name: str) -> Across:
+    """Compare the leaders of classes first, then the items of those that can link.
+
+    ``prune(distance, radius, span)`` is true where no item within ``radius`` in
+    total of the two leaders can link.
+    """
+
+    def run(near: DataFrame, first: DataFrame, stars: DataFrame) -> DataFrame:
+        return _across(mixed_lists(near, first, name), stars, measure, prune, name)
+
+    return run
+
+
+def _across(mixed, stars, measure, prune, name) -> DataFrame:
+    """Links (a, b) between items of different classes that share a list."""
+    led = stars.groupBy(F.col("b").alias("item")).agg(F.min(F.struct(F.col("a").alias("head"), "distance")).alias("s"))
+    led = led.select("item", "s.head", "s.distance")
+    rows = written(
+        mixed.join(led, "item", "left").select(
+            "key", "item", "kind", "class", F.coalesce("head", "item").alias("head"), F.coalesce("distance", F.lit(0.0)).alias("radius")
+        ),
+        f"{name}-led",
+    )
     heads = rows.groupBy("key", "class", "head").agg(F.max("radius").alias("radius"), F.min("kind").alias("kind"))
     heads = heads.select("key", "class", "head", "radius", "kind")
     x, y = heads.alias("x"), heads.alias("y")

@@ -13,8 +13,10 @@ ratio of the threshold; a set enters the lists of its own class and, to meet
 larger sets, of the next one.
 
 Equal sets are one set with many documents. The lists are then joined through
-leaders (``leader_join``): the answers of a set that is very like its leader
-follow from the leader's answers. Every link is confirmed on the whole sets.
+leaders (``leader_join``): sets that link to their leader are in its class, and
+what they link to follows from the class. Sets of different classes that lists
+connect are compared in blocks of sets of like sizes. Every link is confirmed on
+the whole sets.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import U, mix, shingles, word_hashes
-from .leader_join import link_classes
+from .leader_join import across_blocks, link_classes
 from .session import written
 
 #: Sets whose blocks a task has sent already; more copies of them send none.
@@ -174,6 +177,104 @@ def _differences(percent: int):
     return run
 
 
+#: Sets and bytes of one block in the comparison of classes.
+BLOCK_SETS, BLOCK_BYTES, COLUMNS = 256, 4 << 20, 1 << 14
+
+
+def _joined_classes(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of classes with a link between the two blocks of one group (or inside the one block), as a forest."""
+        left, right = group[group.side == 0], group[group.side == 1]
+        if right.empty:
+            right = left
+        pairs = _linked_classes(left, right, percent) if len(left) else np.zeros((0, 2), np.int64)
+        root: dict[int, int] = {}
+
+        def find(n: int) -> int:
+            while root.get(n, n) != n:
+                n = root[n]
+            return n
+
+        out = []
+        for a, b in pairs.tolist():
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((a, b))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
+def _linked_classes(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> np.ndarray:
+    sets = [np.frombuffer(v, U) for v in [*left.shingles, *right.shingles]]
+    sizes = np.array([len(s) for s in sets])
+    tokens, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = times[place] > 1  # a shingle of one set alone adds nothing
+    column = np.cumsum(times > 1)[place[shared]] - 1
+    owner = owner[shared]
+    n, common = len(left), np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        common += held[:n] @ held[n:].T
+    total = sizes[:n, None] + sizes[None, n:]
+    linked = 100 * common.astype(np.int64) >= percent * (total - common.astype(np.int64))
+    linked &= left["class"].to_numpy()[:, None] != right["class"].to_numpy()[None, :]
+    i, j = np.nonzero(linked)
+    return np.unique(np.stack([left["class"].to_numpy()[i], right["class"].to_numpy()[j]], 1), axis=0)
+
+
+def _size_class_column(percent: int):
+    """Number of a set's size class, from its size."""
+    bounds, low = [], 1
+    while low < 1 << 31:
+        low = max(low, 100 * low // percent) + 1
+        bounds.append(low)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("size")))
+
+
+def _compare_blocks(sets, percent: int):
+    """Links between the classes of a team: each size class is dealt into blocks, blocks of like sizes are compared."""
+
+    def compare(members: DataFrame) -> DataFrame:
+        own = members.join(sets().withColumn("size", F.expr("length(shingles) div 8")), "item")
+        own = written(own.select("team", "class", "item", "size", _size_class_column(percent).alias("step"), "shingles"), "members")
+        bulk = own.groupBy("team", "step").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+        blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
+        bulk = written(bulk.select("team", "step", blocks.alias("blocks")), "bulk")
+        dealt = own.join(bulk, ["team", "step"]).withColumn("block", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
+        # Blocks of the own step and of the next one.
+        after = bulk.select("team", (F.col("step") - 1).alias("step"), F.col("blocks").alias("after"))
+        before = bulk.select("team", (F.col("step") + 1).alias("step"), F.col("blocks").alias("before"))
+        dealt = dealt.join(after, ["team", "step"], "left").join(before, ["team", "step"], "left")
+
+        def numbers(count):
+            return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+        def group(step, p, next_step, q, side):
+            return F.struct(
+                step.alias("low"), p.cast("int").alias("p"), next_step.cast("int").alias("next"), q.cast("int").alias("q"), side.cast("int").alias("side")
+            )
+
+        step, block, zero, one = F.col("step"), F.col("block"), F.lit(0), F.lit(1)
+        same = F.transform(
+            numbers(F.col("blocks")),
+            lambda o: group(step, F.least(block, o), zero, F.greatest(block, o), F.when(block > o, 1).otherwise(0)),
+        )
+        up = F.transform(numbers(F.col("after")), lambda o: group(step, block, one, o, zero))
+        down = F.transform(numbers(F.col("before")), lambda o: group(step - 1, o, one, block, one))
+        each = dealt.select("team", "class", "shingles", F.explode(F.concat(same, up, down)).alias("g"))
+        each = each.select("team", "class", "shingles", "g.*")
+        return each.groupBy("team", "low", "p", "next", "q").applyInPandas(_joined_classes(percent), "a long, b long").distinct()
+
+    return compare
+
+
 def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per input row.
 
@@ -210,11 +311,7 @@ def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "
             _differences(percent), "a long, b long, distance double, linked boolean, span double"
         )
 
-    def prune(distance, radius, span):
-        # Members can be larger than their leaders by the radius, which widens the span.
-        return distance - radius > span + radius * (100 - percent) / (100 + percent) + 1
-
-    classes, _ = link_classes(lists, measure, prune, "jaccard")
+    classes = link_classes(lists, measure, across_blocks(_compare_blocks(lambda: state["sets"], percent), "jaccard"), "jaccard")
     classes = written(classes.select(F.col("node").alias("item"), F.col("component").alias("class")), "classes")
     members = copies.join(classes, "item")
     smallest = members.groupBy("class").agg(F.min("doc_id").alias("component_id"))
