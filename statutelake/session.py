@@ -23,8 +23,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
-    """Single-JVM session for tests and the benchmark."""
+def local_session(cpus: int = 8, memory: str = "16g", checkpoint: str | None = None) -> SparkSession:
+    """Single-JVM session for tests and the benchmark; ``checkpoint`` is its shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("statutelake")
@@ -35,6 +35,8 @@ def local_session(cpus: int = 8, memory: str = "16g") -> SparkSession:
     )
     for key, value in ADAPTIVE.items():
         builder = builder.config(key, value)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

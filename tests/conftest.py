@@ -1,4 +1,6 @@
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,9 +12,12 @@ from statutelake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "8g")
+    # Executors run in this process, so a temporary folder is shared by all of them.
+    folder = tempfile.mkdtemp(prefix="statutelake-")
+    session = local_session(4, "8g", checkpoint=f"file://{folder}")
     yield session
     session.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 @pytest.fixture
