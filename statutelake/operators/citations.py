@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statutelake.functions.numerals import NUMERAL, NUMERAL_ANY, numeral_to_int
-from statutelake.functions.text import ngrams
 from statutelake.operators.lineage import materialize
 from statutelake.operators.ordered import top_per_group
 
@@ -74,50 +73,52 @@ def short_titles(laws: DataFrame) -> DataFrame:
     )
 
 
-# Ideograph runs with the character before them (linear, nothing is retried),
-# and inside a run the text before each article label.
-RUNS = f"(?:^|[^{CJK}])[{CJK}]{{3,}}+"
-SHORT_RUN = f"([《》]?)([{CJK}]{{2,60}}?)第({NUMERAL})条"
+# The text between two article labels, and the later label's number. Matches
+# follow one another (\\G), so the text behind the last label is not retried.
+SEGMENT = f"\\G((?s:.*?))第({NUMERAL})条"
+LABELLED = f"^((?s:.*))第({NUMERAL})条$"
 
 
-def labelled_runs(content: Column) -> Column:
-    """The ideograph runs of a text that contain an article label."""
-    runs = F.regexp_extract_all(content, F.lit(RUNS), F.lit(0))
-    return F.filter(runs, lambda r: r.rlike(f"[{CJK}]第{NUMERAL}条"))
+def title_lengths(titles: DataFrame) -> list[int]:
+    """The lengths that short titles have: a few numbers, however many titles there are."""
+    return sorted(r[0] for r in titles.select(F.length("short")).distinct().collect())
 
 
-def match_short(matches: DataFrame, keys: list[str], titles: DataFrame) -> DataFrame:
-    """Longest known title that ends the run of each match (F1).
+def labelled_segments(content: Column, longest: int) -> Column:
+    """What stands before each article label, as far as the longest title and one character more, with the label."""
+    matches = F.regexp_extract_all(content, F.lit(SEGMENT), F.lit(0))
+    before = F.transform(
+        matches,
+        lambda m: F.concat(
+            F.right(F.regexp_extract(m, LABELLED, 1), F.lit(longest + 1)), F.lit("第"), F.regexp_extract(m, LABELLED, 2), F.lit("条")
+        ),
+    )
+    return F.filter(before, lambda m: ~m.rlike(f"^(?s:.?|.*[《》〈〉])第{NUMERAL}条$"))
+
 
-    Distinct runs are matched once, so the suffix rows grow with the different
-    runs and not with the citations.
+def match_short(matches: DataFrame, keys: list[str], titles: DataFrame, lengths: list[int]) -> DataFrame:
+    """Longest known title that ends the text before each label (F1).
+
+    A title may hold any characters and have any length; it may not stand
+    directly behind a quotation mark. Texts whose last two characters end no
+    title are left out first; of the others the distinct ones are matched once.
     """
-    inner = matches.select(
-        *keys, F.col("pos").alias("run_pos"), F.posexplode(F.regexp_extract_all("raw_text", F.lit(SHORT_RUN), F.lit(0))).alias("pos", "raw_text")
-    )
-    found = (
-        inner.select(
-            *keys,
-            (F.col("run_pos") * 100_000 + F.col("pos")).alias("pos"),
-            F.regexp_extract("raw_text", SHORT_RUN, 1).alias("before"),
-            F.regexp_extract("raw_text", SHORT_RUN, 2).alias("whole"),
-            F.regexp_extract("raw_text", SHORT_RUN, 3).alias("number"),
-        )
-        .withColumn("run", F.right("whole", F.lit(40)))
-        .withColumn("blocked", (F.col("before") != "") & (F.length("whole") <= 40))
-        .drop("whole", "before")
-    )
-    runs = found.select("run", "blocked").distinct()
-    suffixes = runs.select(
-        "run", "blocked", F.explode(F.sequence(F.lit(2), F.length("run"))).alias("size")
-    ).filter(~(F.col("blocked") & (F.col("size") == F.length("run"))))
+    found = matches.select(
+        *keys, "pos", F.regexp_extract("raw_text", LABELLED, 1).alias("run"), F.regexp_extract("raw_text", LABELLED, 2).alias("number")
+    )
+    endings = titles.select(F.right("short", F.lit(2)).alias("ending")).distinct()
+    runs = found.select("run").distinct().withColumn("ending", F.right("run", F.lit(2))).join(endings, "ending", "left_semi")
+    sizes = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("run"))
+    suffixes = runs.select("run", F.explode(sizes).alias("size")).filter(
+        ~F.expr("substring(run, length(run) - size, IF(length(run) > size, 1, 0))").isin("《", "》", "〈", "〉")
+    )
     longest = (
         suffixes.withColumn("short", F.expr("right(run, size)"))
         .join(titles, "short")
-        .groupBy("run", "blocked")
+        .groupBy("run")
         .agg(F.max_by(F.struct("short", "full"), "size").alias("hit"))
     )
-    return found.join(longest, ["run", "blocked"]).select(
+    return found.join(longest, "run").select(
         *keys,
         "pos",
         F.concat("hit.short", F.lit("第"), "number", F.lit("条")).alias("raw_text"),
@@ -128,8 +129,11 @@ def match_short(matches: DataFrame, keys: list[str], titles: DataFrame) -> DataF
 
 def cite_short(nodes: DataFrame, keys: list[str], titles: DataFrame, content: str = "content") -> DataFrame:
     """Bare short titles before an article number, longest title first."""
-    runs = nodes.select(*keys, F.posexplode(labelled_runs(F.col(content))).alias("pos", "raw_text"))
-    return match_short(materialize(runs), keys, titles)
+    titles = materialize(titles)
+    lengths = title_lengths(titles)
+    segments = labelled_segments(F.col(content), max(lengths, default=0))
+    runs = nodes.select(*keys, F.posexplode(segments).alias("pos", "raw_text"))
+    return match_short(materialize(runs), keys, titles, lengths)
 
 
 def context_alias(law_title: Column, short: Column) -> Column:
@@ -171,7 +175,8 @@ def article_index(articles: DataFrame, laws: DataFrame) -> DataFrame:
     keyed = located.join(titled, "law_id").select(
         F.explode(F.array_distinct(F.array(F.trim("title"), strip_prc(F.col("title"))))).alias("key"),
         "label",
-        F.when(F.col("law_id") == F.col("preferred_id"), -1).otherwise(F.col("law_id")).alias("rank"),
+        # The preferred version first, then the lowest id: no two laws share a rank.
+        F.when(F.col("law_id") == F.col("preferred_id"), F.col("law_id")).otherwise(F.col("law_id") + F.lit(1 << 62)).alias("rank"),
         F.col("law_id").alias("loc_law_id"),
         *[f"loc_{c}" for c in LOCATION],
     )
@@ -235,8 +240,8 @@ def first_citation(cites: DataFrame, source: list[str], target: list[str], order
 SOURCE_KEYS = ["law_id", "global_order", "article_num", "chapter_num", "section_num", "part_num"]
 
 
-def citation_matches(articles: DataFrame, keys: list[str]) -> DataFrame:
-    """All three kinds of match of an article in one scan of its text."""
+def citation_matches(articles: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """All three kinds of match of an article in one scan of its text; ``longest`` is the length of the longest short title."""
 
     def tagged(matches: Column, number: int) -> Column:
         return F.transform(matches, lambda m, i: F.struct(F.lit(number).alias("pass"), i.alias("pos"), m.alias("raw_text")))
@@ -244,7 +249,7 @@ def citation_matches(articles: DataFrame, keys: list[str]) -> DataFrame:
     text = F.col("content")
     found = F.concat(
         tagged(F.regexp_extract_all(text, F.lit(QUOTED), F.lit(0)), 1),
-        tagged(labelled_runs(text), 2),
+        tagged(labelled_segments(text, longest), 2),
         tagged(F.regexp_extract_all(text, F.lit(SELF), F.lit(0)), 3),
     )
     return articles.select(*keys, F.inline(found))
@@ -268,11 +273,12 @@ def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
     the later steps use them several times.
     """
     keys = SOURCE_KEYS
-    shorts = short_titles(laws)
+    shorts = materialize(short_titles(laws))
+    lengths = title_lengths(shorts)
     current = laws.filter(F.col("is_current") == 1).select(F.col("id").alias("law_id"), F.col("title").alias("law_title"))
-    found = materialize(citation_matches(articles, keys))
+    found = materialize(citation_matches(articles, keys, max(lengths, default=0)))
     quoted = _split_match(found.filter("pass = 1"), keys, QUOTED, 1, 2).withColumn("pass", F.lit(1))
-    bare = match_short(found.filter("pass = 2"), keys, shorts).withColumn("pass", F.lit(2))
+    bare = match_short(found.filter("pass = 2"), keys, shorts, lengths).withColumn("pass", F.lit(2))
     own = _split_match(found.filter("pass = 3"), keys, SELF, None, 1).withColumn("pass", F.lit(3))
     cites = quoted.unionByName(bare).unionByName(own).join(current, "law_id")
     cites = cites.withColumn("short", strip_prc(F.col("to_title"))).join(
@@ -427,21 +433,25 @@ def cited_by(edges: DataFrame, laws: DataFrame) -> DataFrame:
     )
 
 
+def substrings(df: DataFrame, text: str, lengths: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` once for each distinct substring of ``text`` that has one of the ``lengths`` (column ``size``)."""
+    sized = df.filter(F.length(text) >= 1).withColumn("size", F.explode(F.sequence(F.lit(1), F.length(text)))).join(lengths, "size")
+    cut = F.expr(f"transform(sequence(1, length(`{text}`) - size + 1), i -> substring(`{text}`, i, size))")
+    return sized.select(*df.columns, F.explode(F.array_distinct(cut)).alias(name))
+
+
 def find_by_fragment(refs: DataFrame, laws: DataFrame, articles: DataFrame) -> DataFrame:
     """Article whose label is equal and whose law title contains the
     fragment; first in (law_id, global_order).
 
-    Titles that contain a fragment are found by an equi join on the fragment's
-    first three characters at any title position, then verified.
+    Each title gives its substrings of the lengths that fragments have, and
+    those are joined to the whole fragments: a key is as rare as the fragment.
     """
     wanted = refs.select("fragment", "label").distinct()
-    frags = wanted.select("fragment").distinct().filter(F.length("fragment") >= 3).withColumn("gram", F.substring("fragment", 1, 3))
+    frags = wanted.select("fragment").distinct().filter(F.length("fragment") >= 1)
     titles = laws.filter(F.col("is_current") == 1).select("title").distinct()
-    grams = titles.filter(F.length("title") >= 3).select(
-        "title",
-        F.explode(F.array_distinct(ngrams(F.col("title"), 3))).alias("gram"),
-    )
-    matches = frags.join(grams, "gram").filter(F.col("title").contains(F.col("fragment"))).select("fragment", "title")
+    lengths = frags.select(F.length("fragment").alias("size")).distinct()
+    matches = frags.join(substrings(titles, "title", lengths, "fragment"), "fragment").select("fragment", "title").distinct()
     current = laws.filter(F.col("is_current") == 1).select(F.col("id").alias("law_id"), "title")
     labelled = articles.filter(F.col("article_number").isNotNull()).groupBy("law_id", F.col("article_number").alias("label")).agg(
         F.min("global_order").alias("global_order")

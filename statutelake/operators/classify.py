@@ -58,17 +58,16 @@ def domain_score(title: Column, rules: Rules = r.DOMAIN_RULES) -> Column:
 
 
 def classify_domain(laws: DataFrame, exact: DataFrame | None = None) -> DataFrame:
-    """K1: exact title, else score, else the category's default."""
-    out = laws.withColumn("_key", title_key(F.col("title")))
+    """K1: exact title (as it is, else without the country prefix), else score, else the category's default."""
+    out = laws.withColumn("_key", title_key(F.col("title"))).withColumn("_bare", title_key(F.replace("title", F.lit(PRC), F.lit(""))))
     if exact is not None:
-        both = exact.select(title_key(F.col("title")).alias("_key"), "domain").unionByName(
-            exact.select(title_key(F.replace("title", F.lit(PRC), F.lit(""))).alias("_key"), "domain")
-        ).groupBy("_key").agg(F.max("domain").alias("exact_domain"))
-        out = out.join(both, "_key", "left")
+        known = exact.select(title_key(F.col("title")).alias("_key"), "domain").groupBy("_key").agg(F.max("domain").alias("_full"))
+        out = out.join(known, "_key", "left").join(known.select(F.col("_key").alias("_bare"), F.col("_full").alias("_short")), "_bare", "left")
+        out = out.withColumn("exact_domain", F.coalesce("_full", "_short")).drop("_full", "_short")
     else:
         out = out.withColumn("exact_domain", F.lit(None).cast("string"))
     default = map_value(F.col("category"), r.DOMAIN_DEFAULTS)
-    return out.withColumn("domain", F.coalesce("exact_domain", domain_score(F.col("title")), default)).drop("_key", "exact_domain")
+    return out.withColumn("domain", F.coalesce("exact_domain", domain_score(F.col("title")), default)).drop("_key", "_bare", "exact_domain")
 
 
 def reclassify(laws: DataFrame, source: str) -> DataFrame:

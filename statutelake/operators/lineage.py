@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -11,25 +12,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only if none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Without it a local session gets a temporary folder of its own, as all its
+    tasks run on this machine; a cluster raises.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="statutelake-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        jvm = spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+
+
+def new_path(spark: SparkSession, kind: str) -> str:
+    """A path in the shared folder whose files go when the driver ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet into the shared folder and read it back.
 
     The result survives lost executors, and later uses scan only the columns
     they need in place of repeating the work behind ``df``.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    schema = df.schema
+    spark, schema = df.sparkSession, df.schema
+    path = new_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)

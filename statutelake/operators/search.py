@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statutelake.functions.text import cjk_count, ngrams, windows
+from statutelake.operators.citations import substrings
 from statutelake.operators.ordered import top_per_group
 
 BROADCAST_TERMS = 100_000
@@ -275,11 +276,16 @@ def retrieve(experts: DataFrame, expert_terms: DataFrame, nodes: DataFrame, laws
 
 def interpretations_for(laws: DataFrame, titles: DataFrame, n: int) -> DataFrame:
     """Current interpretations whose title or promulgation text has the
-    first six characters of a law's short title; newest n per title.
+    first six characters of a law's short title (the whole of a shorter one);
+    newest n per title.
 
-    Both texts are cut into their six-character grams and joined by equality.
+    Both texts give their substrings of the lengths that occur, which are joined
+    to the probes by equality.
     """
-    probe = titles.select("title", F.substring("title", 1, 6).alias("gram")).filter(F.length("gram") == 6)
-    interp = laws.filter((F.col("category") == "司法解释") & (F.col("is_current") == 1)).select(
-        "id", "pub_date", F.explode(F.array_distinct(F.concat(ngrams(F.col("title"), 6), ngrams(F.col("promulgation_info"), 6)))).alias("gram"))
-    return top_per_group(interp.join(probe, "gram").select("title", "id", "pub_date"), ["title"], [F.desc("pub_date"), F.col("id")], n, rank="place")
+    probe = titles.select("title", F.substring("title", 1, 6).alias("gram")).filter(F.length("gram") >= 1)
+    lengths = probe.select(F.length("gram").alias("size")).distinct()
+    interp = laws.filter((F.col("category") == "司法解释") & (F.col("is_current") == 1))
+    texts = interp.select("id", "pub_date", F.col("title").alias("text")).unionByName(
+        interp.select("id", "pub_date", F.col("promulgation_info").alias("text")))
+    found = substrings(texts, "text", lengths, "gram").join(probe, "gram").select("title", "id", "pub_date").distinct()
+    return top_per_group(found, ["title"], [F.desc("pub_date"), F.col("id")], n, rank="place")

@@ -141,10 +141,10 @@ query("c17_import_translations", sql(
     lambda s, d: ident.import_translations(A(s, d), A(s, d).filter("article_number IS NOT NULL").select(
         "law_id", c("global_order").alias("pos"), F.concat(F.lit("第"), "article_num", F.lit("条")).alias("article_number"), "content_en")))
 query("c18_import_by_number", sql(
-    """SELECT a.law_id, a.global_order, 'T' || a.article_num AS new_en FROM articles a JOIN laws l ON l.id = a.law_id WHERE l.category = '法律' AND a.article_num <= 50""", "articles", "laws"))(
+    """SELECT a.law_id, a.global_order, 'T' || a.article_num AS new_en FROM articles a JOIN laws l ON l.id = a.law_id WHERE l.category = '法律' AND a.article_num <= 60""", "articles", "laws"))(
     lambda s, d: ident.import_by_number(A(s, d), L(s, d).withColumn("filename", F.concat("filename", F.lit("#"), "id")),
                                         T(s, d, "part").select("p_partkey").join(L(s, d).filter("category = '法律'").select(c("id").alias("p_partkey"), F.concat("filename", F.lit("#"), "id").alias("filename"), "category"), "p_partkey")
-                                        .select("filename", "category", F.explode(F.sequence(F.lit(1), F.lit(50))).alias("number")).withColumn("content_en", F.concat(F.lit("T"), "number"))))
+                                        .select("filename", "category", F.explode(F.sequence(F.lit(1), F.lit(60))).alias("number")).withColumn("content_en", F.concat(F.lit("T"), "number"))))
 _RANGES = {"法律": (2_000_000_000, 100_000_000_000), "行政法规": (200_000_000_000, 100_000_000_000), "司法解释": (400_000_000_000, 100_000_000_000), "修正案": (600_000_000_000, 100_000_000_000)}
 
 

@@ -220,7 +220,7 @@ query("i17_retrieve_chain", sql(_retrieved(5, 10, 8), *_RN))(
 query("c16_interpretations_for", sql(
     """SELECT * FROM (SELECT t.title, l.id, l.pub_date, row_number() OVER (PARTITION BY t.title ORDER BY l.pub_date DESC, l.id) AS place FROM (
        SELECT DISTINCT replace(title, '中华人民共和国', '') AS title FROM laws WHERE category = '法律') t JOIN laws l ON l.category = '司法解释' AND l.is_current = 1
-       AND length(t.title) >= 6 AND (contains(l.title, t.title[1:6]) OR contains(l.promulgation_info, t.title[1:6]))) WHERE place <= 5""", "laws"))(
+       AND length(t.title) >= 1 AND (contains(l.title, t.title[1:6]) OR contains(l.promulgation_info, t.title[1:6]))) WHERE place <= 5""", "laws"))(
     lambda s, d: se.interpretations_for(L(s, d), L(s, d).filter("category = '法律'").select(cit.strip_prc(c("title")).alias("title")).distinct(), 5))
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from statutelake.operators import classify as cl
 from statutelake.operators import documents as doc
-from statutelake.operators.lineage import shared_folder
+from statutelake.operators.lineage import new_path
 from statutelake.plans import corpus
 from statutelake.plans.oracle import cte, sql
 from statutelake.plans.registry import query
@@ -20,29 +18,30 @@ c = F.col
 
 
 def _folder(spark) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    return new_path(spark, "run")
+
+
+def _stream(s, d, name: str, files: int = inc.FILES_PER_BATCH):
+    return inc.read_stream(s, f"{d.rstrip('/')}/{name}.parquet", T(s, d, name).schema, files)
 
 
 def _events(s, d):
-    return inc.read_stream(s, d, T(s, d, "events").schema, glob="events.parquet").withColumn("ts", c("ts").cast("timestamp"))
+    return _stream(s, d, "events").withColumn("ts", c("ts").cast("timestamp"))
 
 
-def _to_table(stream, s, mode: str):
-    """Run a stream over all its input into a parquet table and read it."""
+def _deltas(stream, s, work):
+    """Run a stream over all its input; the deltas that ``work`` makes of its batches."""
     out = _folder(s)
-    schema = stream.schema
-    if mode == "append":
-        stream.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-        return s.read.schema(schema).parquet(f"{out}/data")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/state").trigger(availableNow=True)
-    writer.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/data")).start().awaitTermination()
-    return s.read.schema(schema).parquet(f"{out}/data")
+    schema = work(s.createDataFrame([], stream.schema)).schema
+    inc.run_batches(stream, f"{out}/state", inc.delta_handler(f"{out}/data", work))
+    return inc.read_deltas(s, f"{out}/data", schema)
 
 
 @query("m2_unseen_documents", sql("SELECT DISTINCT user_id FROM events"))
 def m2(s, d):
-    twice = _events(s, d).select("user_id", "ts")
-    return _to_table(inc.unseen_documents(twice, "user_id", "ts", "3650 days").select("user_id"), s, "append")
+    out, stream = _folder(s), _events(s, d).select("user_id")
+    inc.run_batches(stream, f"{out}/state", inc.unseen_handler(f"{out}/data", "user_id", stream.schema))
+    return inc.read_deltas(s, f"{out}/data", stream.schema).select("user_id")
 
 
 @query("m3_sliding_rate", sql(
@@ -56,7 +55,7 @@ def m3(s, d):
     """SELECT strftime(to_timestamp(m * 60) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM (
        SELECT event_type, unnest([CAST(floor(epoch(ts) / 60) AS BIGINT) - 1, CAST(floor(epoch(ts) / 60) AS BIGINT)]) AS m FROM events) GROUP BY 1, 2"""))
 def m3_stream(s, d):
-    return _to_table(inc.sliding_rate(_events(s, d), "3650 days"), s, "complete").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+    return inc.fold_rates(_deltas(_events(s, d), s, inc.sliding_rate)).select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
 _LOG = "SELECT event_type AS source, ts, event_id AS seq, CASE WHEN event_type = 'error' THEN 'ERROR' WHEN user_id < 20 THEN 'phase=p' || user_id ELSE 'done=' || user_id END AS text FROM events"
@@ -78,26 +77,26 @@ def m4(s, d):
 
 @query("m4_log_state_stream", sql(_STATE))
 def m4_stream(s, d):
-    return _to_table(inc.log_state(_log(_events(s, d))), s, "complete").drop("last_ts")
+    return inc.fold_log_state(_deltas(_log(_events(s, d)), s, inc.log_delta)).drop("last_ts")
 
 
 @query("m5_upsert_stream", sql("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE o_orderstatus END AS note FROM orders"))
 def m5_stream(s, d):
-    folder = _folder(s)
-    T(s, d, "orders").select("o_orderkey", F.when(c("o_orderkey") % 2 == 0, c("o_orderpriority")).otherwise("").alias("note")).write.parquet(f"{folder}/v=-1")
-    updates = inc.read_stream(s, d, T(s, d, "orders").schema, glob="orders.parquet").select("o_orderkey", c("o_orderstatus").alias("note"))
-    inc.run_batches(updates, f"{folder}-state", inc.upsert_handler(folder, ["o_orderkey"], ["note"]))
-    return s.read.parquet(f"{folder}/v=0")
+    target = T(s, d, "orders").select("o_orderkey", F.when(c("o_orderkey") % 2 == 0, c("o_orderpriority")).otherwise("").alias("note"))
+    updates = _stream(s, d, "orders").select("o_orderkey", c("o_orderstatus").alias("note"))
+    out = _folder(s)
+    inc.run_batches(updates, f"{out}/state", inc.upsert_handler(f"{out}/data", ["o_orderkey"], ["note"]))
+    return inc.filled(target, inc.read_deltas(s, f"{out}/data", updates.schema), ["o_orderkey"], ["note"])
 
 
 @query("m6_ids_stream", sql("SELECT 'f' || p_partkey AS filename, CASE WHEN p_size < 25 THEN 'a' ELSE 'b' END AS category, CASE WHEN p_size < 25 THEN 0 ELSE 1000000000000 END + row_number() OVER (PARTITION BY p_size < 25 ORDER BY p_type, 'f' || p_partkey) - 1 AS id FROM part"))
 def m6_stream(s, d):
-    folder = _folder(s)
-    s.createDataFrame([], "filename string, category string, id bigint").write.parquet(f"{folder}/v=-1")
-    docs = inc.read_stream(s, d, T(s, d, "part").schema, glob="part.parquet").select(
+    base = s.createDataFrame([], "filename string, category string, id bigint")
+    docs = _stream(s, d, "part").select(
         F.concat(F.lit("f"), "p_partkey").alias("filename"), F.when(c("p_size") < 25, "a").otherwise("b").alias("category"), c("p_type").alias("pub_date"))
-    inc.run_batches(docs, f"{folder}-state", inc.id_handler(folder, {"a": (0, 1_000_000_000_000), "b": (1_000_000_000_000, 1_000_000_000_000)}))
-    return s.read.parquet(f"{folder}/v=0")
+    out = _folder(s)
+    inc.run_batches(docs, f"{out}/state", inc.id_handler(f"{out}/data", base, {"a": (0, 1_000_000_000_000), "b": (1_000_000_000_000, 1_000_000_000_000)}))
+    return inc.read_deltas(s, f"{out}/data", base.schema).select(*base.columns)
 
 
 @query("a6_prefer_source", sql("SELECT doc_id, 'text' AS kind FROM documents WHERE lang = 'en' UNION ALL SELECT page_id, 'page' FROM pages WHERE page_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')"))
