@@ -52,6 +52,61 @@ SUBGROUP_RULES = {
         ("特殊群体保护", ["残疾人", "妇女", "未成年人", "老年人", "退役军人"]),
     ], "劳动就业"),
 }
+# Subgroups of criminal law; titles with one of the first words belong to the code itself.
+CRIMINAL_CODE = "刑法及修正案"
+CRIMINAL_CODE_WORDS = ["刑法修正案", "时间效力", "适用刑法", "适用修订刑法", "不再追诉", "罪名补充规定", "认真学习宣传贯彻", "罪名的补充规定"]
+CRIMINAL_RULES = [
+    ("侵犯财产", ["盗窃", "诈骗", "敲诈", "抢夺", "抢劫", "挪用", "强迫借贷", "拾得他人信用卡", "盗用", "赃物", "合同诈骗", "赃物估价", "职务侵占", "经济犯罪嫌疑"]),
+    ("经济犯罪", ["非法经营", "非法集资", "非法放贷", "知识产权", "侵犯知识产权", "税收", "生产销售伪劣", "伪劣商品", "赌博", "洗钱", "伪造", "假币", "危害税收", "税收征管", "非法制造"]),
+    ("贪污贿赂", ["受贿", "行贿", "贪污", "职务犯罪", "渎职", "渎职侵权", "私放在押人员", "挪用", "第二百二十九条"]),
+    ("人身犯罪", ["非法行医", "袭警", "寻衅滋事", "性侵", "强奸", "猥亵", "嫖宿", "未成年人犯罪", "拐卖", "绑架", "故意伤害", "杀人", "人身", "虐待", "遗弃", "非法采供血液", "虐待被监管人", "强制隔离戒毒"]),
+    ("毒品与走私", ["毒品", "走私", "毒鼠强", "制毒", "贩毒", "麻醉药品", "精神药品", "易制毒"]),
+    ("妨害社会管理秩序", [
+        "计算机犯罪", "网络犯罪", "信息网络", "淫秽", "诽谤", "开设赌场", "组织考试作弊", "黑社会", "恶势力", "虚假诉讼", "扰乱法庭", "破坏监管", "脱逃", "组织越狱",
+        "妨害国", "出入境", "文物犯罪", "环境犯罪", "黑土地", "破坏公用电信", "枪支", "弹药", "爆炸物", "军用", "军职", "逃离部队", "非法制造", "买卖", "运输", "储存",
+        "非法采供血液", "公务用枪", "假币", "拒不执行判决", "掩饰、隐瞒", "第三百一十三条",
+    ]),
+    ("刑罚执行", ["减刑", "假释", "暂予监外执行", "禁止令", "缓刑", "台湾地区服刑", "无期徒刑", "缓刑犯"]),
+    ("证据规则", ["证据", "电子数据", "非法证据"]),
+    ("刑事诉讼程序", ["管辖", "程序规定", "移送", "集团犯罪", "量刑程序", "涉嫌犯罪单位", "行政执法机关", "公安机关"]),
+    ("审判监督", ["冤假错案", "申诉", "文化大革命"]),
+    ("辩护与代理", ["辩护人", "在押犯罪嫌疑人"]),
+    ("未成年人刑事程序", ["未成年人刑事案件"]),
+]
+# Subgroups of laws in administrative and public law.
+ADMIN_LAW_RULES = [
+    ("教育科技", ["教育", "教师", "学位", "学校", "高等教育", "学前教育", "职业教育", "义务教育", "家庭教育", "爱国主义教育", "公共图书馆", "科学技术普及", "科学技术进步"]),
+    ("卫生医药", [
+        "卫生", "医疗", "医药", "药品", "食品安全", "传染病", "精神卫生", "疫苗", "献血", "母婴保健", "医师", "基本医疗卫生", "突发公共卫生", "红十字会",
+        "动物防疫", "进出境动植物检疫", "农产品质量安全", "生物安全",
+    ]),
+    ("生态环境", [
+        "环境保护", "环境影响评价", "生态环境", "污染", "排污", "黑土地", "青藏高原", "长江保护", "黄河保护", "湿地保护", "海岛保护", "海洋环境", "水土保持",
+        "野生动物", "森林法", "草原法", "水法", "国家公园", "核安全",
+    ]),
+    ("公安司法", [
+        "治安管理", "警察", "枪支", "禁毒", "监狱", "社区矫正", "国家安全", "保密", "居民身份证", "户口登记", "出入境", "护照", "集会游行示威", "网络安全",
+        "数据安全", "密码法", "人民防空", "出境入境管理", "突发事件应对", "保守国家秘密", "律师法", "人民警察",
+    ]),
+    ("社会民政", [
+        "城市居民委员会", "村民委员会", "境外非政府组织", "归侨侨眷", "残疾人", "老年人", "未成年人", "体育法", "公共文化", "文物保护", "非物质文化遗产",
+        "电影产业", "语言文字", "人口与计划生育", "无障碍环境",
+    ]),
+    ("信息通信", ["个人信息保护", "网络安全", "数据安全", "密码法"]),
+    ("土地城建", ["土地管理", "城乡规划", "房地产", "城市房地产", "测绘法"]),
+    ("自然资源", ["气象法", "海域使用", "档案法", "水下文物"]),
+    ("劳动就业", ["矿山安全", "特种设备", "安全生产", "危险化学品"]),
+    ("税务财政", ["行政处罚", "行政许可", "行政强制", "行政复议", "国家赔偿", "公务员"]),
+]
+# Subgroups of litigation and judicial procedure.
+PROCEDURE_RULES = [
+    ("民事诉讼", ["民事诉讼", "海事诉讼", "民事执行", "民事调解", "民事审判", "民事案件", "民事裁定", "民事诉讼证据"]),
+    ("刑事诉讼", ["刑事诉讼", "死刑复核", "刑事再审", "刑事案件", "刑事裁定", "刑事诉讼证据", "刑事审判", "批捕", "逮捕", "羁押"]),
+    ("行政诉讼", ["行政诉讼", "行政案件", "行政裁定", "行政赔偿", "国家赔偿", "行政执行", "行政诉讼证据", "行政复议"]),
+    ("律师、仲裁与公证", ["律师", "公证", "仲裁法", "法律援助", "仲裁委员会", "人民调解"]),
+    ("文书、送达与废止", ["送达", "文书", "废止", "司法协助", "法庭规则", "巡回法庭", "互联网法院", "国际商事法庭", "知识产权法庭"]),
+]
+SUBGROUP_RULES["诉讼与司法程序"] = (PROCEDURE_RULES, "文书、送达与废止")
 # Basic laws (rank 2).
 BASIC_LAWS = [
     "中华人民共和国宪法", "中华人民共和国刑法", "中华人民共和国民法典", "中华人民共和国刑事诉讼法", "中华人民共和国民事诉讼法",
@@ -65,6 +120,6 @@ SUBJECT_RULES = [
 ]
 TAXONOMY_RULES = [
     ("刑事法", ["刑法", "刑事诉讼"]), ("民事法", ["民法典", "合同", "民事诉讼", "仲裁"]), ("行政法", ["行政处罚", "国家赔偿"]),
-    ("经济与商事法", ["公司法", "证券", "银行", "保险"]), ("劳动与社会保障", ["劳动法", "就业"]), ("知识产权", ["专利", "商标"]), ("税法与财政", ["税"]),
+    ("经济与商事法", ["公司法", "证券", "银行", "保险"]), ("税法与财政", ["税"]), ("劳动与社会保障", ["劳动法", "就业"]), ("知识产权", ["专利", "商标"]),
 ]
 CATEGORY_EN = {"法律": "Law", "行政法规": "Administrative Regulation", "司法解释": "Judicial Interpretation", "修正案": "Amendment"}

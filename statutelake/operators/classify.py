@@ -87,18 +87,26 @@ def subject_area(laws: DataFrame, rules: Rules = r.SUBJECT_RULES) -> DataFrame:
     return laws.withColumn("subject_area", F.when(F.col("category") == "行政法规", first_match(F.col("title"), rules, "其他")))
 
 
-def menu_path(laws: DataFrame) -> DataFrame:
+def menu_path(laws: DataFrame, subgroups: dict[str, tuple[Rules, str]] = r.SUBGROUP_RULES, criminal: Rules = r.CRIMINAL_RULES,
+              administrative: Rules = r.ADMIN_LAW_RULES) -> DataFrame:
     """K4: menu group and subgroup."""
-    group = F.coalesce(map_value(F.col("legal_domain"), r.DOMAIN_GROUPS), map_value(F.col("category"), r.CATEGORY_GROUPS), F.lit("其他"))
-    regulation = F.concat_ws("/", F.lit("行政法规"), F.col("subject_area"))
-    state = F.when(F.col("category") == "宪法", "宪法").when(F.col("category").isin("司法解释", "法律解释"), "司法解释").otherwise("法律及决定")
-    sub = F.when(F.col("menu_group") == "宪法与国家机构", state)
-    for name, (rules, default) in r.SUBGROUP_RULES.items():
-        sub = sub.when(F.col("menu_group") == name, first_match(F.col("title"), rules, default))
-    code = (F.col("menu_group") == "民事与商事") & ((F.col("legal_domain") == "民法典") | F.contains("title", F.lit("民法典")))
+    title, category, group_name = F.col("title"), F.col("category"), F.col("menu_group")
+    group = F.coalesce(map_value(F.col("legal_domain"), r.DOMAIN_GROUPS), map_value(category, r.CATEGORY_GROUPS), F.lit("其他"))
+    regulation = F.concat_ws("/", F.lit("行政法规"), F.nullif(F.col("subject_area"), F.lit("")))
+    state = F.when(category == "宪法", "宪法").when(category.isin("司法解释", "法律解释"), "司法解释").otherwise("法律及决定")
+    code = category.isin("法律", "修正案", "法律解释") | any_of(title, r.CRIMINAL_CODE_WORDS)
+    crime = F.when(code, r.CRIMINAL_CODE).otherwise(first_match(title, criminal, "检察院"))
+    public = (
+        F.when(category == "法律", first_match(title, administrative, "行政法律"))
+        .when(any_of(title, ["国家赔偿", "行政赔偿"]), "国家赔偿").otherwise("行政法律")
+    )
+    sub = F.when(group_name == "宪法与国家机构", state).when(group_name == "刑事", crime).when(group_name == "行政与公法", public)
+    for name, (rules, default) in subgroups.items():
+        sub = sub.when(group_name == name, first_match(title, rules, default))
+    civil_code = (group_name == "民事与商事") & ((F.col("legal_domain") == "民法典") | F.contains("title", F.lit("民法典")))
     return laws.withColumn("menu_group", group).withColumn(
         "subgroup",
-        F.when(code, "民法典").when((F.col("category") == "行政法规") & (F.col("menu_group") != "其他"), regulation).otherwise(F.coalesce(sub, F.lit(""))),
+        F.when(civil_code, "民法典").when((category == "行政法规") & (group_name != "其他"), regulation).otherwise(F.coalesce(sub, F.lit(""))),
     )
 
 
@@ -109,9 +117,10 @@ def menu_order(menu: DataFrame, order: list[str] = r.GROUP_ORDER) -> DataFrame:
     return placed.orderBy("group_pos", "menu_group", "subgroup")
 
 
-def taxonomy_domain(laws: DataFrame, rules: Rules = r.TAXONOMY_RULES) -> DataFrame:
-    """K5: most keywords in title and opening (200 characters by rule)."""
-    opening = F.concat(F.col("title"), F.lit(" "), F.substring("full_text", 1, 200))
+def taxonomy_domain(laws: DataFrame, rules: Rules = r.TAXONOMY_RULES, opening: int | None = None) -> DataFrame:
+    """K5: most keywords in title and text; ``opening`` looks at so many characters of the text only."""
+    text = F.col("full_text") if opening is None else F.substring("full_text", 1, opening)
+    opening = F.concat(F.col("title"), F.lit(" "), F.coalesce(text, F.lit("")))
     scores = [(name, hits(opening, words)) for name, words in rules]
     return laws.withColumn("taxonomy", F.coalesce(best_match(scores), F.lit("其他")))
 

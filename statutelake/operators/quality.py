@@ -18,7 +18,7 @@ Findings = list[tuple[str, str, Column]]
 # Patterns of the text-noise and style rules.
 PAGE_FIELD = r"(?U)[-－]\s*PAGE\s+\d+\s*[-－]"
 L_BEFORE_UNIT = r"(?U)(?<!\w)l(?=月|年|日|万|千|百|元|％|%|位|个|项|条|款)"
-LEGAL_WORDS = ["PH", "P2P", "DNA", "RNA", "GDP", "CPI", "GPS", "HIV", "ATM", "IT", "TV", "PC", "APP", "WI-FI", "WIFI", "IP", "QQ", "AI"]
+LEGAL_WORDS = ["pH", "P2P", "DNA", "RNA", "GDP", "CPI", "GPS", "HIV", "ATM", "IT", "TV", "PC", "APP", "Wi-Fi", "WiFi", "IP", "QQ", "AI"]
 UNTRANSLATED_TERMS = ["人民法院", "人民检察院", "最高人民法院", "最高人民检察院", "国务院"]
 # Repealing decision and the day it took effect.
 REPEAL_DATES = {
@@ -50,10 +50,33 @@ def noise(articles: DataFrame) -> DataFrame:
 
 
 def suspicious_latin(articles: DataFrame) -> DataFrame:
-    """Latin fragments that are neither allowed words nor model names."""
-    frags = articles.select("law_id", "global_order", F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit("[A-Za-z][A-Za-z\\d\\-]*"), F.lit(0)))).alias("fragment"))
-    legal = F.upper("fragment").isin(*LEGAL_WORDS) | F.col("fragment").rlike("[A-Za-z]+\\d*[-－]\\d+|\\d+[A-Za-z]+|[a-zA-Z]+\\d+[a-zA-Z]*|P2P|pH值?")
-    return frags.filter(~legal & (F.length("fragment") > 1))
+    """Latin fragments that are neither allowed words nor model names.
+
+    A word is allowed as written, or if its upper form is listed. A single
+    letter counts only between a digit and a unit, or before a digit.
+    """
+    frags = articles.select(
+        "law_id", "global_order", "content",
+        F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit("[A-Za-z][A-Za-z\\d\\-]*"), F.lit(0)))).alias("fragment"))
+    legal = (
+        F.col("fragment").isin(*LEGAL_WORDS) | F.upper("fragment").isin(*LEGAL_WORDS)
+        | F.col("fragment").rlike("[A-Za-z]+\\d*[-－]\\d+|\\d+[A-Za-z]+|[a-zA-Z]+\\d+[a-zA-Z]*|P2P|pH值?")
+    )
+    around = F.expr("substring(content, greatest(instr(content, fragment) - 4, 1), instr(content, fragment) + 5 - greatest(instr(content, fragment) - 4, 1))")
+    letter = F.rlike(around, F.concat(F.lit("\\d"), "fragment", F.lit("[月年日万]"))) | F.rlike(around, F.concat("fragment", F.lit("\\d")))
+    return frags.filter(~legal & ((F.length("fragment") > 1) | letter)).drop("content")
+
+
+# Signs, the pattern of an English law name, and the names with one spelling.
+CHINESE_PUNCTUATION = ["，", "。", "；", "：", "、", "（", "）", "！", "？", '"']
+LAW_NAME = r"(?:the\s+)?([A-Z][A-Za-z\s]+(?:Law|Code|Regulation))"
+LAW_NAMES = ["Criminal Law", "Civil Code"]
+
+
+def _other_name(name: Column) -> Column:
+    """A spelling of a common law's name that differs in case from the agreed one."""
+    name = F.trim(name)
+    return F.lower(name).isin(*[n.lower() for n in LAW_NAMES]) & ~name.isin(*LAW_NAMES)
 
 
 def translation_style(articles: DataFrame) -> DataFrame:
@@ -72,7 +95,9 @@ def translation_style(articles: DataFrame) -> DataFrame:
         ("high", "untranslated_article", t.rlike("第[一二三四五六七八九十百千\\d]+条")),
         ("high", "untranslated_paragraph", t.rlike("第[一二三四五六七八九十\\d]+[款项]")),
         ("low", "lower_case_article", t.rlike("\\barticle\\s+\\d+")),
-        ("medium", "chinese_punctuation", t.rlike("[，。；：！？（）【】、]")),
+        *[("high", f"chinese_punctuation {sign}", t.contains(sign)) for sign in CHINESE_PUNCTUATION],
+        ("medium", "full_width_blank", t.contains("\u3000")),
+        ("low", "law_name", F.exists(F.regexp_extract_all(t, F.lit(LAW_NAME), F.lit(1)), _other_name)),
         ("low", "double_blank", t.rlike(" {2,}")),
     ])
 

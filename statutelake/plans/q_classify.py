@@ -47,6 +47,10 @@ query("k3_subject_area", sql("SELECT id, subject_area FROM subjects", "subjects"
 _SUB = " ".join(
     f"WHEN menu_group = '{g}' THEN coalesce((SELECT arg_min(target, pos) FROM {values(rules)} WHERE contains(title, word)), '{default}')"
     for g, (rules, default) in r.SUBGROUP_RULES.items())
+_HIT = "coalesce((SELECT arg_min(target, pos) FROM {} WHERE contains(title, word)), '{}')"
+_SUB += f""" WHEN menu_group = '刑事' THEN CASE WHEN category IN ('法律', '修正案', '法律解释') OR regexp_matches(title, '{"|".join(r.CRIMINAL_CODE_WORDS)}') THEN '刑法及修正案'
+      ELSE {_HIT.format(values(r.CRIMINAL_RULES), "检察院")} END WHEN menu_group = '行政与公法' THEN CASE WHEN category = '法律' THEN {_HIT.format(values(r.ADMIN_LAW_RULES), "行政法律")}
+      WHEN regexp_matches(title, '国家赔偿|行政赔偿') THEN '国家赔偿' ELSE '行政法律' END"""
 cte("menu", f"""SELECT *, CASE WHEN menu_group = '民事与商事' AND (legal_domain = '民法典' OR contains(title, '民法典')) THEN '民法典'
       WHEN category = '行政法规' AND menu_group <> '其他' THEN '行政法规/' || subject_area
       WHEN menu_group = '宪法与国家机构' THEN CASE WHEN category = '宪法' THEN '宪法' WHEN category IN ('司法解释', '法律解释') THEN '司法解释' ELSE '法律及决定' END {_SUB} ELSE '' END AS subgroup
@@ -64,7 +68,7 @@ query("f5_menu_order", sql(
     f"SELECT DISTINCT menu_group, subgroup, CAST(list_position({'[' + ', '.join(repr(g) for g in r.GROUP_ORDER) + ']'}, menu_group) AS INT) AS group_pos FROM menu", "menu"))(
     lambda s, d: cl.menu_order(menu(s, d).select("menu_group", "subgroup").distinct()))
 cte("taxed", f"""SELECT l.*, coalesce(t.target, '其他') AS taxonomy FROM laws l LEFT JOIN (SELECT id, target FROM (
-      SELECT id, target, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(pos)) AS rn FROM laws JOIN {values(r.TAXONOMY_RULES)} ON contains(title || ' ' || full_text[1:200], word) GROUP BY 1, 2) WHERE rn = 1) t ON t.id = l.id""", "laws")
+      SELECT id, target, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(pos)) AS rn FROM laws JOIN {values(r.TAXONOMY_RULES)} ON contains(title || ' ' || full_text, word) GROUP BY 1, 2) WHERE rn = 1) t ON t.id = l.id""", "laws")
 query("k5_taxonomy_domain", sql("SELECT id, taxonomy FROM taxed", "taxed"))(lambda s, d: cl.taxonomy_domain(L(s, d)).select("id", "taxonomy"))
 cte("tax_title", "SELECT title, arg_max(taxonomy, id) AS domain FROM taxed GROUP BY 1", "taxed")
 query("d17_taxonomy_members", sql(

@@ -33,13 +33,15 @@ cte("style", union_rules("articles", "law_id, global_order", [
     ("medium", "court_possessive", "contains(lower(content_en), 'people court')"), ("high", "untranslated_title_mark", "regexp_matches(content_en, '[《》]')"),
     ("low", "no_modal_verb", "length(content_en) > 100 AND NOT regexp_matches(lower(content_en), 'shall|may|must')"),
     ("medium", "will_or_would", "regexp_matches(content_en, '(?i)\\b(?:will|would)\\b')"), ("high", "untranslated_article", "regexp_matches(content_en, '第[一二三四五六七八九十百千\\d]+条')"),
-    ("medium", "chinese_punctuation", "regexp_matches(content_en, '[，。；：！？（）【】、]')"), ("low", "lower_case_article", "regexp_matches(content_en, '\\barticle\\s+\\d+')")]), "articles")
+    *[("high", f"chinese_punctuation {sign}", f"contains(content_en, '{sign}')") for sign in '，。；：、（）！？"'],
+    ("medium", "full_width_blank", "contains(content_en, chr(12288))"), ("low", "lower_case_article", "regexp_matches(content_en, '\\barticle\\s+\\d+')")]), "articles")
 query("l5_translation_style", sql("SELECT * FROM style", "style"))(lambda s, d: qa.translation_style(A(s, d)))
 query("d10_issue_summary", sql("SELECT severity, rule, count(*) AS n, count(DISTINCT law_id) AS laws FROM style GROUP BY CUBE (severity, rule)", "style"))(
     lambda s, d: rel.issue_summary(qa.translation_style(A(s, d))))
 query("l7_suspicious_latin", sql(
-    f"""SELECT DISTINCT law_id, global_order, f AS fragment FROM (SELECT law_id, global_order, unnest(regexp_extract_all(content, '[A-Za-z][A-Za-z0-9\\-]*')) AS f FROM articles)
-        WHERE NOT list_contains({words(qa.LEGAL_WORDS)}, upper(f)) AND length(f) > 1 AND NOT regexp_matches(f, '[A-Za-z]\\d')""", "articles"))(lambda s, d: qa.suspicious_latin(A(s, d)))
+    f"""SELECT DISTINCT law_id, global_order, f AS fragment FROM (SELECT law_id, global_order, content, unnest(regexp_extract_all(content, '[A-Za-z][A-Za-z0-9\\-]*')) AS f FROM articles)
+        WHERE NOT list_contains({words(qa.LEGAL_WORDS)}, upper(f)) AND NOT list_contains({words(qa.LEGAL_WORDS)}, f) AND NOT regexp_matches(f, '[A-Za-z]\\d')
+        AND (length(f) > 1 OR regexp_matches(content[greatest(strpos(content, f) - 4, 1):strpos(content, f) + 4], '\\d' || f || '[月年日万]|' || f || '\\d'))""", "articles"))(lambda s, d: qa.suspicious_latin(A(s, d)))
 query("l2_structure_issues", sql(
     """SELECT law_id, global_order, CASE WHEN article_num = p THEN 'duplicate' WHEN article_num > p + 1 THEN 'gap' ELSE 'reversal' END AS rule FROM (
        SELECT *, lag(article_num) OVER w AS p, lag(chapter_num) OVER w AS pc, lag(section_num) OVER w AS ps FROM articles
