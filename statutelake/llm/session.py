@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statutelake.operators.lineage import new_path
+
 #: Rows and bytes of one Arrow batch: texts are long, so batches are short.
 BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
@@ -28,7 +29,7 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).parent.parent
     archive = Path(tempfile.mkdtemp()) / "statutelake.zip"
     with zipfile.ZipFile(archive, "w") as out:
-        for file in [root / "__init__.py", *sorted((root / "llm").glob("*.py"))]:
+        for file in sorted(root.rglob("*.py")):
             out.write(file, f"statutelake/{file.relative_to(root)}")
     context.addPyFile(str(archive))
     context._statutelake_shipped = True
@@ -47,16 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that driver and executors share.
+    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    ``spark.checkpoint.dir`` names it on a cluster. Without that setting the
-    session's own checkpoint folder is used, and without either this raises: a
-    machine-local folder would be a different one on each executor.
+    What is written there goes when the driver ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    return new_path(spark, f"llm-{name}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
