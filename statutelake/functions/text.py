@@ -120,7 +120,7 @@ def ngrams(text: Column, n: int) -> Column:
 
 def keyword_list(text: Column) -> Column:
     """Delimited keywords to an array without blanks."""
-    return F.filter(F.transform(F.split(text, "[、，,/;；\\s]+"), F.trim), lambda k: k != "")
+    return F.filter(F.transform(F.split(text, "[、，,/;；\\s]+"), lambda x: F.trim(x)), lambda k: k != "")
 
 
 def path_parts(path: Column) -> Column:

@@ -167,7 +167,7 @@ def align_paragraphs(zh: Column, en: Column) -> Column:
     target = F.size(F.filter(F.split(body, "\n"), lambda p: tx.strip(p) != ""))
     prefix = F.regexp_extract(en, "^(Article \\d+)", 1)
     plain = F.trim(F.regexp_replace(en, "^Article \\d+\\s*", ""))
-    sentences = F.filter(F.transform(F.split(plain, "(?<=\\.)\\s+(?=[A-Z])"), F.trim), lambda x: x != "")
+    sentences = F.filter(F.transform(F.split(plain, "(?<=\\.)\\s+(?=[A-Z])"), lambda x: F.trim(x)), lambda x: x != "")
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("open"))
 
     def step(acc: Column, sentence: Column) -> Column:
@@ -261,8 +261,38 @@ def number_to_label(line: Column) -> Column:
 
 # Web pages
 
-# The entities that page text uses.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# Named entities and their characters; the ampersand comes last.
+ENTITIES = [
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+    ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&middot;", "·"), ("&bull;", "•"), ("&laquo;", "«"), ("&raquo;", "»"), ("&sect;", "§"), ("&para;", "¶"),
+    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&times;", "×"), ("&divide;", "÷"), ("&deg;", "°"), ("&plusmn;", "±"), ("&yen;", "¥"), ("&euro;", "€"),
+    ("&pound;", "£"), ("&cent;", "¢"), ("&emsp;", "\u2003"), ("&ensp;", "\u2002"), ("&amp;", "&"),
+]
+
+
+def _character(number: Column) -> Column:
+    """The character of a code point, from its UTF-32 bytes; nothing for a number beyond Unicode."""
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("")
+
+
+def decode_entities(text: Column) -> Column:
+    """Numeric (decimal and hexadecimal) and named character references as characters.
+
+    Each different reference of a text is replaced once; the ampersand last, so
+    that an escaped reference is not decoded twice.
+    """
+
+    def numeric(out: Column, pattern: str, value) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)))
+        return F.aggregate(found, out, lambda acc, m: F.replace(acc, m, _character(value(F.regexp_extract(m, pattern, 1)))))
+
+    text = F.replace(text, F.lit("&#38;"), F.lit("&amp;"))
+    text = numeric(text, "&#(\\d{1,7});", lambda n: n.cast("bigint"))
+    text = numeric(text, "(?i)&#x([0-9a-f]{1,6});", lambda n: F.conv(n, 16, 10).cast("bigint"))
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
 
 
 def page_text(html: Column) -> Column:
@@ -271,18 +301,17 @@ def page_text(html: Column) -> Column:
     out = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
     out = F.regexp_replace(out, r"(?i)<br\s*/?>|</?(?:p|div)\b[^>]*>", "\n")
-    out = F.regexp_replace(out, r"<[^>]*>", "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    lines = F.filter(F.transform(F.split(out, "\n"), F.trim), lambda x: x != "")
+    out = decode_entities(F.regexp_replace(out, r"<[^>]*>", ""))
+    lines = F.filter(F.transform(F.split(out, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_join(lines, "\n")
 
 
 def extract_listing(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Links of a list page as rows (url, title)."""
-    p = r'<a[^>]*\bhref="([^"]*)"[^>]*>([^<]*)</a>'
+    """Links of a list page as rows (url, title), markup inside a title dropped and entities decoded."""
+    p = r'(?s)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
     found = pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(p), F.lit(0))).alias("pos", "raw"))
-    return found.select(key, "pos", F.regexp_extract("raw", p, 1).alias("url"), F.trim(F.regexp_extract("raw", p, 2)).alias("title"))
+    title = F.trim(decode_entities(F.regexp_replace(F.regexp_extract("raw", p, 2), "<[^>]*>", "")))
+    return found.select(key, "pos", decode_entities(F.regexp_extract("raw", p, 1)).alias("url"), title.alias("title"))
 
 
 def last_page(html: Column) -> Column:

@@ -198,3 +198,10 @@ def edge_integrity(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         return ends.join(keys, ["law_id", "global_order"], "left_anti")
 
     return lost("from_law_id", "from_order").unionByName(lost("to_law_id", "to_order"))
+
+
+def changed_ids(files: DataFrame, index: DataFrame) -> DataFrame:
+    """Ids embedded in files (filename, old_id) that the index does not know or has under another number."""
+    joined = files.join(index.select("filename", F.col("id").alias("new_id")), "filename", "left")
+    wrong = joined.filter(F.col("new_id").isNull() | (F.col("new_id") != F.col("old_id")))
+    return wrong.select("old_id", "new_id", F.when(F.col("new_id").isNull(), "orphan").otherwise("changed").alias("rule"))

@@ -429,3 +429,16 @@ def key_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     came = new.join(old, key, "left_anti").withColumn("change", F.lit("added"))
     went = old.join(new, key, "left_anti").withColumn("change", F.lit("removed"))
     return came.unionByName(went)
+
+
+def apply_document_translations(docs: DataFrame, translated: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Translated columns by document key; empty values count as missing."""
+    new = translated.select(key, *[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
+    return docs.join(new, key, "left")
+
+
+def enrich_domain(laws: DataFrame, other: DataFrame) -> DataFrame:
+    """An empty legal domain filled from a second source (id, domain)."""
+    named = other.select("id", F.col("domain").alias("_other"))
+    filled_in = F.when(missing(F.col("legal_domain")), F.coalesce("_other", F.lit(""))).otherwise(F.col("legal_domain"))
+    return laws.join(named, "id", "left").withColumn("legal_domain", filled_in).drop("_other")

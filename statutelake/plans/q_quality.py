@@ -117,8 +117,7 @@ query("c20_resolve_ids", sql(
         L(s, d).select(F.concat("title", F.lit("#"), "id").alias("filename"), c("id").alias("embedded_id")),
         L(s, d).join(T(s, d, "supplier").select(c("s_suppkey").alias("id")), "id").select(F.concat("title", F.lit("#"), "id").alias("filename"), (c("id") + 5000000).alias("id")), index(s, d)))
 query("l12_changed_ids", sql("SELECT f.id AS old_id, i.id AS new_id, CASE WHEN i.id IS NULL THEN 'orphan' ELSE 'changed' END AS rule FROM files f LEFT JOIN law_index i ON i.filename = f.filename WHERE i.id IS NULL OR i.id <> f.id", "files", "law_index"))(
-    lambda s, d: L(s, d).select("filename", c("id").alias("old_id")).join(index(s, d).select("filename", c("id").alias("new_id")), "filename", "left").filter("new_id IS NULL OR new_id <> old_id")
-    .select("old_id", "new_id", F.when(c("new_id").isNull(), "orphan").otherwise("changed").alias("rule")))
+    lambda s, d: qa.changed_ids(L(s, d).select("filename", c("id").alias("old_id")), index(s, d)))
 query("l13_without_output", sql("SELECT doc_key FROM cases WHERE full_text_en IS NULL", "cases"))(
     lambda s, d: qa.without_output(D(s, d).select("doc_key"), D(s, d).filter("full_text_en IS NOT NULL"), "doc_key"))
 query("l14_run_report", sql(

@@ -90,12 +90,12 @@ query("c14_backfill_headings", sql(
        FROM headings h LEFT JOIN laws l ON l.id = h.law_id AND l.title_en IS NOT NULL""", "headings", "laws"))(
     lambda s, d: rel.backfill_headings(corpus.headings(s, d), L(s, d), {"第一章　总则": "Chapter I General Provisions"}).select("law_id", "global_order", "content_en"))
 query("c19_apply_translations", sql("SELECT doc_key, nullif(title_en, '') AS title_en, nullif(full_text_en, '') AS full_text_en FROM cases", "cases"))(
-    lambda s, d: D(s, d).select("doc_key").join(D(s, d).select("doc_key", F.nullif("title_en", F.lit("")).alias("title_en"), F.nullif("full_text_en", F.lit("")).alias("full_text_en")), "doc_key", "left"))
+    lambda s, d: rel.apply_document_translations(D(s, d).select("doc_key"), D(s, d), "doc_key", ["title_en", "full_text_en"]))
 query("c21_enrich_domain", sql(
     """SELECT l.id, CASE WHEN l.legal_domain = '' THEN coalesce(o.m, '') ELSE l.legal_domain END AS legal_domain FROM laws l
        LEFT JOIN (SELECT s_suppkey AS id, 'domain ' || s_nationkey AS m FROM supplier) o ON o.id = l.id""", "laws"))(
-    lambda s, d: L(s, d).select("id", "legal_domain").join(corpus.table(s, d, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("domain "), "s_nationkey").alias("m")), "id", "left")
-    .select("id", F.when(F.col("legal_domain") == "", F.coalesce("m", F.lit(""))).otherwise(F.col("legal_domain")).alias("legal_domain")))
+    lambda s, d: rel.enrich_domain(L(s, d).select("id", "legal_domain"), corpus.table(s, d, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.concat(F.lit("domain "), "s_nationkey").alias("domain"))).select("id", "legal_domain"))
 _MARKS = "SELECT DISTINCT title_key, CASE WHEN id % 2 = 0 THEN doc_number ELSE '' END AS doc_number, repealed_by AS mark FROM keyed WHERE source = 'gazette' AND repealed_by <> ''"
 
 

@@ -168,7 +168,12 @@ query("g6_whole_text_fallback", sql("SELECT doc_id AS doc, min(pos) AS article_l
     lambda s, d: (lambda lines: st.whole_text_fallback(lines, st.segment(lines, 1 << 30)).select("doc", c("article_line"), F.size(F.split("content", "\n")).cast("bigint").alias("lines")))(
         corpus.doc_lines(s, d).select(c("doc_id").alias("doc"), c("pos").alias("line_no"), "text")))
 query("a5_read_lines", sql("SELECT doc_id, pos, text FROM doc_lines", "doc_lines"))(lambda s, d: corpus.doc_lines(s, d).drop("lang"))
-query("a8_pages_to_text")(lambda s, d: T(s, d, "pages").select("page_id", doc.page_text(c("html")).alias("text")))
+_PLAIN = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g'),
+  '(?s)<!--.*?-->', '', 'g'), '(?i)<br\\s*/?>|</?(?:p|div)\\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g')"""
+for _name, _char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&#39;", "''"), ("&amp;", "&")]:
+    _PLAIN = f"replace({_PLAIN}, '{_name}', '{_char}')"
+query("a8_pages_to_text", sql(
+    f"SELECT page_id, array_to_string(list_filter(list_transform(string_split({_PLAIN}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''), chr(10)) AS text FROM pages"))(lambda s, d: T(s, d, "pages").select("page_id", doc.page_text(c("html")).alias("text")))
 _LINK = '<a[^>]*\\bhref="([^"]*)"[^>]*>([^<]*)</a>'
 query("a9_extract_listing", sql(f"SELECT page_id, regexp_extract(r, '{_LINK}', 1) AS url, trim(regexp_extract(r, '{_LINK}', 2), ' ') AS title FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_LINK}')) AS r FROM pages)"))(
     lambda s, d: doc.extract_listing(T(s, d, "pages")).drop("pos"))

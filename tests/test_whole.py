@@ -101,3 +101,39 @@ def test_replayed_batches_change_nothing(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_character_references(spark):
+    from statutelake.operators import documents as doc
+
+    html = "<p>&#8220;a&#x201d; &ldquo;b&rdquo; &amp;lt; &#38;gt; &#128512; &#x1F600; &#0; &#99999999; x&nbsp;y</p><script>no</script>"
+    df = spark.createDataFrame([(1, html), (2, None)], "id long, html string")
+    got = {r["id"]: r["t"] for r in df.select("id", doc.page_text(F.col("html")).alias("t")).collect()}
+    assert got == {1: "“a” “b” &lt; &gt; 😀 😀  &#99999999; x y", 2: None}
+
+
+def test_links_with_markup(spark):
+    from statutelake.operators import documents as doc
+
+    html = '<ul><a href="/a?x=1&amp;y=2" class="c"><b>One</b> &mdash; two</a><a href="/b"> three </a><abbr href="/c">no</abbr></ul>'
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [(r["url"], r["title"]) for r in doc.extract_listing(df).orderBy("pos").collect()] == [("/a?x=1&y=2", "One — two"), ("/b", "three")]
+
+
+def test_menu_groups_all_have_subgroups(spark):
+    rows = [
+        ("关于办理盗窃案件的解释", "司法解释", "刑法", "侵犯财产"), ("关于适用刑法的解释", "司法解释", "刑法", "刑法及修正案"), ("某批复", "司法解释", "刑法", "检察院"),
+        ("某刑法修正案", "修正案", "刑法", "刑法及修正案"), ("教师法", "法律", "行政法", "教育科技"), ("某行政法律", "法律", "行政法", "行政法律"),
+        ("国家赔偿解释", "司法解释", "行政法", "国家赔偿"), ("民事诉讼规定", "司法解释", "诉讼与非诉讼程序法", "民事诉讼"), ("某规定", "司法解释", "诉讼与非诉讼程序法", "文书、送达与废止"),
+        ("某条例", "行政法规", "刑法", "行政法规/其他")]
+    laws = spark.createDataFrame(rows, "title string, category string, legal_domain string, want string")
+    assert all(r["subgroup"] == r["want"] for r in cl.menu_path(cl.subject_area(laws)).collect())
+
+
+def test_latin_words_count_as_written(spark):
+    from statutelake.operators import quality as qa
+
+    texts = ["PH值", "pH值", "wifi", "WiFi", "Wi-Fi", "gdp", "于2l月", "于l月", "x5", "ABC"]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "law_id long, global_order long, content string")
+    got = {texts[r["global_order"]] for r in qa.suspicious_latin(df).collect()}
+    assert got == {"PH值", "wifi", "于2l月", "ABC"}
