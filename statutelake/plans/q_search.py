@@ -234,7 +234,23 @@ query("c10_find_by_fragment", sql(
        FROM (SELECT f.fragment, l.id FROM (SELECT DISTINCT fragment FROM frag_refs) f JOIN laws l ON l.is_current = 1 AND contains(l.title, f.fragment)) m
        JOIN frag_refs r ON r.fragment = m.fragment JOIN articles a ON a.law_id = m.id AND a.article_number = r.label) WHERE rn = 1""", "frag_refs", "laws", "articles"))(
     lambda s, d: cit.find_by_fragment(refs(s, d), L(s, d), A(s, d)))
-query("j7_expand_hits")(lambda s, d: cit.expand_hits(materialize(se.context_topk(layered(s, d), 5).select("q_id", "law_id", "global_order")), A(s, d), L(s, d)))
+_N7 = "[一二三四五六七八九十百千零\\d]+"
+_CITED = " UNION ALL ".join(
+    f"""SELECT q_id, law_id, global_order, article_number, '{kind}' AS kind, i AS pos, {title} AS fragment, '第' || regexp_extract(m[i], '{pattern}', {group}) || '条' AS label
+        FROM (SELECT *, regexp_extract_all(content, '{pattern}') AS m, generate_subscripts(regexp_extract_all(content, '{pattern}'), 1) AS i FROM hit_texts)"""
+    for kind, pattern, title, group in [
+        ("引用链", f"《([^》]{{4,30}})》第({_N7})条", f"trim(regexp_replace(regexp_extract(m[i], '《([^》]{{4,30}})》第({_N7})条', 1), '\\s+', ' ', 'g'), ' ')", 2),
+        ("同法引用", f"(?:本法|依照|适用|参照)第({_N7})条", "title", 1),
+    ])
+query("j7_expand_hits", sql(
+    f""", first5 AS (SELECT q_id, law_id, global_order FROM context WHERE place <= 5),
+    hit_texts AS (SELECT f.*, a.content, a.article_number, l.title FROM first5 f JOIN articles a USING (law_id, global_order) JOIN laws l ON l.id = f.law_id),
+    cited AS ({_CITED}),
+    target AS (SELECT fragment, label, min((a.law_id, a.global_order)) AS hit FROM (SELECT DISTINCT fragment, label FROM cited) JOIN laws l ON l.is_current = 1 AND contains(l.title, fragment)
+      JOIN articles a ON a.law_id = l.id AND a.article_number = label GROUP BY 1, 2)
+    SELECT q_id, hit[1] AS to_law_id, hit[2] AS to_order, arg_min(kind || ':' || coalesce(article_number, '') || '→' || label, (law_id, global_order, kind, pos)) AS source
+    FROM cited JOIN target USING (fragment, label) WHERE (q_id, hit[1], hit[2]) NOT IN (SELECT q_id, law_id, global_order FROM first5) GROUP BY 1, 2, 3""",
+    "context", "articles", "laws"))(lambda s, d: cit.expand_hits(materialize(se.context_topk(layered(s, d), 5).select("q_id", "law_id", "global_order")), A(s, d), L(s, d)))
 
 
 _F1 = corpus.WORDS + corpus.TOPICS
