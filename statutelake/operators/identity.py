@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statutelake.functions.numerals import label_to_int
 from statutelake.functions.text import strip
-from statutelake.operators.ordered import rank_by_segment
+from statutelake.operators.ordered import rank_by_levels
 from statutelake.operators.relational import missing
 
 
@@ -15,8 +15,9 @@ def assign_ids(docs: DataFrame, index: DataFrame, ranges: dict[str, tuple[int, i
     """Existing ids stay; new documents of a category are numbered by date
     after the highest id of its range; a full range fails.
 
-    ``docs`` is (filename, category, pub_date). Numbers are counted per date,
-    so a category is never sorted in one task.
+    ``docs`` is (filename, category, pub_date). Numbers are counted per date and
+    per beginning of the file name, so neither a category nor a date is sorted
+    in one task.
     """
     base = F.lit(None).cast("bigint")
     cap = F.lit(None).cast("bigint")
@@ -26,8 +27,9 @@ def assign_ids(docs: DataFrame, index: DataFrame, ranges: dict[str, tuple[int, i
     top = index.groupBy("category").agg(F.max("id").alias("top"))
     known = docs.join(index.select("filename", "id"), "filename")
     fresh = docs.join(index.select("filename"), "filename", "left_anti").filter(base.isNotNull())
-    day = fresh.withColumn("_prefix", F.substring("filename", 1, 8))
-    ranked = rank_by_segment(day, ["category"], [F.col("pub_date"), F.col("_prefix"), F.col("filename")], ["pub_date", "_prefix"], "n").drop("_prefix")
+    # Dates, then longer and longer beginnings of the file name.
+    steps = {f"_p{n}": F.substring("filename", 1, n) for n in (2, 4, 8, 16)}
+    ranked = rank_by_levels(fresh.withColumns(steps), ["category"], ["pub_date", *steps], [F.col("filename")], "n").drop(*steps)
     numbered = ranked.join(top, "category", "left").withColumn("id", F.coalesce("top", base - 1) + F.col("n"))
     guarded = numbered.withColumn(
         "id", F.when(F.col("id") < base + cap, F.col("id")).otherwise(F.raise_error(F.concat(F.lit("id range is full: "), "category")).cast("bigint")))

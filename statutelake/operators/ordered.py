@@ -49,3 +49,22 @@ def rank_by_segment(df: DataFrame, keys: list[str], order: list[Column], segment
     base = sizes.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     joined = local.join(base, [*keys, *segment])
     return joined.withColumn(name, F.col("_base") + F.col("_local")).select(*df.columns, name)
+
+
+def rank_by_levels(df: DataFrame, keys: list[str], levels: list[str], order: list[Column], name: str) -> DataFrame:
+    """Row number within keys, counted down a ladder of nested segments.
+
+    ``levels`` are columns that lead the order, each finer than the one before.
+    A row's number is its rank in its finest segment plus the rows of earlier
+    segments, which are summed level by level: each window sees only the
+    segments inside one segment of the level above, never a whole key.
+    """
+    out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys, *levels).orderBy(*order)))
+    sizes = df.groupBy(*keys, *levels).agg(F.count("*").alias("_size"))
+    for depth in range(len(levels), 0, -1):
+        outer, inner = [*keys, *levels[: depth - 1]], levels[depth - 1]
+        before = Window.partitionBy(*outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
+        base = sizes.select(*outer, inner, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+        out = out.join(base, [*outer, inner]).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
+        sizes = sizes.groupBy(*outer).agg(F.sum("_size").alias("_size"))
+    return out.select(*df.columns, name)

@@ -137,3 +137,15 @@ def test_latin_words_count_as_written(spark):
     df = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "law_id long, global_order long, content string")
     got = {texts[r["global_order"]] for r in qa.suspicious_latin(df).collect()}
     assert got == {"PH值", "wifi", "于2l月", "ABC"}
+
+
+def test_ids_of_one_category_and_one_date(spark):
+    """Numbers follow the file name although no window holds the category."""
+    from statutelake.operators.identity import assign_ids
+
+    names = [f"{'law' if i % 3 else 'decree of the '}{i * 7919 % 1000:04d}" for i in range(300)]
+    docs = spark.createDataFrame([(n, "a", "2020-01-01" if i % 10 else "2019-05-05") for i, n in enumerate(names)], "filename string, category string, pub_date string")
+    index = spark.createDataFrame([("old", "a", 104)], "filename string, category string, id long")
+    got = {r["filename"]: r["id"] for r in assign_ids(docs, index, {"a": (100, 1000)}).collect()}
+    order = sorted(((("2020-01-01" if i % 10 else "2019-05-05"), n) for i, n in enumerate(names)))
+    assert [got[n] for _, n in order] == list(range(105, 405))
