@@ -95,7 +95,6 @@ class Searcher:
     def search(self, text: str) -> dict[int, tuple[int, int, int]]:
         """item number: (distance, start window, end) of the best occurrence in a normalised text."""
         best: dict[int, tuple[int, int, int]] = {}
-        reach: dict[int, int] = {}
         if not len(self.automaton):
             return best
         for end, (size, found) in self.automaton.iter(text):
@@ -104,8 +103,6 @@ class Searcher:
                     continue
                 _, item, errors = self.texts[i]
                 low = max(0, end + 1 - size - offset - errors)
-                if low < reach.get(i, -1):
-                    continue  # a neighbouring hit has been looked at with this window
                 high = low + len(item) + 2 * errors
                 if text.startswith(item, end + 1 - size - offset) and end + 1 - size - offset >= 0:
                     best[i] = (0, end + 1 - size - offset, end + 1 - size - offset + len(item))
