@@ -9,6 +9,7 @@ reader leave out the others. Each file, and each stripe in it, is read on its ow
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,10 @@ ORC = {
     "orc.stripe.size": str(16 << 20),
     "orc.compress": "ZSTD",
 }
+#: A full stop or comma behind a letter or digit and before white space is a word of its own.
+_STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+#: Behind another mark it belongs to that mark's word.
+_MARKS = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
 _cache: dict[tuple, WordCache] = {}
 
 
@@ -49,7 +54,23 @@ def _fast(tokenizer):
     return tokenizer
 
 
-def word_encoder(path: str, limit: int = 500_000) -> WordCache:
+def prepared(text: str) -> str:
+    """The text as the tokenizer normalises it, with stops split off: fewer different words are left.
+
+    Texts that may hold a special token, or the letter that Python lower-cases
+    by its place, stay as they are.
+    """
+    if "<|" in text or "Σ" in text:
+        return text
+    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    text = text.lower()
+    if _MARKS.search(text):
+        return _STOP.sub(r" \1", text)
+    return text.replace("\n", " ").replace(". ", " . ").replace(", ", " , ")
+
+
+def word_encoder(path: str, limit: int = 800_000) -> WordCache:
     """Memo from a word between spaces to its ids, kept by the Python worker.
 
     The library encodes each distinct word of a normalised text once, a thousand
@@ -85,27 +106,35 @@ def word_encoder(path: str, limit: int = 500_000) -> WordCache:
             return [word[:-1], word[-1]]
         return split(word)
 
-    def learn(cores: list[str]) -> None:
+    def encode_all(cores: list[str]) -> list[list[int]]:
+        rows: list[list[int]] = []
         for at in range(0, len(cores), 1000):
             part = cores[at : at + 1000]
             ids = fast.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
             ends = [i for i, x in enumerate(ids, 1) if last[x]]
             if len(ends) != len(part):  # a vocabulary without word ends
-                known.update((w, e.ids) for w, e in zip(part, fast.encode_batch_fast(part, add_special_tokens=False)))
+                rows += [e.ids for e in fast.encode_batch_fast(part, add_special_tokens=False)]
             else:
-                known.update((w, ids[i:j]) for w, i, j in zip(part, [0, *ends], ends))
+                rows += [ids[i:j] for i, j in zip([0, *ends], ends)]
+        return rows
 
-    def work(words: list[str]) -> list:
+    def mixed(words: list[str]) -> list[list[int]]:
         if len(known) > limit // 2:
             known.clear()
         cores = [None if mark in w and any(s in w for s in specials) else cores_of(w) for w in words]
-        learn([c for c in dict.fromkeys(c for row in cores if row for c in row) if c not in known])
+        new = [c for c in dict.fromkeys(c for row in cores if row for c in row) if c not in known]
+        known.update(zip(new, encode_all(new)))
         return [
-            whole.encode(w, add_special_tokens=False).ids if row is None
-            else known[row[0]] if len(row) == 1 else [i for c in row for i in known[c]]
+            whole.encode(w, add_special_tokens=False).ids if row is None else [i for c in row for i in known[c]]
             for w, row in zip(words, cores)
         ]
 
+    def work(words: list[str]) -> list:
+        plain = [w.isalpha() and normal(w) == w for w in words]
+        simple = iter(encode_all([w for w, p in zip(words, plain) if p]))
+        others = iter(mixed([w for w, p in zip(words, plain) if not p]))
+        return [next(simple if p else others) for p in plain]
+
     _cache[key] = WordCache(work, limit)
     return _cache[key]
 
@@ -117,7 +146,7 @@ def _encoder(tokenizer: str, end_id: int | None):
         memo = word_encoder(tokenizer)
         for batch in batches:
             parts: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
-            for words, counts, places in split_batch(batch.column(1).to_pylist()):
+            for words, counts, places in split_batch(batch.column(1).to_pylist(), prepared):
                 rows = memo.rows(words)
                 ids = memo.gather_rows(rows)
                 ends = np.cumsum(memo.lengths[rows])[np.cumsum(counts) - 1]

@@ -83,11 +83,12 @@ class WordCache:
         return self.flat[np.repeat(self.starts[rows] - ends + sizes, sizes) + np.arange(total)]
 
 
-def split_batch(texts: list[str | None]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+def split_batch(texts: list[str | None], prepare: Callable[[str], str] = str) -> Iterator[tuple[list[str], list[int], list[int]]]:
     """Words between spaces and line ends, for about PIECE characters at a time.
 
     Gives (words, counts, places): counts[i] words belong to texts[places[i]]. A
     giant text comes in several parts; null and empty texts do not come at all.
+    ``prepare`` changes a part before it is split.
     """
     words, counts, places, size = [], [], [], 0
     for place, text in enumerate(texts):
@@ -95,7 +96,7 @@ def split_batch(texts: list[str | None]) -> Iterator[tuple[list[str], list[int],
             if size and size + len(part) > PIECE:
                 yield words, counts, places
                 words, counts, places, size = [], [], [], 0
-            more = part.replace("\n", " ").split(" ")
+            more = prepare(part).replace("\n", " ").split(" ")
             words += more
             counts.append(len(more))
             places.append(place)
