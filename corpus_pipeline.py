@@ -22,14 +22,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rule_ensemble.accepted(docs, model)
 
 
+#: Near copies share so many hundredths of their runs of so many words; the query op10 has its own rule.
+NEAR_PERCENT, NEAR_WIDTH = 80, 5
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group that links connect.
 
-    Rows without an id are kept; of repeated ids one row is kept, that of the
+    Two documents link if the intersection of their sets of five-word runs is at
+    least 80 hundredths of the union. Rows without an id are kept; of repeated ids one row is kept, that of the
     smallest text.
     """
     prepare(spark)
-    groups = shingle_join.jaccard_join(docs.select("doc_id", "text"))
+    groups = shingle_join.jaccard_join(docs.select("doc_id", "text"), percent=NEAR_PERCENT, width=NEAR_WIDTH)
     # A repeated id can stand in several groups; it goes if it is a copy in any.
     gone = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("first")).filter("first != doc_id")
     kept = docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
