@@ -1,25 +1,23 @@
-"""License scan: MinHash bands over overlapping windows, then exact shingle containment.
+"""License scan: an index of template runs over overlapping windows, then exact shingle containment.
 
 Every run of five template words holds an anchor word (a word that ordinary
 prose hardly uses), so only windows around anchors can hold enough of a
 template. Such windows overlap so far that a passage as long as a template lies
-whole in one. A window is retrieved for a template if they share the smallest
-value of one of 48 hash orders: windows that contain 80 % of a template have a
-Jaccard similarity of 0.28 or more with it, so the chance of a miss is at most
-0.72^48 = 1.4e-7. The template's shingles are then counted in the window.
+whole in one. A window that holds m of a template's t runs has at least one of
+any t - m + 1 of them (pigeonhole), so so many runs of each template are indexed
+and no window is missed. The template's shingles are then counted in the window.
 
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-import random
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WIDTH, BANDS, PERCENT = 5, 48, 80
+WIDTH, PERCENT = 5, 80
 #: Templates are broadcast: so many, of so many words each, at most.
 MOST_TEMPLATES, MOST_WORDS = 2_000, 2_000
 
@@ -77,9 +75,10 @@ def size_classes(lengths: list[int]) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _masks() -> list[int]:
-    numbers = random.Random(41)
-    return [numbers.getrandbits(64) - (1 << 63) for _ in range(BANDS)]
+def indexed_runs(runs: int, percent: int = PERCENT) -> int:
+    """How many of a template's runs are indexed: a window without any of them holds too few."""
+    held = max(1, -(-percent * runs // 100))
+    return max(1, runs - held + 1)
 
 
 def _shingles(words: Column) -> Column:
@@ -89,14 +88,6 @@ def _shingles(words: Column) -> Column:
     return F.when(F.size(words) >= WIDTH, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
-def _banded(df: DataFrame, shingles: str, *keep: str) -> DataFrame:
-    """Rows (keep..., band, value): the smallest hash of the shingles under each order."""
-    masks = F.array(*[F.lit(m) for m in _masks()])
-    hashed = df.select(*keep, F.transform(shingles, lambda s: F.xxhash64(s)).alias("hashes"))
-    least = F.transform(masks, lambda m: F.array_min(F.transform("hashes", lambda h: h.bitwiseXOR(m))))
-    return hashed.select(*keep, F.posexplode(least).alias("band", "value"))
-
-
 def _windows(words: Column, places: Column, number: int, window: int, stride: int) -> Column:
     """(size_class, start_word, window) of the windows of one class that hold an anchor."""
 
@@ -110,8 +101,8 @@ def _windows(words: Column, places: Column, number: int, window: int, stride: in
     return F.transform(F.array_distinct(F.flatten(F.transform(places, around))), cut)
 
 
-def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """(template, size_class, shingles) of the templates of at least WIDTH words."""
+def template_table(spark: SparkSession, templates=TEMPLATES, percent: int = PERCENT) -> DataFrame:
+    """(template, size_class, shingles, n_indexed) of the templates of at least WIDTH words."""
     split = [(name, words_of(text)) for name, text in templates]
     if len(split) > MOST_TEMPLATES or max((len(w) for _, w in split), default=0) > MOST_WORDS:
         raise ValueError("too many or too long templates to broadcast")
@@ -121,8 +112,8 @@ def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
         for i, (low, high, _, _) in enumerate(classes):
             if low <= len(words) <= high:
                 runs = dict.fromkeys(" ".join(words[j : j + WIDTH]) for j in range(len(words) - WIDTH + 1))
-                rows.append((name, i, list(runs)))
-    return spark.createDataFrame(rows, "template string, size_class int, shingles array<string>")
+                rows.append((name, i, list(runs), indexed_runs(len(runs), percent)))
+    return spark.createDataFrame(rows, "template string, size_class int, shingles array<string>, n_indexed int")
 
 
 def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -154,9 +145,10 @@ def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> D
     windows = [_windows(words, F.col("places"), i, window, stride) for i, (_, _, window, stride) in enumerate(classes)]
     rows = docs.select("doc_id", F.explode(F.concat(*windows)).alias("w")).select("doc_id", "w.*")
     rows = rows.select("doc_id", "size_class", "start_word", _shingles(F.col("window")).alias("found")).filter(F.size("found") > 0)
-    keyed = _banded(rows, "found", "doc_id", "size_class", "start_word", "found")
-    index = _banded(template_table(spark, templates), "shingles", "template", "size_class", "shingles")
-    met = keyed.join(F.broadcast(index), ["size_class", "band", "value"])
+    indexed = F.explode(F.slice("shingles", 1, F.col("n_indexed")))
+    index = template_table(spark, templates, percent).select("template", "size_class", "shingles", indexed.alias("run"))
+    keyed = rows.select("doc_id", "size_class", "start_word", "found", F.explode("found").alias("run"))
+    met = keyed.join(F.broadcast(index), ["size_class", "run"])
     share = F.size(F.array_intersect("found", "shingles")) / F.size("shingles")
     hits = met.select("doc_id", "template", "start_word", share.alias("containment")).filter(
         F.col("containment") * 100 >= percent - 1e-9

@@ -2,6 +2,7 @@
 
 import random
 
+from statutelake.llm import license_scan
 from statutelake.llm.session import prepare
 from tests.llm.test_links import union_find
 
@@ -37,3 +38,25 @@ def test_near_copies_are_those_of_five_words_and_80_percent(spark, documents, sf
     got = sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, documents(rows), sf).collect())
     assert got == sorted(i for i in sets if root[i] == i)
     assert 1 not in got and 3 not in got and 5 in got
+
+
+# --- licences ------------------------------------------------------------------------------------
+
+
+def test_short_templates_are_retrieved_whatever_stands_beside_them(spark, documents):
+    prepare(spark)
+    rng = random.Random(31)
+    rows = []
+    for n in range(20_000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(4)]
+        at = rng.randint(0, 3)
+        rows.append((n, " ".join(words[:at] + ["released under the mit license"] + words[at:])))
+    got = license_scan.scan(documents(rows, parts=8)).filter("template = 'MIT-line'").select("doc_id").collect()
+    assert len(got) == len(rows)
+
+
+def test_windows_without_an_indexed_run_hold_too_little():
+    for percent in (1, 50, 80, 99, 100):
+        for runs in range(1, 200):
+            indexed = license_scan.indexed_runs(runs, percent)
+            assert 1 <= indexed <= runs and 100 * (runs - indexed) < percent * runs
