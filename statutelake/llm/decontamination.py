@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import long_or_null
+from .session import long_or_null, written
 
 #: Edits per hundred characters of an item, and the shortest item that is looked for.
 ERROR_PERCENT, LEAST_CHARS = 5, 20
@@ -186,21 +186,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCE
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT, least: int = LEAST_CHARS) -> DataFrame:
-    """The rows of ``documents`` whose text holds no test item, with all their columns; null texts stay."""
-    parts = slices(benchmark, least)
-    at = documents.columns.index("text")
-    inner = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    """The rows of ``documents`` whose text holds no test item, with all their columns; null texts stay.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers: list[Searcher] = []
-        for batch in batches:
-            searchers = searchers or [Searcher(items, percent) for items in parts]
-            keep = []
-            for value in batch.column(at):
-                text = normal(value.as_py() or "")
-                keep.append(not any(s.search(part) for s in searchers for _, part in _parts(text, s.margin)))
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    if sum(len(t) for p in parts for _, t in p) > SLICE_CHARS:
-        raise ValueError("more items than one automaton takes: join with leaks() instead")
-    return inner.mapInArrow(run, inner.schema).toDF(*documents.columns)
+    The rows are numbered and written once; the numbers that any slice of the
+    benchmark hits are left out.
+    """
+    inner = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    rows = written(inner.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    texts = rows.select(F.col("row").alias("doc_id"), F.col(f"c{documents.columns.index('text')}").alias("text"))
+    hit = leaks(texts, benchmark, percent, least).select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(hit, "row", "left_anti").drop("row").toDF(*documents.columns)

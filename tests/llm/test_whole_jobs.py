@@ -2,7 +2,7 @@
 
 import random
 
-from statutelake.llm import license_scan
+from statutelake.llm import decontamination, license_scan
 from statutelake.llm.session import prepare
 from tests.llm.test_links import union_find
 
@@ -60,3 +60,19 @@ def test_windows_without_an_indexed_run_hold_too_little():
         for runs in range(1, 200):
             indexed = license_scan.indexed_runs(runs, percent)
             assert 1 <= indexed <= runs and 100 * (runs - indexed) < percent * runs
+
+
+# --- decontamination -----------------------------------------------------------------------------
+
+
+def test_clean_takes_a_benchmark_of_any_size(spark, documents):
+    prepare(spark)
+    rng = random.Random(3)
+    items = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100))) for i in range(41_000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(decontamination.slices(bench)) > 1
+    rows = [(i, f"before {t} behind") for i, t in (items[0], items[-1])] + [(7, "clean"), (7, "clean"), (8, None), (9, ""), (None, "no id"), (None, items[-1][1])]
+    docs = documents(rows)
+    kept = decontamination.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(7, "clean"), (7, "clean"), (8, None), (9, ""), (None, "no id")], key=str)
