@@ -148,25 +148,28 @@ def fix_labels(text: Column) -> Column:
     return F.regexp_replace(out, f"(?m)^(第{numeral}条)(?!(?U:[　\\s])|{verbs})", "$1　")
 
 
-def ruling_gist(text: Column) -> Column:
-    """Gist after one of three markers, bracketed or as a heading line."""
+def ruling_gist(text: Column, longest: int | None = None) -> Column:
+    """Gist after one of three markers, bracketed or as a heading line;
+    ``longest`` cuts it to so many characters."""
     found = []
     for marker in ["裁判要点", "裁判摘要", "裁判要旨"]:
         found.append(F.regexp_extract(text, f"(?s)【{marker}】(?U:\\s*)(.+?)(?=\\n\\n|\\n【|$)", 1))
         stop = "\\n\\n(?:基本案情|裁判结果|相关法条|关键词|一、|二、)"
         found.append(F.regexp_extract(text, f"(?s)(?:^|\\n){marker}(?U:\\s*)\\n(.+?)(?={stop}|$)", 1))
     first = F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit(""))
-    return F.substring(strip(first), 1, 500)
+    return strip(first) if longest is None else F.substring(strip(first), 1, longest)
 
 
-def marked_keywords(text: Column) -> Column:
-    """Keywords behind the marker, in three layouts."""
-    bracket = F.regexp_extract(text, r"【关键词】(?U:\s*)(.{2,200}?)(?:\n|$)", 1)
-    below = F.regexp_extract(text, r"(?:^|\n)关键词(?U:\s*)\n[\s\n]*([^\n]{2,200})", 1)
-    beside = F.regexp_extract(text, r"(?:^|\n)关键词[　\s]+([^\n]{2,200})", 1)
+def marked_keywords(text: Column, longest: int | None = None) -> Column:
+    """Keywords behind the marker, in three layouts; ``longest`` reads so
+    many characters of them."""
+    most = "" if longest is None else longest
+    bracket = F.regexp_extract(text, rf"【关键词】(?U:\s*)(.{{2,{most}}}?)(?:\n|$)", 1)
+    below = F.regexp_extract(text, rf"(?:^|\n)关键词(?U:\s*)\n[\s\n]*([^\n]{{2,{most}}})", 1)
+    beside = F.regexp_extract(text, rf"(?:^|\n)关键词[　\s]+([^\n]{{2,{most}}})", 1)
     slashes = [F.replace(strip(k), F.lit("/"), F.lit("、")) for k in (below, beside)]
     picked = F.coalesce(F.nullif(strip(bracket), F.lit("")), *[F.nullif(k, F.lit("")) for k in slashes], F.lit(""))
-    return F.substring(picked, 1, 200)
+    return picked if longest is None else F.substring(picked, 1, longest)
 
 
 # Words looked for when a document names no keywords.
@@ -182,10 +185,10 @@ KEYWORDS = [
 ]
 
 
-def inferred_keywords(title: Column, gist: Column, text: Column, limit: int = 8) -> Column:
-    """Dictionary words in title, gist and the opening of the text, then
-    the dispute names in the title; the opening is 800 characters by rule."""
-    opening = F.concat_ws(" ", title, gist, F.substring(text, 1, 800))
+def inferred_keywords(title: Column, gist: Column, text: Column, limit: int = 8, opening: int | None = None) -> Column:
+    """Dictionary words in title, gist and text, then the dispute names in
+    the title; ``opening`` looks at so many characters of the text only."""
+    opening = F.concat_ws(" ", title, gist, text if opening is None else F.substring(text, 1, opening))
     known = F.filter(F.array(*[F.lit(k) for k in KEYWORDS]), lambda k: F.contains(opening, k))
     named = F.regexp_extract_all(title, F.lit("[一-龥]{2,10}(?:纠纷|争议|案件)"), F.lit(0))
     return F.array_join(F.slice(F.array_distinct(F.concat(known, named)), 1, limit), "、")

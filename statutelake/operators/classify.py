@@ -148,10 +148,11 @@ def statute_keys(laws: DataFrame) -> DataFrame:
     return laws.filter(F.col("category").isin("法律", "宪法")).select(title_key(F.col("title")).alias("parent")).distinct()
 
 
-def hierarchy_links(laws: DataFrame) -> DataFrame:
-    """Superior laws quoted in the title or opening (500 characters by
-    rule), or named by 'X法实施条例'."""
-    opening = F.concat("title", F.lit(" "), F.substring("full_text", 1, 500))
+def hierarchy_links(laws: DataFrame, opening: int | None = None) -> DataFrame:
+    """Superior laws quoted in the title or text, or named by 'X法实施条例';
+    ``opening`` looks at so many characters of the text only."""
+    text = F.col("full_text") if opening is None else F.substring("full_text", 1, opening)
+    opening = F.concat(F.col("title"), F.lit(" "), text)
     key = title_key(F.col("title"))
     quoted = F.transform(F.regexp_extract_all(opening, F.lit("《([^》]+)》"), F.lit(1)), title_key)
     named = F.regexp_extract(key, "(.{4,30}法)实施(条例|细则|办法|规定)", 1)
@@ -173,12 +174,13 @@ def rank_levels(laws: DataFrame) -> DataFrame:
     return laws.withColumn("level", level)
 
 
-def relations(laws: DataFrame) -> DataFrame:
-    """Quoted titles of other laws in title and opening (1000 characters
-    by rule), with the taxonomy domain of both ends."""
+def relations(laws: DataFrame, opening: int | None = None) -> DataFrame:
+    """Quoted titles of other laws in title and text, with the taxonomy
+    domain of both ends; ``opening`` looks at so many characters of the text only."""
     tagged = taxonomy_domain(laws).withColumn("key", title_key(F.col("title")))
     domains = tagged.groupBy("key").agg(F.max_by("taxonomy", "id").alias("domain"))
-    opening = F.concat("title", F.lit(" "), F.substring("full_text", 1, 1000))
+    text = F.col("full_text") if opening is None else F.substring("full_text", 1, opening)
+    opening = F.concat(F.col("title"), F.lit(" "), text)
     cited = laws.select(
         F.col("id").alias("from_id"), title_key(F.col("title")).alias("from_key"),
         F.explode(F.array_distinct(F.transform(F.regexp_extract_all(opening, F.lit("《([^》]{4,40})》"), F.lit(1)), title_key))).alias("to_key"),

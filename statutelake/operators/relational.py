@@ -290,11 +290,12 @@ def translation_progress(nodes: DataFrame) -> DataFrame:
     )
 
 
-def latin_fragments(nodes: DataFrame, laws: DataFrame, samples: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Articles with Latin fragments per law, and the first samples."""
+def latin_fragments(nodes: DataFrame, laws: DataFrame, samples: int = 3, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Articles with Latin fragments per law, and the first samples with
+    all fragments of an article, or the first ``most``."""
+    fragments = F.regexp_extract_all("content", F.lit("[A-Za-z][A-Za-z\\d\\-]*"), F.lit(0))
     found = latin_articles(nodes).select(
-        "law_id", "global_order", "article_number",
-        F.slice(F.regexp_extract_all("content", F.lit("[A-Za-z][A-Za-z\\d\\-]*"), F.lit(0)), 1, 5).alias("fragments"),
+        "law_id", "global_order", "article_number", (fragments if most is None else F.slice(fragments, 1, most)).alias("fragments"),
     )
     titles = laws.select(F.col("id").alias("law_id"), "title")
     counts = found.groupBy("law_id").agg(F.count("*").alias("n")).join(titles, "law_id")
