@@ -44,11 +44,9 @@ def _power_arrays() -> list[np.ndarray]:
     return _powers
 
 
-def _segment(data: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of at most SEGMENT bytes of data."""
     forth, back = _power_arrays()
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
-    starts, ends = edge[0::2], edge[1::2]
     total = np.concatenate([np.zeros(1, U), np.cumsum(_VALUE[data] * forth[: len(data)], dtype=U)])
     out = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
     for i in np.flatnonzero(ends - starts > LONG_WORD):
@@ -56,6 +54,12 @@ def _segment(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _segment(data: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space[data], [True]]).astype(np.int8)))
+    starts, ends = edge[0::2], edge[1::2]
+    return span_hashes(data, starts, ends), starts, ends
+
+
 def _long(word: np.ndarray) -> np.uint64:
     return U(int.from_bytes(hashlib.blake2b(_LOWER[word].astype(np.uint8).tobytes(), digest_size=8).digest(), "little"))
 
@@ -64,26 +68,28 @@ def word_hashes(text: bytes) -> np.ndarray:
     """Hash of each word of a UTF-8 text, in order. Memory beyond the result is bounded by SEGMENT and the longest word."""
     data = np.frombuffer(text, np.uint8)
     if len(data) <= SEGMENT:
-        return _segment(data)
-    return np.concatenate(list(_segments(data)))
+        return _segment(data, _SPACE)[0]
+    return np.concatenate([hashes for hashes, _, _ in word_spans(data)])
 
 
-def _segments(data: np.ndarray) -> Iterator[np.ndarray]:
+def word_spans(data: np.ndarray, space: np.ndarray = _SPACE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, starts, ends) of the words of a text's bytes, segment by segment; ``space`` tells which bytes end a word."""
     at = 0
     while at < len(data):
         part = data[at : at + SEGMENT]
         if at + SEGMENT < len(data):
-            last = np.flatnonzero(_SPACE[part])
+            last = np.flatnonzero(space[part])
             if len(last):
                 part = part[: last[-1] + 1]
             else:  # inside a giant word: it goes on to the next space
                 end = at + SEGMENT
-                while end < len(data) and not _SPACE[data[end]]:
+                while end < len(data) and not space[data[end]]:
                     end += 1
-                yield np.array([_long(data[at:end])], U)
+                yield np.array([_long(data[at:end])], U), np.array([at]), np.array([end])
                 at = end
                 continue
-        yield _segment(part)
+        hashes, starts, ends = _segment(part, space)
+        yield hashes, starts + at, ends + at
         at += len(part)
 
 

@@ -66,6 +66,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def columns(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, found by place: others whose names differ in case only do not get in the way.
+
+    A name is looked up as written first and without regard to case after that;
+    of several columns of one name the first counts.
+    """
+    folded = [c.lower() for c in df.columns]
+    places = [df.columns.index(n) if n in df.columns else folded.index(n.lower()) for n in names]
+    numbered = df.toDF(*[f"column{i}" for i in range(len(df.columns))])
+    return numbered.select(*[F.col(f"column{i}").alias(n) for i, n in zip(places, names)])
+
+
 def long_or_null(df: DataFrame, name: str) -> Column:
     """Column ``name`` as a long; columns whose names differ in case only are left alone."""
     return F.col(f"`{name}`").cast("long")
