@@ -8,11 +8,12 @@ own delta and changes nothing else. Reading folds the deltas.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from statutelake.operators.identity import assign_ids
 from statutelake.operators.relational import missing
@@ -36,6 +37,36 @@ def unseen_documents(stream: DataFrame, key: str, event_time: str, delay: str) -
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def first_documents(stream: DataFrame, key: str) -> DataFrame:
+    """M2: each document once, however late it comes again.
+
+    The keys lie in the state store, partitioned by their hashes; a batch looks
+    up and writes its own keys only. Start the query inside ``keyed_state``, so
+    that they lie on disk and not on the heap.
+    """
+    return stream.dropDuplicates([key])
+
+
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in the state store on disk that Spark has for many keys."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def run_append(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+    """Append the rows of a stateful stream to ``out`` until the input ends; returns the progress of each batch."""
+    query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return list(query.recentProgress)
+
+
 def sliding_rate(events: DataFrame, delay: str = "5 minutes", width: str = "2 minutes", slide: str = "1 minute") -> DataFrame:
     """M3: events per minute over a sliding window, batch or stream."""
     marked = events.withWatermark("ts", delay) if events.isStreaming else events
@@ -145,14 +176,29 @@ def id_handler(folder: str, base: DataFrame, ranges: dict[str, tuple[int, int]])
     return handle
 
 
-def unseen_handler(folder: str, key: str, schema) -> Callable[[DataFrame, int], None]:
+def unseen_handler(folder: str, key: str, schema, buckets: int = 256) -> Callable[[DataFrame, int], None]:
     """M2: the rows of each batch whose key no earlier batch had, one per key.
 
-    The keys lie in the deltas, not in memory, and are never forgotten.
+    The keys lie in files by hash bucket, not in memory, and are never forgotten.
+    A batch opens only the buckets that its own keys fall into. A replayed batch
+    overwrites its own rows and keys.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        seen = read_deltas(batch.sparkSession, folder, schema, number).select(key)
-        batch.dropDuplicates([key]).join(seen, key, "left_anti").select(*schema.names).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        spark, index = batch.sparkSession, f"{folder}-keys"
+        target = spark._jvm.org.apache.hadoop.fs.Path(index)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        rows = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        own = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+        paths = [f"{index}/bucket={b}" for b in own if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{index}/bucket={b}"))]
+        if paths:
+            kind = StructType([schema[key], StructField("bucket", IntegerType()), StructField("batch", LongType())])
+            seen = spark.read.schema(kind).option("basePath", index).parquet(*paths).filter(F.col("batch") < number)
+            rows = rows.join(seen.select("bucket", key), ["bucket", key], "left_anti")
+        rows.select(*schema.names).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        fresh = spark.read.schema(schema).parquet(f"{folder}/batch={number}").select(key)
+        keyed = fresh.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).withColumn("batch", F.lit(number).cast("bigint"))
+        # One file for each bucket: rows of a bucket come together.
+        keyed.repartition("bucket").write.partitionBy("bucket", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(index)
 
     return handle
