@@ -259,3 +259,22 @@ TAXONOMY_RULES = [
     ]),
 ]
 CATEGORY_EN = {"法律": "Law", "行政法规": "Administrative Regulation", "司法解释": "Judicial Interpretation", "修正案": "Amendment"}
+# Order of the subgroups of a menu group, and of the subjects below administrative regulations.
+SUBGROUP_ORDER = {
+    "宪法与国家机构": ["宪法", "法律及决定", "行政法规", "司法解释"],
+    "民事与商事": [
+        "民法典", "合同与债权", "公司与破产", "知识产权", "担保与物权", "婚姻、家庭与继承", "保险", "海事与运输", "外商与涉外", "证券与期货", "综合与程序批复",
+    ],
+    "刑事": [
+        "刑法及修正案", "侵犯财产", "经济犯罪", "贪污贿赂", "人身犯罪", "毒品与走私", "妨害社会管理秩序", "刑罚执行", "证据规则", "刑事诉讼程序", "审判监督",
+        "辩护与代理", "未成年人刑事程序",
+    ],
+    "行政与公法": ["行政法律", "教育科技", "卫生医药", "生态环境", "公安司法", "社会民政", "土地城建", "自然资源", "劳动就业", "税务财政", "国家赔偿", "司法解释"],
+    "经济、税务与金融": ["税收与财政", "金融、证券与保险", "贸易、竞争与市场", "农业、资源与能源", "其他经济法规"],
+    "劳动与社会保障": ["劳动就业", "社会保险与福利", "特殊群体保护", "司法解释", "行政法规"],
+    "诉讼与司法程序": ["民事诉讼", "刑事诉讼", "行政诉讼", "律师、仲裁与公证", "文书、送达与废止", "行政法规"],
+}
+SUBJECT_ORDER = [
+    "税务财政", "海关进出口", "金融证券", "交通运输", "能源电力", "生态环境", "自然资源", "土地城建", "农业农村", "卫生医药",
+    "劳动就业", "社会民政", "教育科技", "信息通信", "工商市场", "安全应急", "公安司法", "军事国防", "行政法制", "涉外外资",
+]

@@ -7,7 +7,7 @@ titles, aliases) are joined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statutelake.functions import rules as r
@@ -119,6 +119,37 @@ def menu_order(menu: DataFrame, order: list[str] = r.GROUP_ORDER) -> DataFrame:
     return placed.orderBy("group_pos", "menu_group", "subgroup")
 
 
+def order_table(spark: SparkSession, groups: list[str] = r.GROUP_ORDER, subgroups: dict[str, list[str]] = r.SUBGROUP_ORDER,
+                subjects: list[str] = r.SUBJECT_ORDER, below: str = "行政法规/") -> DataFrame:
+    """Order lists as one table (level, menu_group, name, pos): level 0 has the groups, 1 the subgroups of
+    a group, 2 the subjects, which stand behind ``below`` in the subgroups of any group (no group)."""
+    rows = [(0, "", g, i) for i, g in enumerate(groups, 1)]
+    rows += [(1, g, name, i) for g, names in subgroups.items() for i, name in enumerate(names, 1)]
+    rows += [(2, "", below + name, i) for i, name in enumerate(subjects, 1)]
+    return spark.createDataFrame(rows, "level int, menu_group string, name string, pos int")
+
+
+def menu_places(menu: DataFrame, order: DataFrame, below: str = "行政法规/") -> DataFrame:
+    """every (menu_group, subgroup) with ``group_place`` and, inside its group, ``place``.
+
+    Groups come by their list, then by name. In a group its listed subgroups come
+    first, then those below administrative regulations by the list of subjects
+    and by name, then all others by name.
+    """
+    pairs = menu.select("menu_group", "subgroup").distinct()
+    groups = order.filter("level = 0").select(F.col("name").alias("menu_group"), F.col("pos").alias("group_pos"))
+    own = order.filter("level = 1").select("menu_group", F.col("name").alias("subgroup"), F.col("pos").alias("own_pos"))
+    subjects = order.filter("level = 2").select(F.col("name").alias("subgroup"), F.col("pos").alias("subject_pos"))
+    known = pairs.join(groups, "menu_group", "left").join(own, ["menu_group", "subgroup"], "left").join(subjects, "subgroup", "left")
+    tier = F.when(F.col("own_pos").isNotNull(), 0).when(F.startswith("subgroup", F.lit(below)), 1).otherwise(2)
+    pos = F.when(tier == 0, F.col("own_pos")).when(tier == 1, F.col("subject_pos"))
+    names = known.select("menu_group", "group_pos").distinct()
+    # One row for each group, and one for each subgroup of a group.
+    ranked = names.select("menu_group", F.row_number().over(Window.orderBy(F.col("group_pos").asc_nulls_last(), "menu_group")).alias("group_place"))
+    inside = Window.partitionBy("menu_group").orderBy(tier, pos.asc_nulls_last(), "subgroup")
+    return known.withColumn("place", F.row_number().over(inside)).join(ranked, "menu_group").select("menu_group", "subgroup", "group_place", "place")
+
+
 def taxonomy_domain(laws: DataFrame, rules: Rules = r.TAXONOMY_RULES, opening: int | None = None) -> DataFrame:
     """K5: most keywords in title and text; ``opening`` looks at so many characters of the text only."""
     text = F.col("full_text") if opening is None else F.substring("full_text", 1, opening)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from statutelake.functions import text as tx
 from statutelake.functions.numerals import int_to_numeral, label_to_int
+from statutelake.operators.ordered import top_per_group
 from statutelake.operators.relational import missing
 
 PUBLISHING = "通过|公布|发布|施行|颁布|批准"
@@ -244,6 +245,64 @@ def render_laws(nodes: DataFrame, laws: DataFrame, edges: DataFrame) -> DataFram
     return law_header(laws).unionByName(node_markdown(linked))
 
 
+def law_paths(laws: DataFrame, places: DataFrame) -> DataFrame:
+    """(law_id, path, up): where a law's page lies below the root by its menu place, and the way from there to the root."""
+    placed = laws.select(F.col("id").alias("law_id"), "title").join(places.select(F.col("id").alias("law_id"), "menu_group", "subgroup"), "law_id")
+    folders = F.transform(tx.path_parts(F.concat_ws("/", "menu_group", "subgroup")), lambda p: F.concat(p, F.lit("/")))
+    return placed.select(
+        "law_id", F.concat(F.array_join(folders, ""), "title", F.lit(".md")).alias("path"), tx.relative_prefix(F.col("menu_group"), F.col("subgroup")).alias("up"))
+
+
+def cited_by(edges: DataFrame, laws: DataFrame, paths: DataFrame, most: int = 50) -> DataFrame:
+    """(law_id, article_num, n, marks) of every article that other laws cite.
+
+    ``n`` counts the resolved citations; ``marks`` are numbered links to the
+    first ``most`` of them by (law, article, place in the text), so that a very
+    often cited article is never one long list. Articles and laws without a place
+    in the menu get a number without a link.
+    """
+    found = edges.filter((F.col("resolved") == 1) & (F.col("ref_type") == "cross_law") & F.col("to_article_num").isNotNull()).select(
+        F.col("to_law_id").alias("law_id"), F.col("to_article_num").alias("article_num"), "from_law_id", "from_order", F.col("from_article_num").alias("from_num"), "raw_text")
+    counts = found.groupBy("law_id", "article_num").agg(F.count("*").alias("n"))
+    first = top_per_group(found, ["law_id", "article_num"], [F.col("from_law_id"), F.col("from_order"), F.col("raw_text")], most, rank="i")
+    first = (
+        first.join(laws.select(F.col("id").alias("from_law_id"), "title"), "from_law_id")
+        .join(paths.select(F.col("law_id").alias("from_law_id"), "path"), "from_law_id", "left").join(paths.select("law_id", "up"), "law_id", "left")
+    )
+    number = F.coalesce(F.col("from_num").cast("string"), F.lit(""))
+    label = F.when(F.col("from_num").isNotNull(), F.concat(F.lit("第"), number, F.lit("条"))).otherwise("")
+    href = F.concat(F.coalesce("up", F.lit("")), "path", F.lit("#art-"), number)
+    mark = F.when(F.col("path").isNull(), F.concat(F.lit("<sup>["), "i", F.lit("]</sup>"))).otherwise(F.concat(
+        F.lit('<sup><a href="'), href, F.lit('" title="被《'), "title", F.lit("》"), label, F.lit('引用">['), "i", F.lit("]</a></sup>")))
+    marks = first.groupBy("law_id", "article_num").agg(F.array_sort(F.collect_list(F.struct("i", mark.alias("mark")))).alias("marks"))
+    text = F.concat(F.lit("&thinsp;"), F.array_join(F.transform("marks", lambda m: m["mark"]), "&thinsp;"))
+    return counts.join(marks, ["law_id", "article_num"]).select("law_id", "article_num", "n", text.alias("marks"))
+
+
+def page_links(edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """(law_id, global_order, raw, link) of resolved citations, relative to the citing law's page."""
+    own = paths.select(F.col("law_id").alias("from_law_id"), "up")
+    target = paths.select(F.col("law_id").alias("to_law_id"), "path")
+    rows = edges.filter((F.col("resolved") == 1) & ~missing(F.col("raw_text"))).join(own, "from_law_id", "left").join(target, "to_law_id", "left")
+    anchor = F.concat(F.lit("#art-"), "to_article_num")
+    place = F.when(F.col("ref_type") == "self_ref", anchor).otherwise(F.concat(F.coalesce("up", F.lit("")), "path", anchor))
+    return rows.filter(place.isNotNull()).select(
+        F.col("from_law_id").alias("law_id"), F.col("from_order").alias("global_order"), F.col("raw_text").alias("raw"),
+        F.concat(F.lit("["), "raw_text", F.lit("]("), place, F.lit(")")).alias("link")).distinct()
+
+
+def render_pages(nodes: DataFrame, laws: DataFrame, edges: DataFrame, places: DataFrame, most: int = 50) -> DataFrame:
+    """``render_laws`` for pages at their menu places: relative links and cited-by marks behind the articles."""
+    paths = law_paths(laws, places)
+    links = page_links(edges, paths).groupBy("law_id", "global_order").agg(F.array_sort(F.collect_list(F.struct("raw", "link"))).alias("links"))
+    marked = nodes.join(links, ["law_id", "global_order"], "left").join(
+        cited_by(edges, laws, paths, most).drop("n"), ["law_id", "article_num"], "left")
+    whole = tx.strip(F.col("content"))
+    text = F.when(F.col("links").isNotNull(), link_text(whole, F.col("links"))).otherwise(whole)
+    own = (F.col("type") == "article") & F.col("marks").isNotNull()
+    return law_header(laws).unionByName(node_markdown(marked.withColumn("content", F.when(own, F.concat(text, "marks")).otherwise(text))))
+
+
 def merge_template(articles: DataFrame, translated: DataFrame) -> DataFrame:
     """Keep existing translations, empty placeholders for the rest."""
     done = translated.groupBy("law_id", "article_number").agg(F.max("content_en").alias("content_en"))

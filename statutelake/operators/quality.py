@@ -189,6 +189,41 @@ def run_report(before: DataFrame, after: DataFrame) -> DataFrame:
     return added.unionByName(removed).unionByName(changes)
 
 
+def edge_deltas(before: DataFrame, after: DataFrame, keys: list[str], resolved: str = "resolved") -> DataFrame:
+    """What became of the citations between two runs, as (ref_type, kind, n).
+
+    Edge tables are multisets: equal edges, by ``keys`` (``ref_type`` among them),
+    are told apart by their number only. Kinds: ``kept`` is in both runs, ``lost``
+    only in the first, ``won`` only in the second one; ``resolved`` and
+    ``unresolved`` are how many more or fewer of an edge have a target now, those
+    of lost and won edges included. So won - lost is the change of the number of
+    edges, and resolved - unresolved that of resolved ones.
+    """
+    count = [F.count("*").alias("n"), F.count_if(F.col(resolved) == 1).alias("r")]
+    x = before.groupBy(*keys).agg(*count).select(*keys, F.col("n").alias("n0"), F.col("r").alias("r0"), F.lit(0).cast("bigint").alias("n1"), F.lit(0).cast("bigint").alias("r1"))
+    y = after.groupBy(*keys).agg(*count).select(*keys, F.lit(0).cast("bigint").alias("n0"), F.lit(0).cast("bigint").alias("r0"), F.col("n").alias("n1"), F.col("r").alias("r1"))
+    both = x.unionByName(y).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n0", "r0", "n1", "r1")])
+    n0, r0, n1, r1 = (F.col(c) for c in ("n0", "r0", "n1", "r1"))
+    zero = F.lit(0)
+    kinds = both.select(
+        "ref_type", F.least(n0, n1).alias("kept"), F.greatest(n0 - n1, zero).alias("lost"), F.greatest(n1 - n0, zero).alias("won"),
+        F.greatest(r1 - r0, zero).alias("resolved"), F.greatest(r0 - r1, zero).alias("unresolved"),
+    )
+    names = ["kept", "lost", "won", "resolved", "unresolved"]
+    totals = kinds.groupBy("ref_type").agg(*[F.sum(c).alias(c) for c in names])
+    return totals.unpivot(["ref_type"], names, "kind", "n").filter("n > 0")
+
+
+def edge_totals(deltas: DataFrame) -> DataFrame:
+    """Change of all edges, of resolved ones and of each type, as (item, change)."""
+    sign = F.when(F.col("kind").isin("won", "resolved"), F.col("n")).when(F.col("kind").isin("lost", "unresolved"), -F.col("n")).otherwise(0)
+    number = F.col("kind").isin("won", "lost")
+    signed = deltas.withColumn("change", sign)
+    whole = signed.agg(F.sum(F.when(number, F.col("change")).otherwise(0)).alias("total"), F.sum(F.when(number, 0).otherwise(F.col("change"))).alias("resolved"))
+    by_type = signed.filter(number).groupBy(F.col("ref_type").alias("item")).agg(F.sum("change").alias("change"))
+    return whole.na.fill(0).unpivot([], ["total", "resolved"], "item", "change").unionByName(by_type)
+
+
 def edge_integrity(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edge ends that are not in the node table."""
     keys = nodes.select("law_id", "global_order")

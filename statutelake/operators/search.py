@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statutelake.functions.text import cjk_count, ngrams, windows
-from statutelake.operators.citations import substrings
+from statutelake.operators.citations import strip_prc, substrings
 from statutelake.operators.ordered import top_per_group
 
 BROADCAST_TERMS = 100_000
@@ -274,6 +274,52 @@ def retrieve(experts: DataFrame, expert_terms: DataFrame, nodes: DataFrame, laws
     return first_seen(out, ["layer", "term_rank", "hit_rank"])
 
 
+def search_by_group(group_terms: DataFrame, hits: DataFrame, laws: DataFrame, domains: DataFrame, k: int, categories: list[str]) -> DataFrame:
+    """First k hits per group and term in current laws of the group's own domains, in node order.
+
+    ``group_terms`` is (q_id, pos, term), ``domains`` (q_id, legal_domain).
+    """
+    allowed = laws.filter((F.col("is_current") == 1) & F.col("category").isin(categories)).select(F.col("id").alias("law_id"), "legal_domain")
+    scope = hits.join(allowed, "law_id").join(domains.distinct(), "legal_domain")
+    return top_per_group(group_terms.join(scope, ["q_id", "term"]), ["q_id", "term"], [F.col("law_id"), F.col("global_order")], k, rank="hit_rank")
+
+
+def retrieve_chain(
+    primary: DataFrame, domains: DataFrame, group_terms: DataFrame, nodes: DataFrame, laws: DataFrame, hits: DataFrame,
+    chapter_cap: int = 25, per_law: int = 10, statutes: int = 10, interpretations: int = 8, per_interpretation: int = 5, core_terms: int = 3, newest: int = 5,
+) -> DataFrame:
+    """Three layers per group of law, each article once, where it is found first.
+
+    ``primary`` is (q_id, law_title, words): the main laws of a group. Layer 1
+    has the articles of their chapters that have a word in the heading, at most
+    ``chapter_cap`` per law (pinned), and the hits of the terms inside these laws.
+    Layer 2 searches statutes and interpretations of the group's domains. Layer 3
+    takes the newest interpretations that name a main law (what layer 1 asks for
+    decides where it looks) and searches the first ``core_terms`` terms in them.
+    """
+    experts = primary.select(F.col("q_id").alias("expert"), "law_title", "words")
+    titles = primary.select("q_id", "law_title").distinct()
+    empty = F.lit(0)
+    chapters = chapter_articles(nodes, laws, experts, chapter_cap).select(
+        F.col("expert").alias("q_id"), *NODE, F.lit(0).alias("layer"), empty.alias("term_rank"), "hit_rank", F.lit(1).alias("pinned"))
+
+    def rows(found: DataFrame, layer: int) -> DataFrame:
+        return found.select("q_id", *NODE, F.lit(layer).alias("layer"), F.col("pos").alias("term_rank"), "hit_rank", F.lit(0).alias("pinned"))
+
+    inside = search_in_laws(hits, laws, titles.select(F.col("law_title").alias("title")), per_law)
+    out = chapters.unionByName(rows(group_terms.join(titles, "q_id").join(inside, ["term", "law_title"]), 1))
+    out = out.unionByName(rows(search_by_group(group_terms, hits, laws, domains, statutes, LAW_CATEGORIES), 2))
+    out = out.unionByName(rows(search_by_group(group_terms, hits, laws, domains, interpretations, INTERPRETATIONS), 3))
+    short = titles.select("q_id", strip_prc(F.col("law_title")).alias("title"))
+    named = interpretations_for(laws, short.select("title").distinct(), newest).select("title", "id", F.col("place").alias("newest"))
+    scope = short.join(named, "title").groupBy("q_id", "id").agg(F.min("newest").alias("newest"))
+    core = group_terms.filter(F.col("pos") < core_terms).join(scope, "q_id")
+    deep = core.join(hits.withColumnRenamed("law_id", "id"), ["term", "id"])
+    deep = top_per_group(deep, ["q_id", "term", "id"], [F.col("global_order")], per_interpretation, rank="hit_rank")
+    out = out.unionByName(rows(deep.withColumnRenamed("id", "law_id"), 4))
+    return first_seen(out, ["layer", "term_rank", "hit_rank"])
+
+
 def interpretations_for(laws: DataFrame, titles: DataFrame, n: int) -> DataFrame:
     """Current interpretations whose title or promulgation text has the
     first six characters of a law's short title (the whole of a shorter one);

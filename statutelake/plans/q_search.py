@@ -171,10 +171,10 @@ query("j6_subtree", sql(
 def expert_table(s, d):
     """Experts by statute topic: one per current statute, with its words."""
     return L(s, d).filter("category = '法律'").select("title").distinct().select(
-        F.concat(F.substring("title", 8, 20), F.lit("专家")).alias("expert"), c("title").alias("law_title"), F.array(F.lit("责任"), F.lit("特别")).alias("words"))
+        F.concat(F.expr("substring(title, 8)"), F.lit("专家")).alias("expert"), c("title").alias("law_title"), F.array(F.lit("责任"), F.lit("特别")).alias("words"))
 
 
-cte("experts", "SELECT DISTINCT title[8:27] || '专家' AS expert, title AS law_title FROM laws WHERE category = '法律'", "laws")
+cte("experts", "SELECT DISTINCT title[8:] || '专家' AS expert, title AS law_title FROM laws WHERE category = '法律'", "laws")
 cte("chapter_arts", """SELECT * FROM (SELECT expert, law_id, global_order, row_number() OVER (PARTITION BY expert, law_id ORDER BY global_order) AS hit_rank FROM (
       SELECT DISTINCT e.expert, a.law_id, a.global_order FROM experts e JOIN laws l ON l.title = e.law_title AND l.is_current = 1 JOIN headings h ON h.law_id = l.id
       JOIN articles a ON a.law_id = h.law_id AND a.chapter_num = h.chapter_num AND (h.type = 'chapter' OR a.section_num = h.section_num)

@@ -17,43 +17,55 @@ def _stem() -> Column:
     return F.regexp_replace(F.url_decode(F.col("_metadata.file_name")), r"\.[^.]+$", "")
 
 
-def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _json(spark: SparkSession, path: str, schema: str, glob: str) -> DataFrame:
     """One document per file; an unreadable file is skipped, not fatal.
 
     A file that parses but has a value of another type keeps its other fields.
     """
     raw = (
         spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").json(path)
+        .option("pathGlobFilter", glob).json(path)
     )
     readable = F.col("_corrupt_record").isNull() | F.coalesce(*[F.col(c).cast("string") for c in ("title", "title_en", "doc_key", "law_id") if c in raw.columns]).isNotNull()
     return raw.withColumn("stem", _stem()).filter(readable).drop("_corrupt_record")
 
 
-def read_statutes(spark: SparkSession, path: str) -> DataFrame:
+def read_damaged(spark: SparkSession, path: str, schema: str, glob: str = "*.json") -> DataFrame:
+    """(file, record) of the files that are no JSON document of the schema; the readers of documents skip them."""
+    names = [f.split()[0] for f in ("title", "title_en", "doc_key", "law_id") if f"{f} " in schema]
+    raw = (
+        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob).json(path)
+    )
+    empty = F.coalesce(*[F.col(c).cast("string") for c in names]).isNull()
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("record"), empty.alias("empty")).filter(
+        F.col("record").isNotNull() & F.col("empty")).select("file", "record")
+
+
+def read_statutes(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """A1: nested statutes with their file stem; index files are skipped."""
-    return _json(spark, path, schemas.STATUTE).filter(~F.contains("stem", F.lit("index")))
+    return _json(spark, path, schemas.STATUTE, glob).filter(~F.contains("stem", F.lit("index")))
 
 
-def read_gazette(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+def read_gazette(spark: SparkSession, folders: dict[str, str], glob: str = "*.json") -> DataFrame:
     """A2: court documents of several sources with a stable key."""
     tables = [
-        _json(spark, path, schemas.GAZETTE).withColumn("source", F.lit(source)).withColumn("doc_key", F.coalesce("doc_key", F.concat_ws("/", F.lit(source), "stem")))
+        _json(spark, path, schemas.GAZETTE, glob).withColumn("source", F.lit(source)).withColumn("doc_key", F.coalesce("doc_key", F.concat_ws("/", F.lit(source), "stem")))
         for source, path in folders.items()
     ]
     return reduce(DataFrame.unionByName, tables)
 
 
-def read_translations(spark: SparkSession, path: str) -> DataFrame:
+def read_translations(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """A3: one row per translated article, in file order."""
-    docs = _json(spark, path, schemas.TRANSLATION).filter(F.col("law_id").isNotNull())
+    docs = _json(spark, path, schemas.TRANSLATION, glob).filter(F.col("law_id").isNotNull())
     exploded = docs.select("law_id", "title_en", "stem", F.posexplode_outer("articles").alias("pos", "article"))
     return exploded.select("law_id", "title_en", "stem", "pos", "article.article_number", "article.content_en")
 
 
-def read_gazette_translations(spark: SparkSession, path: str) -> DataFrame:
+def read_gazette_translations(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """A4: translations of court documents that carry a key."""
-    docs = _json(spark, path, schemas.GAZETTE_TRANSLATION).filter(F.coalesce("doc_key", F.lit("")) != "").drop("stem")
+    docs = _json(spark, path, schemas.GAZETTE_TRANSLATION, glob).filter(F.coalesce("doc_key", F.lit("")) != "").drop("stem")
     return docs.select("doc_key", *[F.nullif(c, F.lit("")).alias(c) for c in docs.columns if c != "doc_key"])
 
 
