@@ -9,16 +9,18 @@ on one long integer.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .session import long_or_null, written
+from .session import columns, written
 
-#: Edits per hundred characters of an item, and the shortest item that is looked for.
+#: Edits per hundred characters of an item, and the shortest item that may have edits; shorter ones are looked for as they are, between word borders.
 ERROR_PERCENT, LEAST_CHARS = 5, 20
 #: Characters of items in one automaton. More items take more slices, each with a pass of its own.
 SLICE_CHARS = 4_000_000
@@ -73,15 +75,21 @@ class Myers:
         return found
 
 
+def joined(a: str, b: str) -> bool:
+    """Whether there is no word border between two characters; ideographs and kana are words of their own."""
+    return all(c.isalnum() and not ("\u2e80" <= c <= "\u9fff" or c >= "\U00020000") for c in (a, b))
+
+
 class Searcher:
     """All items of a slice: finds the items that occur in a text within their budgets."""
 
-    def __init__(self, items: list[tuple[int, str]], percent: int):
+    def __init__(self, items: list[tuple[int, str]], percent: int, least: int = LEAST_CHARS):
         import ahocorasick
 
-        self.texts = [(item, text, budget(len(text), percent)) for item, text in items]
+        self.least = least
+        self.texts = [(item, text, budget(len(text), percent) if len(text) >= least else 0) for item, text in items]
         self.myers: dict[int, Myers] = {}
-        self.margin = max((len(t) + e for _, t, e in self.texts), default=0)
+        self.margin = max((len(t) + e for _, t, e in self.texts), default=0) + 1
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, (_, text, errors) in enumerate(self.texts):
             for offset, piece in cut(text, errors):
@@ -92,8 +100,11 @@ class Searcher:
         if places:
             self.automaton.make_automaton()
 
-    def search(self, text: str) -> dict[int, tuple[int, int, int]]:
-        """item number: (distance, start window, end) of the best occurrence in a normalised text."""
+    def search(self, text: str, first: bool = True, last: bool = True) -> dict[int, tuple[int, int, int]]:
+        """item number: (distance, start window, end) of the best occurrence in a normalised text.
+
+        ``first`` and ``last`` tell whether the text begins and ends here; what lies beyond is no border.
+        """
         best: dict[int, tuple[int, int, int]] = {}
         if not len(self.automaton):
             return best
@@ -102,6 +113,13 @@ class Searcher:
                 if i in best and best[i][0] == 0:
                     continue
                 _, item, errors = self.texts[i]
+                if size < self.least and len(item) == size:
+                    start, after = end + 1 - size, end + 1
+                    before = not joined(text[start - 1], item[0]) if start else first
+                    behind = not joined(item[-1], text[after]) if after < len(text) else last
+                    if before and behind:
+                        best[i] = (0, start, after)
+                    continue
                 low = max(0, end + 1 - size - offset - errors)
                 high = low + len(item) + 2 * errors
                 if text.startswith(item, end + 1 - size - offset) and end + 1 - size - offset >= 0:
@@ -121,21 +139,27 @@ def _parts(text: str, margin: int) -> Iterator[tuple[int, str]]:
         yield at, text[at : at + PIECE + margin]
 
 
-def _finder(items: list[list[tuple[int, str]]], percent: int):
-    searchers: dict[int, Searcher] = {}
+#: The automaton that a worker built last, with the name of its slice.
+_built: list[tuple[str, Searcher]] = []
+
+
+def _searcher(name: str, items: Broadcast, percent: int, least: int) -> Searcher:
+    if not _built or _built[0][0] != name:
+        _built[:] = [(name, Searcher(items.value, percent, least))]
+    return _built[0][1]
 
+
+def _finder(name: str, items: Broadcast, percent: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searcher = _searcher(name, items, percent, least)
         for batch in batches:
             rows = []
-            for slice_, doc, value in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, value in zip(*(c.to_pylist() for c in batch.columns)):
                 if not value:
                     continue
-                if slice_ not in searchers:
-                    searchers.clear()  # one automaton at a time
-                    searchers[slice_] = Searcher(items[slice_], percent)
-                searcher, text, best = searchers[slice_], normal(value), {}
+                text, best = normal(value), {}
                 for at, part in _parts(text, searcher.margin):
-                    for i, (distance, start, end) in searcher.search(part).items():
+                    for i, (distance, start, end) in searcher.search(part, at == 0, at + len(part) == len(text)).items():
                         if i not in best or distance < best[i][0]:
                             best[i] = (distance, at + start, at + end)
                 rows += [(doc, searcher.texts[i][0], *hit) for i, hit in best.items()]
@@ -148,41 +172,51 @@ def _finder(items: list[list[tuple[int, str]]], percent: int):
     return run
 
 
-def slices(benchmark: DataFrame, least: int = LEAST_CHARS, most: int = SLICE_CHARS) -> list[list[tuple[int, str]]]:
-    """The normalised test items, in slices of at most ``most`` characters (or one item).
+def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [normal(t or "") for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["item_id", "text", "size"])
+
+
+def slices(benchmark: DataFrame, most: int = SLICE_CHARS) -> tuple[DataFrame, int]:
+    """The normalised test items (item_id, text, slice) as a written table, and the number of slices.
 
-    A benchmark is small by nature and is brought to the driver as it is; each
-    slice is bounded, however many there are. Items of fewer than ``least``
-    characters and null items are left out: they occur in clean texts by chance.
+    Items are dealt by their hashes to as many slices as hold about ``most``
+    characters each. Null and empty items and those without an id are left out.
     """
-    out: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).orderBy("item_id", "text").toLocalIterator():
-        text = normal(row[1] or "")
-        if row[0] is None or len(text) < least:
-            continue
-        if size and size + len(text) > most:
-            out.append([])
-            size = 0
-        out[-1].append((row[0], text))
-        size += len(text)
-    return out
+    items = columns(benchmark, "item_id", "text").toDF("item_id", "text").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    items = items.mapInArrow(_normalised, "item_id long, text string, size long").filter("item_id is not null and size > 0")
+    items = written(items.distinct(), "items")
+    total = items.agg(F.sum("size")).first()[0] or 0
+    count = -(-total // most)
+    return items.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(count, 1))).alias("slice")), count
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT, least: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, start, end): the items that each whole text holds.
 
     An item counts as held if some part of the text, both in lower case and with
-    single spaces, is within ``percent`` edits per hundred of its characters.
-    One row per document and item: the smallest distance found, ``end`` is where
-    the part ends in the normalised text, ``start`` where the compared window
-    begins. Null and empty texts hold nothing; rows with a null id are reported
-    with a null id; repeated rows are reported each. Other columns are dropped.
+    single spaces, is within ``percent`` edits per hundred of its characters; an
+    item of fewer than ``least`` characters only if it stands in the text as it
+    is, between word borders. One row per document and item: the smallest
+    distance found, ``end`` is where the part ends in the normalised text,
+    ``start`` where the compared window begins. Null and empty texts hold
+    nothing; rows with a null id are reported with a null id; repeated rows are
+    reported each. Other columns are dropped.
+
+    The documents are read once for each slice of the items; a slice is broadcast
+    (its size is bounded), and a task builds one automaton for its slice.
     """
-    parts = slices(benchmark, least)
-    docs = documents.select(long_or_null(documents, "doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    each = docs.select(F.explode(F.sequence(F.lit(0), F.lit(len(parts) - 1))).alias("slice"), "doc_id", "text") if len(parts) > 1 else docs.select(F.lit(0).alias("slice"), "doc_id", "text")
-    return each.mapInArrow(_finder(parts, percent), "doc_id long, item_id long, distance int, start long, `end` long")
+    context = documents.sparkSession.sparkContext
+    items, count = slices(benchmark)
+    docs = columns(documents, "doc_id", "text").toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    schema = "doc_id long, item_id long, distance int, start long, `end` long"
+    out = documents.sparkSession.createDataFrame([], schema)
+    for i in range(count):
+        rows = [(r["item_id"], r["text"]) for r in items.filter(F.col("slice") == i).select("item_id", "text").orderBy("item_id", "text").toLocalIterator()]
+        part = docs.mapInArrow(_finder(uuid.uuid4().hex, context.broadcast(rows), percent, least), schema)
+        out = part if i == 0 else out.unionByName(part)
+    return out
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, percent: int = ERROR_PERCENT, least: int = LEAST_CHARS) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators 4, 5, 6, 8 and 9, and the pipeline."""
 
 import random
+import re
 import zlib
 
 import duckdb
@@ -97,13 +98,19 @@ def test_leaks_equal_brute_force(spark, documents):
             text = text[:50] + " \n " + "".join(chars).replace(" ", "  ") + text[50:]
         rows.append((n, text))
     rows += [(100, None), (101, ""), (None, items[0][1]), (102, items[0][1]), (102, items[0][1])]
+    rows += [(103, "a Short\n answer"), (104, "shorts"), (105, "ashort short"), (106, "short"), (107, "so: What is two plus two"), (108, "what is two plusone")]
+    items.append((30, "What is two plus"))
     bench = spark.createDataFrame([(*i, "extra") for i in items], "item_id long, text string, doc_id string")
     got = sorted(((r["doc_id"], r["item_id"], r["distance"]) for r in decontamination.leaks(documents(rows), bench).collect()), key=str)
     want = []
     for doc, text in rows:
         for item, goal in items:
             goal = decontamination.normal(goal or "")
-            if item is None or len(goal) < 20 or not text:
+            if item is None or not goal or not text:
+                continue
+            if len(goal) < 20:
+                if re.search(rf"(?<!\w){re.escape(goal)}(?!\w)", decontamination.normal(text)):
+                    want.append((doc, item, 0))
                 continue
             distance = edit_distance_in(goal, decontamination.normal(text))
             if distance <= len(goal) * 5 // 100:
@@ -119,8 +126,8 @@ def test_leaks_in_giant_texts_and_slices(spark, documents, monkeypatch):
     item = "the quick brown fox jumps over the lazy dog again and again"
     other = "a wholly different question about rivers and mountains"
     bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
-    parts = decontamination.slices(bench, most=70)
-    assert [[i for i, _ in p] for p in parts] == [[1], [2]]
+    parts, count = decontamination.slices(bench, most=70)
+    assert count == 2 and sorted(r["item_id"] for r in parts.collect()) == [1, 2] and {r["slice"] for r in parts.collect()} <= {0, 1}
     searcher = decontamination.Searcher([(1, item)], 5)
     monkeypatch.setattr(decontamination, "PIECE", 50)
     text = "filler words " * 9 + item + " more filler" * 9
@@ -130,6 +137,35 @@ def test_leaks_in_giant_texts_and_slices(spark, documents, monkeypatch):
     assert none.count() == 0 and decontamination.leaks(documents([]), bench).count() == 0
 
 
+def test_short_items_at_the_borders_of_parts(monkeypatch):
+    monkeypatch.setattr(decontamination, "PIECE", 10)
+    searcher = decontamination.Searcher([(1, "cat"), (2, "a dog"), (3, "\u732b")], 5)
+    rng = random.Random(7)
+    for _ in range(300):
+        text = " ".join(rng.choice(["cat", "cats", "a", "dog", "tomcat", "xx", "\u9ed1\u732b\u732b"]) for _ in range(rng.randint(0, 15)))
+        found = set()
+        for at, part in decontamination._parts(text, searcher.margin):
+            found |= set(searcher.search(part, at == 0, at + len(part) == len(text)))
+        want = {i for i, t in enumerate(("cat", "a dog")) if re.search(rf"(?<!\w){t}(?!\w)", text)} | ({2} if "\u732b" in text else set())
+        assert found == want, text
+
+
+def test_one_automaton_for_each_slice(spark, monkeypatch):
+    """However many documents a task has and however slices alternate, a slice is built once in a row."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    built = []
+    monkeypatch.setattr(decontamination, "Searcher", lambda items, percent, least: built.append(1) or SimpleNamespace(margin=5, texts=[], search=lambda *a: {}))
+    decontamination._built.clear()
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(50)), "text": ["some text"] * 50})
+    for name in ("first", "second"):
+        list(decontamination._finder(name, SimpleNamespace(value=[]), 5, 20)(iter([batch] * 4)))
+    assert len(built) == 2
+    decontamination._built.clear()
+
+
 # --- urls ----------------------------------------------------------------------------------------
 
 
@@ -295,7 +331,7 @@ def test_pipeline_equals_its_parts(spark, sf):
     model = rule_ensemble.train(docs, table(spark, sf, "labels"))
     good = [r["doc_id"] for r in rule_ensemble.judge(docs, model).filter("predicted = 1").collect()]
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    sets = {i: plain_set(texts[i]) for i in good}
+    sets = {i: plain_set(texts[i], 5) for i in good}
     left = [i for i in good if jaccard_first(i, good, sets)]
     items = [decontamination.normal(r["text"]) for r in table(spark, sf, "benchmark").collect()]
     left = [i for i in left if not any(t in decontamination.normal(texts[i]) for t in items)]
@@ -311,7 +347,7 @@ def jaccard_first(i, ids, sets):
     while todo:
         a = sets[todo.pop()]
         for j in ids:
-            if j not in seen and a and sets[j] and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+            if j not in seen and a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
                 seen.add(j)
                 todo.append(j)
     return min(seen) == i
@@ -321,11 +357,11 @@ def test_stages_keep_the_columns(spark, documents, sf):
     import corpus_pipeline
 
     prepare(spark)
-    rows = [(1, "good words in a row " * 9), (2, "good words in a row " * 9), (2, "good words in a row " * 9), (3, None), (4, ""), (None, "no id"), (None, "no id")]
+    rows = [(1, "good words in a row " * 9), (2, "good words in a row " * 9), (2, "another text"), (3, None), (4, ""), (None, "no id"), (None, "no id"), (None, "other")]
     docs = documents(rows)
     kept = corpus_pipeline.near_copies(spark, docs, sf)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 3, 4, None, None]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, 3, 4, None, None]
     for stage in (corpus_pipeline.quality, corpus_pipeline.decontaminate):
         assert stage(spark, docs, sf).columns == docs.columns
         assert stage(spark, documents([]), sf).count() == 0

@@ -80,11 +80,11 @@ def test_sets_that_link_share_a_list():
             assert any(x[k] + y[k] < 2 for k in x.keys() & y.keys())
 
 
-def plain_set(text):
+def plain_set(text, width=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
 def test_hashed_sets_have_the_sizes_of_plain_ones():

@@ -70,7 +70,7 @@ def test_clean_takes_a_benchmark_of_any_size(spark, documents):
     rng = random.Random(3)
     items = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100))) for i in range(41_000)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    assert len(decontamination.slices(bench)) > 1
+    assert decontamination.slices(bench)[1] > 1
     rows = [(i, f"before {t} behind") for i, t in (items[0], items[-1])] + [(7, "clean"), (7, "clean"), (8, None), (9, ""), (None, "no id"), (None, items[-1][1])]
     docs = documents(rows)
     kept = decontamination.clean(docs, bench)
