@@ -7,8 +7,8 @@ what is left are items of different classes that share a list. There are two way
 to settle those. ``across_leaders`` uses that two items can link only if their
 leaders are near enough (triangle inequality): the answers of the leaders rule
 out most class pairs, and single items are compared for the others.
-``across_blocks`` takes the classes that lists connect and compares their items
-block against block inside tasks, so that no pair becomes a row.
+The shingle join compares the items of a list block against block inside tasks,
+and only pairs that a sketch allows become rows.
 
 The classes that come out are exactly those of comparing every two items that
 share a list.
@@ -72,23 +72,6 @@ def mixed_lists(near: DataFrame, first: DataFrame, name: str) -> DataFrame:
     return written(rows.join(mixed, "key"), f"{name}-mixed")
 
 
-def across_blocks(compare: Callable[[DataFrame], DataFrame], name: str) -> Across:
-    """Compare all items of the classes that lists connect, inside tasks.
-
-    ``compare`` takes (item, class, team), where a team is a set of classes
-    connected by shared lists, and returns links (a, b) between classes.
-    """
-
-    def run(near: DataFrame, first: DataFrame, stars: DataFrame) -> DataFrame:
-        rows = mixed_lists(near, first, name)
-        low = rows.groupBy("key").agg(F.min("class").alias("low"))
-        edges = rows.join(low, "key").filter("class != low").select(F.col("low").alias("a"), F.col("class").alias("b")).distinct()
-        teams = components(edges).select(F.col("node").alias("class"), F.col("component").alias("team"))
-        return compare(rows.select("item", "class").distinct().join(teams, "class"))
-
-    return run
-
-
 def across_leaders(measure: Measure, prune: Callable[[Column, Column, Column], Column], name: str) -> Across:
     """Compare the leaders of classes first, then the items of those that can link.
 

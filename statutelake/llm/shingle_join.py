@@ -14,9 +14,10 @@ larger sets, of the next one.
 
 Equal sets are one set with many documents. The lists are then joined through
 leaders (``leader_join``): sets that link to their leader are in its class, and
-what they link to follows from the class. Sets of different classes that lists
-connect are compared in blocks of sets of like sizes. Every link is confirmed on
-the whole sets.
+what they link to follows from the class. What is left are sets of different
+classes in one list. Every set has a sketch of a few counters, which bounds how
+near two sets can be; only pairs that it allows are compared on the whole sets,
+and every link is confirmed on them.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import U, mix, shingles, word_hashes
-from .leader_join import across_blocks, link_classes
+from .leader_join import link_classes, mixed_lists
 from .session import written
 
-#: Sets whose blocks a task has sent already; more copies of them send none.
+#: Sets whose blocks a task has sent already (more copies of them send none), and pairs that it has sent.
 SEEN = 200_000
+#: Ranges of a sketch (the upper 6 bits of a hash), and items of one block of a list.
+SKETCH, BLOCK_ITEMS = 64, 256
 
 
 def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
@@ -49,6 +51,16 @@ def set_id(items: np.ndarray) -> int:
     return int(np.array([total], U).view(np.int64)[0])
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each of SKETCH ranges of a hash.
+
+    The counts of two sets differ by no more in total than the sets do, so a pair
+    whose sketches differ by too much cannot link.
+    """
+    counts = np.bincount((mix(items + U(0x7F4A7C15)) >> U(58)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 65535).astype(np.uint16)
+
+
 def difference_limit(total: int, percent: int) -> int:
     """Largest number of shingles in which two sets of ``total`` shingles together can differ and still link."""
     # 100 * i >= p * u, with i + u = total and u - i = d.
@@ -111,8 +123,9 @@ def _sets(width: int):
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "item"],
+                ["doc_id", "n_shingles", "item", "sketch"],
             )
 
     return run
@@ -177,102 +190,100 @@ def _differences(percent: int):
     return run
 
 
-#: Sets and bytes of one block in the comparison of classes.
-BLOCK_SETS, BLOCK_BYTES, COLUMNS = 256, 4 << 20, 1 << 14
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.int32)
+
 
+def _near_enough(percent: int):
+    """Pairs (a, b) of (a, b, size, size, sketch, sketch) that may link."""
 
-def _joined_classes(percent: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of classes with a link between the two blocks of one group (or inside the one block), as a forest."""
-        left, right = group[group.side == 0], group[group.side == 1]
-        if right.empty:
-            right = left
-        pairs = _linked_classes(left, right, percent) if len(left) else np.zeros((0, 2), np.int64)
-        root: dict[int, int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = _sketches(batch.column(4)), _sketches(batch.column(5))
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = pa.array((100 + percent) * np.abs(x - y).sum(1) <= (100 - percent) * total)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-        def find(n: int) -> int:
-            while root.get(n, n) != n:
-                n = root[n]
-            return n
+    return run
 
-        out = []
-        for a, b in pairs.tolist():
-            x, y = find(a), find(b)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+def _list_pairs(percent: int):
+    """Pairs of different classes that may link, from the lists' blocks, which come one after the other.
+
+    A row is (key, p, q, side, item, kind, class, size, sketch). Inside one block
+    (p = q) all pairs count, else those of the two sides.
+    """
+
+    def pairs(rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        p, q, side, item, kind, group, size, counts = rows
+        if p[0] == q[0]:
+            left = right = np.arange(len(item))
+        else:
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        able = (group[left][:, None] != group[right][None]) & (kind[left][:, None] + kind[right][None] < 2)
+        if p[0] == q[0]:
+            able = np.triu(able, 1)
+        i, j = np.nonzero(able)
+        i, j = left[i], right[j]
+        near = np.ones(len(i), bool)
+        for at in range(0, len(i), 1 << 16):
+            u, v = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            near[at : at + (1 << 16)] = (100 + percent) * np.abs(counts[u] - counts[v]).sum(1) <= (100 - percent) * (size[u] + size[v])
+        i, j = i[near], j[near]
+        return np.minimum(item[i], item[j]), np.maximum(item[i], item[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sent = None, OrderedDict()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(i).to_numpy() for i in range(8)] + [_sketches(batch.column(8))]
+            now = now if held is None else [np.concatenate([h, n]) for h, n in zip(held, now)]
+            key, p, q = now[:3]
+            edges = np.flatnonzero((key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
+            starts = np.concatenate([[0], edges])
+            held = [v[starts[-1] :] for v in now]
+            yield found([pairs(tuple(v[a:b] for v in now[1:])) for a, b in zip(starts[:-1], starts[1:])], sent)
+        if held is not None:
+            yield found([pairs(tuple(held[1:]))], sent)
+
+    def found(parts: list, sent: OrderedDict) -> pa.RecordBatch:
+        fresh = []
+        for x, y in parts:
+            for pair in zip(x.tolist(), y.tolist()):
+                if pair not in sent:
+                    sent[pair] = None
+                    fresh.append(pair)
+        while len(sent) > SEEN:
+            sent.popitem(last=False)
+        a, b = zip(*fresh) if fresh else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _linked_classes(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> np.ndarray:
-    sets = [np.frombuffer(v, U) for v in [*left.shingles, *right.shingles]]
-    sizes = np.array([len(s) for s in sets])
-    tokens, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    shared = times[place] > 1  # a shingle of one set alone adds nothing
-    column = np.cumsum(times > 1)[place[shared]] - 1
-    owner = owner[shared]
-    n, common = len(left), np.zeros((len(left), len(right)), np.float32)
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        a, b = np.searchsorted(column, [at, at + COLUMNS])
-        held = np.zeros((len(sets), COLUMNS), np.float32)
-        held[owner[a:b], column[a:b] - at] = 1
-        common += held[:n] @ held[n:].T
-    total = sizes[:n, None] + sizes[None, n:]
-    linked = 100 * common.astype(np.int64) >= percent * (total - common.astype(np.int64))
-    linked &= left["class"].to_numpy()[:, None] != right["class"].to_numpy()[None, :]
-    i, j = np.nonzero(linked)
-    return np.unique(np.stack([left["class"].to_numpy()[i], right["class"].to_numpy()[j]], 1), axis=0)
-
-
-def _size_class_column(percent: int):
-    """Number of a set's size class, from its size."""
-    bounds, low = [], 1
-    while low < 1 << 31:
-        low = max(low, 100 * low // percent) + 1
-        bounds.append(low)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("size")))
-
-
-def _compare_blocks(sets, percent: int):
-    """Links between the classes of a team: each size class is dealt into blocks, blocks of like sizes are compared."""
-
-    def compare(members: DataFrame) -> DataFrame:
-        own = members.join(sets().withColumn("size", F.expr("length(shingles) div 8")), "item")
-        own = written(own.select("team", "class", "item", "size", _size_class_column(percent).alias("step"), "shingles"), "members")
-        bulk = own.groupBy("team", "step").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-        blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
-        bulk = written(bulk.select("team", "step", blocks.alias("blocks")), "bulk")
-        dealt = own.join(bulk, ["team", "step"]).withColumn("block", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
-        # Blocks of the own step and of the next one.
-        after = bulk.select("team", (F.col("step") - 1).alias("step"), F.col("blocks").alias("after"))
-        before = bulk.select("team", (F.col("step") + 1).alias("step"), F.col("blocks").alias("before"))
-        dealt = dealt.join(after, ["team", "step"], "left").join(before, ["team", "step"], "left")
-
-        def numbers(count):
-            return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-
-        def group(step, p, next_step, q, side):
-            return F.struct(
-                step.alias("low"), p.cast("int").alias("p"), next_step.cast("int").alias("next"), q.cast("int").alias("q"), side.cast("int").alias("side")
-            )
+def _across_lists(slim: DataFrame, measure, percent: int, name: str):
+    """Links between items of different classes that share a list.
+
+    A list is dealt into blocks, blocks are compared in pairs inside tasks, and
+    what leaves a task are the pairs whose sketches allow a link.
+    """
 
-        step, block, zero, one = F.col("step"), F.col("block"), F.lit(0), F.lit(1)
-        same = F.transform(
-            numbers(F.col("blocks")),
-            lambda o: group(step, F.least(block, o), zero, F.greatest(block, o), F.when(block > o, 1).otherwise(0)),
+    def run(near: DataFrame, first: DataFrame, stars: DataFrame) -> DataFrame:
+        rows = mixed_lists(near, first, name)
+        sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ITEMS).cast("int").alias("blocks"))
+        # Items of a list are unique, so blocks by hash are even; a row goes to one group for each block of its list.
+        dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"), "item", F.col("kind").cast("int").alias("kind"), "class",
         )
-        up = F.transform(numbers(F.col("after")), lambda o: group(step, block, one, o, zero))
-        down = F.transform(numbers(F.col("before")), lambda o: group(step - 1, o, one, block, one))
-        each = dealt.select("team", "class", "shingles", F.explode(F.concat(same, up, down)).alias("g"))
-        each = each.select("team", "class", "shingles", "g.*")
-        return each.groupBy("team", "low", "p", "next", "q").applyInPandas(_joined_classes(percent), "a long, b long").distinct()
+        full = dealt.join(slim, "item").select("key", "p", "q", "side", "item", "kind", "class", "size", "sketch")
+        full = full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+        pairs = written(full.mapInArrow(_list_pairs(percent), "a long, b long").distinct(), f"{name}-across")
+        return measure(pairs, pruned=True).filter("linked").select("a", "b")
 
-    return compare
+    return run
 
 
 def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "text") -> DataFrame:
@@ -288,31 +299,35 @@ def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "
     document. An empty table gives no rows.
     """
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    docs = written(source.mapInArrow(_sets(width), "doc_id long, n_shingles long, item long"), "sets")
+    docs = written(source.mapInArrow(_sets(width), "doc_id long, n_shingles long, item long, sketch binary"), "sets")
     named = source.filter("doc_id is not null")
     lists = named.select("text").mapInArrow(_entries(width, percent), "key long, item long, kind byte")
 
     # One document stands for each set.
-    copies = docs.filter("item is not null and doc_id is not null").groupBy("item").agg(F.min("doc_id").alias("doc_id"))
-
-    state: dict[str, DataFrame] = {}
-
-    def measure(pairs: DataFrame) -> DataFrame:
-        if "sets" not in state:  # the sets of all items that any list joins
-            pairs = written(pairs, "pairs")
-            wanted = pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item"))).distinct()
-            chosen = written(copies.join(wanted, "item"), "wanted")
-            texts = named.join(chosen.hint("shuffle_hash"), "doc_id").select("item", "text")
-            state["sets"] = written(texts.mapInArrow(_set_bytes(width), "item long, shingles binary"), "shingles")
-        sets = state["sets"]
+    usable = docs.filter("item is not null and doc_id is not null")
+    copies = written(usable.groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "copies")
+    slim = copies.select("item", "size", "sketch")
+
+    def measure(pairs: DataFrame, pruned: bool = False) -> DataFrame:
+        """Pairs that may link, compared on their whole sets; sketches rule out most others before any set is sent."""
+        if not pruned:
+            x = slim.select(F.col("item").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("x"))
+            y = slim.select(F.col("item").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("y"))
+            both = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y")
+            pairs = written(both.mapInArrow(_near_enough(percent), "a long, b long"), "pairs")
+        wanted = pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item"))).distinct()
+        chosen = written(copies.select("item", "doc_id").join(wanted, "item"), "wanted")
+        texts = named.join(chosen.hint("shuffle_hash"), "doc_id").select("item", "text")
+        sets = written(texts.mapInArrow(_set_bytes(width), "item long, shingles binary"), "shingles")
         x = sets.select(F.col("item").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("item").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(
             _differences(percent), "a long, b long, distance double, linked boolean, span double"
         )
 
-    classes = link_classes(lists, measure, across_blocks(_compare_blocks(lambda: state["sets"], percent), "jaccard"), "jaccard")
+    classes = link_classes(lists, measure, _across_lists(slim, measure, percent, "jaccard"), "jaccard")
     classes = written(classes.select(F.col("node").alias("item"), F.col("component").alias("class")), "classes")
+    copies = copies.select("item", "doc_id")
     members = copies.join(classes, "item")
     smallest = members.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     known = copies.join(classes, "item", "left").join(smallest, "class", "left").select(
