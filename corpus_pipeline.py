@@ -30,21 +30,22 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group that links connect.
 
     Two documents link if the intersection of their sets of five-word runs is at
-    least 80 hundredths of the union. Rows without an id are kept; of repeated ids one row is kept, that of the
-    smallest text.
+    least 80 hundredths of the union. Every row counts by itself: rows without an
+    id, which come last in their group, and rows of a repeated id are compared
+    like all others. Documents without words are kept.
     """
     prepare(spark)
-    groups = shingle_join.jaccard_join(docs.select("doc_id", "text"), percent=NEAR_PERCENT, width=NEAR_WIDTH)
-    # A repeated id can stand in several groups; it goes if it is a copy in any.
-    gone = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("first")).filter("first != doc_id")
-    kept = docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = kept.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = written(repeated, "repeated")
-    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    whole = F.struct(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]])
-    again = again.groupBy("doc_id").agg(F.min(whole).alias("row")).select(*[F.col(f"row.`{c}`") for c in docs.columns])
-    return once.unionByName(again)
+    names = docs.columns
+    places = [f"column{i}" for i in range(len(names))]
+    doc_id, text = (F.col(places[names.index(n)]) for n in ("doc_id", "text"))
+    # The numbers are written, so that all later steps see the same ones.
+    rows = written(docs.toDF(*places).withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = shingle_join.jaccard_join(rows.select(F.col("row").alias("doc_id"), text.alias("text")), percent=NEAR_PERCENT, width=NEAR_WIDTH)
+    several = groups.filter("doc_id != component_id").select("component_id").distinct()
+    members = groups.select(F.col("doc_id").alias("row"), "component_id").join(several, "component_id").join(rows.select("row", doc_id.alias("id")), "row")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first"))
+    gone = members.join(first, "component_id").filter(F.col("row") != F.col("first.row")).select("row")
+    return rows.join(gone, "row", "left_anti").select(*places).toDF(*names)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
