@@ -1,25 +1,30 @@
-"""License scan: an index of template runs over overlapping windows, then exact shingle containment.
+"""License scan: MinHash bands over overlapping windows, then exact shingle containment.
 
-Every run of five template words holds an anchor word (a word that ordinary
-prose hardly uses), so only windows around anchors can hold enough of a
-template. Such windows overlap so far that a passage as long as a template lies
-whole in one. A window that holds m of a template's t runs has at least one of
-any t - m + 1 of them (pigeonhole), so so many runs of each template are indexed
-and no window is missed. The template's shingles are then counted in the window.
+Only windows that hold an anchor word can hold enough of a template: anchors are
+rare words chosen so that fewer of a template's five-word runs lack one than a
+window must hold. Windows overlap so far that a passage as long as a template lies
+whole in one. Each band takes a hash of its own of every run of a window and keeps
+the smallest; a window is compared with the templates that have the same smallest
+hash in some band. The number of bands follows from the lowest Jaccard value that
+a window with enough runs can have, so that one is missed with a chance of MISS at
+most. The templates' runs are then counted in the window itself.
 
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import columns, written
+
 WIDTH, PERCENT = 5, 80
-#: Templates are broadcast: so many, of so many words each, at most.
-MOST_TEMPLATES, MOST_WORDS = 2_000, 2_000
+#: Chance that no band retrieves a template for a window that holds enough of it.
+MISS = 1e-7
 
 #: Short notices of widely used licences (fixed wordings).
 TEMPLATES = (
@@ -38,7 +43,7 @@ TEMPLATES = (
     ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
-#: Words that are never chosen as anchors unless a run of template words has no other.
+#: Words that are never chosen as anchors unless a template has no others.
 COMMON = frozenset(
     "a above all and any are as at be but by can can't copy files following for forms form free from general has hope if in is it its "
     "law may met may not of on or other person possible program public purpose source that the their this to under use used useful v "
@@ -50,19 +55,41 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
 
-def anchors(templates: list[list[str]]) -> list[str]:
-    """Words of which every run of WIDTH template words has one; long words first."""
-    runs = {frozenset(w[i : i + WIDTH]) for w in templates for i in range(len(w) - WIDTH + 1)}
+def runs_of(words: list[str]) -> list[tuple[str, ...]]:
+    """Distinct runs of WIDTH words."""
+    return list(dict.fromkeys(tuple(words[i : i + WIDTH]) for i in range(len(words) - WIDTH + 1)))
+
+
+def least_held(runs: int, percent: int = PERCENT) -> int:
+    """Runs that a window must hold, of a template with so many."""
+    return max(1, -(-percent * runs // 100))
+
+
+def anchors(templates: list[list[str]], percent: int = PERCENT) -> list[str]:
+    """Words of which any ``least_held`` runs of a template hold one: of its runs fewer may lack them all."""
+    left = [(least_held(len(runs), percent), [set(r) for r in runs]) for runs in map(runs_of, templates)]
     chosen: set[str] = set()
-    while left := [r for r in runs if not r & chosen]:
+    while left := [(held, [r for r in runs if not r & chosen]) for held, runs in left]:
+        left = [(held, runs) for held, runs in left if len(runs) >= held]
+        if not left:
+            break
         counts: dict[str, int] = {}
-        for run in left:
-            for word in run - COMMON or run:
-                counts[word] = counts.get(word, 0) + 1
+        for _, runs in left:
+            rare = set().union(*runs) - COMMON
+            for run in runs:
+                for word in run & rare if rare else run:
+                    counts[word] = counts.get(word, 0) + 1
         chosen.add(max(counts, key=lambda w: (counts[w], len(w), w)))
     return sorted(chosen)
 
 
+def bands(fewest: int, most: int, window: int, percent: int = PERCENT) -> int:
+    """Bands of one row that retrieve templates of ``fewest`` to ``most`` runs from windows of ``window`` words."""
+    full = window - WIDTH + 1
+    lowest = min(held / (n + full - held) for n in range(fewest, most + 1) for held in [min(least_held(n, percent), full)])
+    return 1 if lowest >= 1 else math.ceil(math.log(MISS) / math.log(1 - lowest))
+
+
 def size_classes(lengths: list[int]) -> list[tuple[int, int, int, int]]:
     """(least words, most words, window, stride) of classes with a ratio of 1.5 that hold some template."""
     out, low = [], WIDTH
@@ -75,12 +102,6 @@ def size_classes(lengths: list[int]) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def indexed_runs(runs: int, percent: int = PERCENT) -> int:
-    """How many of a template's runs are indexed: a window without any of them holds too few."""
-    held = max(1, -(-percent * runs // 100))
-    return max(1, runs - held + 1)
-
-
 def _shingles(words: Column) -> Column:
     """Distinct runs of WIDTH words of an array."""
     starts = F.sequence(F.lit(1), F.size(words) - (WIDTH - 1))
@@ -101,19 +122,22 @@ def _windows(words: Column, places: Column, number: int, window: int, stride: in
     return F.transform(F.array_distinct(F.flatten(F.transform(places, around))), cut)
 
 
-def template_table(spark: SparkSession, templates=TEMPLATES, percent: int = PERCENT) -> DataFrame:
-    """(template, size_class, shingles, n_indexed) of the templates of at least WIDTH words."""
+def _smallest(runs: Column, count: int) -> Column:
+    """(band, value): the smallest hash of the runs in each band; every band hashes the runs anew."""
+    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda b: F.struct(
+        b.alias("band"), F.array_min(F.transform(runs, lambda run: F.xxhash64(run, b))).alias("value")))
+
+
+def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+    """(template, size_class, shingles) of the templates of at least WIDTH words."""
     split = [(name, words_of(text)) for name, text in templates]
-    if len(split) > MOST_TEMPLATES or max((len(w) for _, w in split), default=0) > MOST_WORDS:
-        raise ValueError("too many or too long templates to broadcast")
     classes = size_classes([len(w) for _, w in split])
     rows = []
     for name, words in split:
         for i, (low, high, _, _) in enumerate(classes):
             if low <= len(words) <= high:
-                runs = dict.fromkeys(" ".join(words[j : j + WIDTH]) for j in range(len(words) - WIDTH + 1))
-                rows.append((name, i, list(runs), indexed_runs(len(runs), percent)))
-    return spark.createDataFrame(rows, "template string, size_class int, shingles array<string>, n_indexed int")
+                rows.append((name, i, [" ".join(r) for r in runs_of(words)]))
+    return spark.createDataFrame(rows, "template string, size_class int, shingles array<string>")
 
 
 def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -129,11 +153,11 @@ def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> D
     """
     spark = documents.sparkSession
     split = [words_of(text) for _, text in templates]
-    classes, chosen = size_classes([len(w) for w in split]), anchors([w for w in split if len(w) >= WIDTH])
+    classes, chosen = size_classes([len(w) for w in split]), anchors([w for w in split if len(w) >= WIDTH], percent)
     if not classes:
         return spark.createDataFrame([], "doc_id long, template string, containment double, start_word int")
-    held = F.lower(F.col("text").cast("string"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("text")).filter(
+    docs = columns(documents, "doc_id", "text").toDF("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text")).filter(
         F.col("text").rlike(rf"(?<![a-z0-9])(?:{'|'.join(chosen)})(?![a-z0-9])")
     )
     docs = docs.select("doc_id", F.array_remove(F.split("text", "[^a-z0-9]+"), "").alias("words"))
@@ -141,18 +165,21 @@ def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> D
     places = F.filter(
         F.transform(words, lambda w, i: F.when(w.isin(chosen), i).otherwise(F.lit(-1))), lambda i: i >= 0
     )
-    docs = docs.select("doc_id", "words", places.alias("places"))
-    windows = [_windows(words, F.col("places"), i, window, stride) for i, (_, _, window, stride) in enumerate(classes)]
-    rows = docs.select("doc_id", F.explode(F.concat(*windows)).alias("w")).select("doc_id", "w.*")
-    rows = rows.select("doc_id", "size_class", "start_word", _shingles(F.col("window")).alias("found")).filter(F.size("found") > 0)
-    indexed = F.explode(F.slice("shingles", 1, F.col("n_indexed")))
-    index = template_table(spark, templates, percent).select("template", "size_class", "shingles", indexed.alias("run"))
-    keyed = rows.select("doc_id", "size_class", "start_word", "found", F.explode("found").alias("run"))
-    met = keyed.join(F.broadcast(index), ["size_class", "run"])
-    share = F.size(F.array_intersect("found", "shingles")) / F.size("shingles")
-    hits = met.select("doc_id", "template", "start_word", share.alias("containment")).filter(
-        F.col("containment") * 100 >= percent - 1e-9
-    )
+    # Few texts hold an anchor; they are written once and read by each class.
+    docs = written(docs.select("doc_id", "words", places.alias("places")), "anchored")
+    table, hits = template_table(spark, templates), None
+    for i, (low, high, window, stride) in enumerate(classes):
+        runs = [len(runs_of(w)) for w in split if low <= len(w) <= high]
+        count = bands(min(runs), max(runs), window, percent)
+        rows = docs.select("doc_id", F.explode(_windows(words, F.col("places"), i, window, stride)).alias("w")).select("doc_id", "w.*")
+        rows = rows.select("doc_id", "start_word", _shingles(F.col("window")).alias("found")).filter(F.size("found") > 0)
+        keyed = rows.select("doc_id", "start_word", "found", F.explode(_smallest(F.col("found"), count)).alias("k"))
+        own = table.filter(F.col("size_class") == i)
+        index = own.select("template", "shingles", F.explode(_smallest(F.col("shingles"), count)).alias("k"))
+        met = keyed.join(index, "k")
+        share = F.size(F.array_intersect("found", "shingles")) / F.size("shingles")
+        part = met.select("doc_id", "template", "start_word", share.alias("containment")).filter(F.col("containment") * 100 >= percent - 1e-9)
+        hits = part if hits is None else hits.unionByName(part)
     best = hits.groupBy("doc_id", "template").agg(
         F.max("containment").alias("containment"), F.min_by("start_word", F.struct(-F.col("containment"), F.col("start_word"))).alias("start_word")
     )

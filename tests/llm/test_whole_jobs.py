@@ -47,7 +47,7 @@ def test_short_templates_are_retrieved_whatever_stands_beside_them(spark, docume
     prepare(spark)
     rng = random.Random(31)
     rows = []
-    for n in range(20_000):
+    for n in range(5_000):
         words = [f"w{rng.randrange(10**6)}" for _ in range(4)]
         at = rng.randint(0, 3)
         rows.append((n, " ".join(words[:at] + ["released under the mit license"] + words[at:])))
@@ -55,11 +55,36 @@ def test_short_templates_are_retrieved_whatever_stands_beside_them(spark, docume
     assert len(got) == len(rows)
 
 
-def test_windows_without_an_indexed_run_hold_too_little():
+def test_windows_without_an_anchor_hold_too_little():
+    split = [license_scan.words_of(t) for _, t in license_scan.TEMPLATES] + [list("abcdefghijk"), list("aaaaabaaaaac")]
     for percent in (1, 50, 80, 99, 100):
-        for runs in range(1, 200):
-            indexed = license_scan.indexed_runs(runs, percent)
-            assert 1 <= indexed <= runs and 100 * (runs - indexed) < percent * runs
+        chosen = set(license_scan.anchors(split, percent))
+        for words in split:
+            runs = license_scan.runs_of(words)
+            assert sum(not set(r) & chosen for r in runs) < license_scan.least_held(len(runs), percent)
+    assert not {"any", "that", "use", "will"} & set(license_scan.anchors(split[:-2]))
+
+
+def test_bands_follow_from_the_lowest_likeness():
+    for fewest, most, window in ((1, 2, 9), (3, 5, 13), (6, 10, 21), (40, 44, 72)):
+        count, full = license_scan.bands(fewest, most, window), window - 4
+        for n in range(fewest, most + 1):
+            held = license_scan.least_held(n)
+            assert (1 - held / (n + full - held)) ** count <= 1.001e-7
+
+
+def test_a_window_shares_its_smallest_hash_as_often_as_its_likeness(spark):
+    """Over many windows of the shortest class: every band is an order of its own."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = [(i, [f"r{rng.randrange(10**9)}" for _ in range(4)]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, others array<string>")
+    goal = F.array(F.lit("released under the mit license"))
+    window = F.concat(goal, "others")
+    same = F.size(F.filter(F.arrays_zip(license_scan._smallest(window, 73).alias("x"), license_scan._smallest(goal, 73).alias("y")), lambda p: p["x"]["value"] == p["y"]["value"]))
+    got = [r[0] for r in df.select(same).collect()]
+    assert min(got) >= 1 and abs(sum(got) / len(got) / 73 - 0.2) < 0.1  # 73 draws of one template
 
 
 # --- decontamination -----------------------------------------------------------------------------
