@@ -8,6 +8,7 @@ reader leave out the others. Each file, and each stripe in it, is read on its ow
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import unicodedata
@@ -17,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .session import long_or_null
+from .session import columns
 from .wordcache import WordCache, split_batch
 
 #: The id behind each document.
@@ -34,7 +36,7 @@ ORC = {
     "orc.create.index": "true",
     "orc.row.index.stride": "1000",
     "orc.stripe.size": str(16 << 20),
-    "orc.compress": "ZSTD",
+    "orc.compress": "LZ4",
 }
 #: A full stop or comma behind a letter or digit and before white space is a word of its own.
 _STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
@@ -169,7 +171,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", end_id: int | None
     Null and empty texts give the end id only; ``end_id=None`` appends none.
     Other columns are dropped; repeated rows stay repeated.
     """
-    slim = df.select(long_or_null(df, "doc_id").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    slim = columns(df, "doc_id", text).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return slim.mapInArrow(_encoder(tokenizer, end_id), "doc_id long, ids array<int>")
 
 
@@ -177,12 +179,23 @@ def write_ids(texts: DataFrame, path: str, tokenizer: str, files: int | None = N
     """Encode ``texts`` and write ``path`` as ORC files in ascending ``doc_id`` order.
 
     The texts, not the ids, are dealt out by ranges of ``doc_id`` (they are
-    smaller), encoded in place, and each range becomes a file. Null ids come
-    first. Ids are an integer list, which ORC writes run-length coded.
+    smaller), encoded in place, and each range becomes a file. The ranges are
+    quantiles of the ids alone, so the texts are read once. Null ids have a file
+    of their own and come first. Ids are an integer list, which ORC writes
+    run-length coded.
     """
-    slim = texts.select(long_or_null(texts, "doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = columns(texts, "doc_id", "text").toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     parts = files or int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = slim.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    cuts = slim.select("doc_id").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
+    edges = [-math.inf, *sorted(set(cuts)), math.inf]
+    ranged = slim.withColumn("place", F.col("doc_id").cast("double"))
+    if len(edges) > 2:
+        ranged = Bucketizer(splits=edges, inputCol="place", outputCol="range", handleInvalid="keep").transform(ranged)
+    else:
+        ranged = ranged.withColumn("range", F.lit(0.0))
+    number = F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("range").cast("int") + 1)
+    ranged = ranged.select("doc_id", "text", number.cast("int").alias("number"))
+    dealt = ranged.repartitionById(len(edges), "number").sortWithinPartitions("doc_id").select("doc_id", "text")
     encode(dealt, tokenizer, **options).write.options(**ORC).orc(path)
 
 
