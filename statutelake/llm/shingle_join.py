@@ -38,6 +38,7 @@ from .session import written
 SEEN = 200_000
 #: Ranges of a sketch (the upper 6 bits of a hash), and items of one block of a list.
 SKETCH, BLOCK_ITEMS = 64, 256
+MOST_RANGES = 1 << 14
 
 
 def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
@@ -61,6 +62,13 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 65535).astype(np.uint16)
 
 
+def fine_sketch(items: np.ndarray) -> np.ndarray:
+    """Like ``sketch``, with as many ranges as leave about four shingles to each (MOST_RANGES at most)."""
+    ranges = min(MOST_RANGES, max(SKETCH, 1 << max(0, len(items) // 4).bit_length()))
+    place = mix(items + U(0x7F4A7C15)) >> U(65 - int(ranges).bit_length())
+    return np.minimum(np.bincount(place.astype(np.int64), minlength=ranges), 255).astype(np.uint8)
+
+
 def difference_limit(total: int, percent: int) -> int:
     """Largest number of shingles in which two sets of ``total`` shingles together can differ and still link."""
     # 100 * i >= p * u, with i + u = total and u - i = d.
@@ -124,8 +132,9 @@ def _sets(width: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([fine_sketch(s).tobytes() for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "item", "sketch"],
+                ["doc_id", "n_shingles", "item", "sketch", "fine"],
             )
 
     return run
@@ -207,6 +216,23 @@ def _near_enough(percent: int):
     return run
 
 
+def _nearer(percent: int):
+    """Pairs (a, b) of (a, b, size, size, fine sketch, fine sketch) that may link; the finer one is folded to the other's ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for m, n, u, v in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+                x, y = (np.frombuffer(w.as_buffer(), np.uint8).astype(np.int32) for w in (u, v))
+                ranges = min(len(x), len(y))
+                gap = np.abs(x.reshape(ranges, -1).sum(1) - y.reshape(ranges, -1).sum(1)).sum()
+                keep.append(bool((100 + percent) * gap <= (100 - percent) * (m + n)))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return run
+
+
 def _list_pairs(percent: int):
     """Pairs of different classes that may link, from the lists' blocks, which come one after the other.
 
@@ -299,22 +325,26 @@ def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "
     document. An empty table gives no rows.
     """
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    docs = written(source.mapInArrow(_sets(width), "doc_id long, n_shingles long, item long, sketch binary"), "sets")
+    docs = written(source.mapInArrow(_sets(width), "doc_id long, n_shingles long, item long, sketch binary, fine binary"), "sets")
     named = source.filter("doc_id is not null")
     lists = named.select("text").mapInArrow(_entries(width, percent), "key long, item long, kind byte")
 
     # One document stands for each set.
     usable = docs.filter("item is not null and doc_id is not null")
-    copies = written(usable.groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "copies")
+    copies = written(usable.groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine")), "copies")
     slim = copies.select("item", "size", "sketch")
 
     def measure(pairs: DataFrame, pruned: bool = False) -> DataFrame:
         """Pairs that may link, compared on their whole sets; sketches rule out most others before any set is sent."""
-        if not pruned:
-            x = slim.select(F.col("item").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("x"))
-            y = slim.select(F.col("item").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("y"))
+        def allowed(pairs: DataFrame, name: str, test) -> DataFrame:
+            x = copies.select(F.col("item").alias("a"), F.col("size").alias("m"), F.col(name).alias("x"))
+            y = copies.select(F.col("item").alias("b"), F.col("size").alias("n"), F.col(name).alias("y"))
             both = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y")
-            pairs = written(both.mapInArrow(_near_enough(percent), "a long, b long"), "pairs")
+            return written(both.mapInArrow(test(percent), "a long, b long"), f"{name}-pairs")
+
+        if not pruned:
+            pairs = allowed(pairs, "sketch", _near_enough)
+        pairs = allowed(pairs, "fine", _nearer)
         wanted = pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item"))).distinct()
         chosen = written(copies.select("item", "doc_id").join(wanted, "item"), "wanted")
         texts = named.join(chosen.hint("shuffle_hash"), "doc_id").select("item", "text")

@@ -62,6 +62,26 @@ def test_size_classes_meet_every_partner():
             assert s <= following[1]
 
 
+def test_sketches_never_rule_out_a_link():
+    import pyarrow as pa
+
+    rng = np.random.RandomState(4)
+    for size in (1, 5, 60, 700, 9000):
+        base = np.unique(rng.randint(0, 2**62, size).astype(np.uint64))
+        for share in (0, 0.05, 0.1, 0.3, 1):
+            keep = rng.random(len(base)) >= share
+            other = np.unique(np.concatenate([base[keep], rng.randint(0, 2**62, int(size * share * rng.random())).astype(np.uint64)]))
+            if not len(other):
+                continue
+            common = len(np.intersect1d(base, other))
+            linked = 100 * common >= 80 * (len(base) + len(other) - common)
+            for test, make in ((shingle_join._near_enough, shingle_join.sketch), (shingle_join._nearer, shingle_join.fine_sketch)):
+                batch = pa.RecordBatch.from_arrays([pa.array([v]) for v in (1, 2, len(base), len(other), make(base).tobytes(), make(other).tobytes())], list("abmnxy"))
+                kept = sum(out.num_rows for out in test(80)(iter([batch])))
+                assert kept or not linked
+                assert not kept or share < 1 or size < 60
+
+
 def test_sets_that_link_share_a_list():
     rng = np.random.RandomState(4)
     blocks = Blocks(90)
