@@ -80,14 +80,14 @@ query("d17_taxonomy_counts", sql("SELECT domain AS taxonomy, count(*) AS n FROM
 query("k6_law_aliases", sql("SELECT id, CASE WHEN n.a IS NULL THEN NULL ELSE n.a END AS known_aliases FROM laws l LEFT JOIN (SELECT title, max(aliases) || ',简称' AS a FROM laws WHERE aliases <> '' GROUP BY 1) n ON n.title = l.title", "laws"))(
     lambda s, d: cl.law_aliases(L(s, d), L(s, d).filter("aliases <> ''").groupBy("title").agg(F.concat(F.max("aliases"), F.lit(",简称")).alias("aliases"))).select("id", "known_aliases"))
 cte("parents", """SELECT DISTINCT l.id AS child_id, l.title AS child, l.category AS child_category, p AS parent, CASE WHEN category = '行政法规' THEN '实施依据' ELSE '解释依据' END AS relation
-    FROM (SELECT *, unnest(list_concat(regexp_extract_all(title || ' ' || full_text[1:500], '《([^》]+)》', 1), [regexp_extract(title, '(.{4,30}法)实施(条例|细则|办法|规定)', 1)])) AS p FROM laws) l
+    FROM (SELECT *, unnest(list_concat(regexp_extract_all(title || ' ' || full_text, '《([^》]+)》', 1), [regexp_extract(title, '(.{4,30}法)实施(条例|细则|办法|规定)', 1)])) AS p FROM laws) l
     WHERE p <> l.title AND p IN (SELECT title FROM laws WHERE category IN ('法律', '宪法'))""", "laws")
 query("j9_hierarchy_links", sql("SELECT * FROM parents", "parents"))(lambda s, d: cl.hierarchy_links(L(s, d)))
 query("j10_rank_levels", sql("SELECT id, CASE category WHEN '法律' THEN 3 WHEN '行政法规' THEN 4 WHEN '司法解释' THEN 5 ELSE 3 END AS level FROM laws", "laws"))(
     lambda s, d: cl.rank_levels(L(s, d)).select("id", "level"))
 query("j11_relations", sql(
     """SELECT DISTINCT l.id AS from_id, p AS to_title, f.domain AS from_domain, t.domain AS to_domain FROM (
-       SELECT *, unnest(regexp_extract_all(title || ' ' || full_text[1:1000], '《([^》]{4,40})》', 1)) AS p FROM laws) l
+       SELECT *, unnest(regexp_extract_all(title || ' ' || full_text, '《([^》]{4,40})》', 1)) AS p FROM laws) l
        JOIN tax_title t ON t.title = p JOIN tax_title f ON f.title = l.title WHERE p <> l.title""", "laws", "tax_title"))(
     lambda s, d: cl.relations(L(s, d)))
 query("c9_terms_in_text", sql(f"SELECT law_id, global_order, word AS term FROM articles JOIN (SELECT unnest({'[' + ', '.join(repr(w) for w in corpus.WORDS) + ']'}) AS word) ON contains(content, word)", "articles"))(

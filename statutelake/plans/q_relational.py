@@ -146,7 +146,7 @@ query("d19_translation_progress", sql(
 query("d20_latin_fragment_counts", sql("SELECT a.law_id, count(*) AS n, l.title FROM articles a JOIN laws l ON l.id = a.law_id WHERE regexp_matches(content, '[A-Za-z]') GROUP BY 1, 3", "articles", "laws"))(
     lambda s, d: rel.latin_fragments(A(s, d), L(s, d))[0])
 query("d20_latin_fragment_samples", sql(
-    """SELECT law_id, sample, article_number, array_to_string(regexp_extract_all(content, '[A-Za-z][A-Za-z0-9\\-]*')[1:5], ' ') AS fragments FROM (
+    """SELECT law_id, sample, article_number, array_to_string(regexp_extract_all(content, '[A-Za-z][A-Za-z0-9\\-]*'), ' ') AS fragments FROM (
        SELECT *, row_number() OVER (PARTITION BY law_id ORDER BY global_order) AS sample FROM articles WHERE regexp_matches(content, '[A-Za-z]')) WHERE sample <= 3""", "articles"))(
     lambda s, d: rel.latin_fragments(A(s, d), L(s, d))[1])
 query("d21_pending_work", sql(

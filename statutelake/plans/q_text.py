@@ -77,7 +77,7 @@ def _inferred(gist: str) -> str:
     """Dictionary words in order, then dispute names, each once, eight at most."""
     known = "['" + "','".join(tx.KEYWORDS) + "']"
     return f"""SELECT doc_key, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i)[1:8], '、') AS words FROM (SELECT doc_key,
-        list_concat(list_filter({known}, lambda w: contains(title || ' ' || {gist} || ' ' || full_text[1:800], w)),
+        list_concat(list_filter({known}, lambda w: contains(title || ' ' || {gist} || ' ' || full_text, w)),
           regexp_extract_all(title, '[一-龥]{{2,10}}(?:纠纷|争议|案件)')) AS k FROM cases)"""
 
 
