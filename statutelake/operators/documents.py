@@ -6,6 +6,8 @@ shuffle and are bounded by the size of one record.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -320,13 +322,9 @@ def number_to_label(line: Column) -> Column:
 
 # Web pages
 
-# Named entities and their characters; the ampersand comes last.
-ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&middot;", "·"), ("&bull;", "•"), ("&laquo;", "«"), ("&raquo;", "»"), ("&sect;", "§"), ("&para;", "¶"),
-    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&times;", "×"), ("&divide;", "÷"), ("&deg;", "°"), ("&plusmn;", "±"), ("&yen;", "¥"), ("&euro;", "€"),
-    ("&pound;", "£"), ("&cent;", "¢"), ("&emsp;", "\u2003"), ("&ensp;", "\u2002"), ("&amp;", "&"),
-]
+# Named character references of HTML 4; the no-break space counts as a space.
+ENTITIES = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'", "nbsp": " "}
+REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
 
 
 def _character(number: Column) -> Column:
@@ -338,20 +336,19 @@ def _character(number: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Numeric (decimal and hexadecimal) and named character references as characters.
 
-    Each different reference of a text is replaced once; the ampersand last, so
-    that an escaped reference is not decoded twice.
+    A text is cut in front of its references, and each is looked up where it
+    stands, so an escaped reference is not decoded twice. Unknown names stay.
     """
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
 
-    def numeric(out: Column, pattern: str, value) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)))
-        return F.aggregate(found, out, lambda acc, m: F.replace(acc, m, _character(value(F.regexp_extract(m, pattern, 1)))))
+    def decoded(part: Column) -> Column:
+        found = F.regexp_extract(part, f"^{REFERENCE}", 0)
+        name = F.regexp_extract(found, "^&(.*);$", 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint")).otherwise(F.substring(name, 2, 7).try_cast("bigint"))
+        char = F.when(F.startswith(name, F.lit("#")), _character(number)).otherwise(names[name])
+        return F.when((found != "") & char.isNotNull(), F.concat(char, F.substring(part, F.length(found) + 1, F.length(part)))).otherwise(part)
 
-    text = F.replace(text, F.lit("&#38;"), F.lit("&amp;"))
-    text = numeric(text, "&#(\\d{1,7});", lambda n: n.cast("bigint"))
-    text = numeric(text, "(?i)&#x([0-9a-f]{1,6});", lambda n: F.conv(n, 16, 10).cast("bigint"))
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, f"(?={REFERENCE})"), decoded), "")).otherwise(text)
 
 
 def page_text(html: Column) -> Column:
