@@ -278,3 +278,51 @@ SUBJECT_ORDER = [
     "税务财政", "海关进出口", "金融证券", "交通运输", "能源电力", "生态环境", "自然资源", "土地城建", "农业农村", "卫生医药",
     "劳动就业", "社会民政", "教育科技", "信息通信", "工商市场", "安全应急", "公安司法", "军事国防", "行政法制", "涉外外资",
 ]
+# English names of codes, by kind.
+ENGLISH_NAMES = {
+    "category": {
+        "宪法": "Constitution", "法律": "Law", "修正案": "Amendment", "决定": "Decision", "法律解释": "Legal Interpretation",
+        "司法解释": "Judicial Interpretation", "行政法规": "Administrative Regulation", "监察法规": "Supervisory Regulation",
+    },
+    "domain": {
+        "宪法相关法": "Constitutional Law", "民法典": "Civil Code", "民法商法": "Civil & Commercial Law", "刑法": "Criminal Law",
+        "行政法": "Administrative Law", "经济法": "Economic Law", "社会法": "Social Law", "诉讼与非诉讼程序法": "Procedural Law",
+    },
+    "body": {
+        "最高人民法院": "Supreme People's Court", "最高人民检察院": "Supreme People's Procuratorate", "国务院": "State Council",
+        "全国人民代表大会常务委员会": "NPC Standing Committee", "全国人民代表大会": "National People's Congress",
+        "国家监察委员会": "National Supervisory Commission",
+    },
+    "group": {
+        "宪法与国家机构": "Constitution & State Institutions", "民事与商事": "Civil & Commercial", "刑事": "Criminal",
+        "行政与公法": "Administrative & Public Law", "经济、税务与金融": "Economy, Taxation & Finance",
+        "劳动与社会保障": "Labor & Social Security", "诉讼与司法程序": "Litigation & Judicial Procedure", "其他": "Other",
+    },
+    "subgroup": {
+        "宪法": "Constitution", "法律及决定": "Laws & Decisions", "司法解释": "Judicial Interpretations", "民法典": "Civil Code",
+        "合同与债权": "Contracts & Obligations", "公司与破产": "Companies & Bankruptcy", "知识产权": "Intellectual Property",
+        "担保与物权": "Security & Property Rights", "婚姻、家庭与继承": "Marriage, Family & Inheritance", "保险": "Insurance",
+        "海事与运输": "Maritime & Transport", "外商与涉外": "Foreign Investment & Foreign Affairs", "证券与期货": "Securities & Futures",
+        "综合与程序批复": "General & Procedural Responses", "刑法及修正案": "Criminal Law & Amendments", "法律解释": "Judicial Interpretations",
+        "侵犯财产": "Property Crimes", "经济犯罪": "Economic Crimes", "贪污贿赂": "Embezzlement & Bribery", "人身犯罪": "Crimes Against the Person",
+        "毒品与走私": "Drugs & Smuggling", "妨害社会管理秩序": "Crimes Against Social Order", "刑罚执行": "Sentence Execution",
+        "证据规则": "Evidence Rules", "刑事诉讼程序": "Criminal Procedure", "审判监督": "Trial Supervision",
+        "辩护与代理": "Defense & Representation", "未成年人刑事程序": "Juvenile Criminal Procedure", "检察院": "Procuratorate",
+        "行政法律": "Administrative Laws", "教育科技": "Education & Science", "卫生医药": "Health & Medicine", "生态环境": "Ecology & Environment",
+        "公安司法": "Public Security & Justice", "社会民政": "Social & Civil Affairs", "土地城建": "Land & Urban Development",
+        "自然资源": "Natural Resources", "劳动就业": "Labor & Employment", "税务财政": "Taxation & Finance", "国家赔偿": "State Compensation",
+        "信息通信": "Information & Communications", "税收与财政": "Taxation & Public Finance", "金融、证券与保险": "Finance, Securities & Insurance",
+        "贸易、竞争与市场": "Trade, Competition & Market", "农业、资源与能源": "Agriculture, Resources & Energy",
+        "其他经济法规": "Other Economic Regulations", "社会保险与福利": "Social Insurance & Welfare", "特殊群体保护": "Protection of Special Groups",
+        "行政法规": "Administrative Regulations", "民事诉讼": "Civil Litigation", "刑事诉讼": "Criminal Litigation",
+        "行政诉讼": "Administrative Litigation", "律师、仲裁与公证": "Lawyers, Arbitration & Notarization", "文书、送达与废止": "Documents, Service & Repeals",
+    },
+    "subject": {
+        "税务财政": "Taxation & Finance", "海关进出口": "Customs & Import-Export", "金融证券": "Banking & Securities", "交通运输": "Transportation",
+        "能源电力": "Energy & Power", "生态环境": "Ecology & Environment", "自然资源": "Natural Resources", "土地城建": "Land & Urban Development",
+        "农业农村": "Agriculture & Rural Affairs", "卫生医药": "Health & Medicine", "劳动就业": "Labor & Employment",
+        "社会民政": "Social & Civil Affairs", "教育科技": "Education & Science", "信息通信": "Information & Communications",
+        "工商市场": "Industry, Commerce & Market", "安全应急": "Safety & Emergency Response", "公安司法": "Public Security & Justice",
+        "军事国防": "Military & National Defense", "行政法制": "Administrative Rule of Law", "涉外外资": "Foreign Affairs & Investment",
+    },
+}

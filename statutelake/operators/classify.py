@@ -129,6 +129,26 @@ def order_table(spark: SparkSession, groups: list[str] = r.GROUP_ORDER, subgroup
     return spark.createDataFrame(rows, "level int, menu_group string, name string, pos int")
 
 
+def name_table(spark: SparkSession, names: dict[str, dict[str, str]] = r.ENGLISH_NAMES) -> DataFrame:
+    """Names of codes as a table (kind, name, name_en)."""
+    return spark.createDataFrame([(kind, *pair) for kind, table in names.items() for pair in table.items()], "kind string, name string, name_en string")
+
+
+def english_names(menu: DataFrame, names: DataFrame, below: str = "行政法规/", below_en: str = "Administrative Regulations: ") -> DataFrame:
+    """category_en, domain_en, body_en, group_en and subgroup_en.
+
+    A code without a name keeps its own, a null code stays null. A subgroup below
+    administrative regulations is named by its subject.
+    """
+    out = menu.withColumn("_subject", F.when(F.startswith("subgroup", F.lit(below)), F.expr(f"substring(subgroup, {len(below) + 1})")))
+    kinds = [("category", "category"), ("domain", "legal_domain"), ("body", "issuing_org"), ("group", "menu_group"), ("subgroup", "subgroup"), ("subject", "_subject")]
+    for kind, column in kinds:
+        own = names.filter(F.col("kind") == kind).select(F.col("name").alias(column), F.col("name_en").alias("_name"))
+        out = out.join(own, column, "left").withColumn(f"{kind}_en", F.coalesce("_name", column)).drop("_name")
+    subgroup = F.when(F.col("_subject").isNotNull(), F.concat(F.lit(below_en), "subject_en")).otherwise(F.col("subgroup_en"))
+    return out.withColumn("subgroup_en", subgroup).drop("_subject", "subject_en")
+
+
 def menu_places(menu: DataFrame, order: DataFrame, below: str = "行政法规/") -> DataFrame:
     """every (menu_group, subgroup) with ``group_place`` and, inside its group, ``place``.
 

@@ -29,6 +29,19 @@ query("f5_menu_places", sql(
         FROM (SELECT *, CASE {_OWN} END AS own, list_position({words(r.GROUP_ORDER)}, menu_group) AS group_pos FROM (SELECT DISTINCT menu_group, subgroup FROM menu)))""", "menu"))(
     lambda s, d: cl.menu_places(menu(s, d), cl.order_table(s)))
 
+_NAMES = ", ".join("('" + "', '".join(x.replace("'", "''") for x in (kind, *pair)) + "')" for kind, table in r.ENGLISH_NAMES.items() for pair in table.items())
+cte("en_names", f"SELECT * FROM (VALUES {_NAMES}) AS t(kind, name, name_en)")
+
+
+def _named(kind: str, value: str) -> str:
+    return f"coalesce((SELECT name_en FROM en_names WHERE kind = '{kind}' AND name = {value}), {value})"
+
+
+query("h17_english_names", sql(
+    f"""SELECT id, {_named('category', 'category')} AS category_en, {_named('domain', 'legal_domain')} AS domain_en, {_named('body', 'issuing_org')} AS body_en, {_named('group', 'menu_group')} AS group_en,
+        CASE WHEN starts_with(subgroup, '{_BELOW}') THEN 'Administrative Regulations: ' || {_named('subject', f"replace(subgroup, '{_BELOW}', '')")} ELSE {_named('subgroup', 'subgroup')} END AS subgroup_en FROM menu""", "menu", "en_names"))(
+    lambda s, d: cl.english_names(menu(s, d), cl.name_table(s)).select("id", "category_en", "domain_en", "body_en", "group_en", "subgroup_en"))
+
 # The run before had other citations: some are gone, some new, some had no target.
 cte("edges_before", "SELECT * REPLACE (CASE WHEN from_law_id % 5 = 1 THEN 0 ELSE resolved END AS resolved) FROM edges WHERE from_law_id % 7 <> 3", "edges")
 cte("edges_after", "SELECT * REPLACE (CASE WHEN from_law_id % 13 = 4 THEN 0 ELSE resolved END AS resolved) FROM edges WHERE from_law_id % 11 <> 2", "edges")
