@@ -363,11 +363,15 @@ def page_text(html: Column) -> Column:
 
 
 def extract_listing(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Links of a list page as rows (url, title), markup inside a title dropped and entities decoded."""
-    p = r'(?s)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
+    """Links of a list page as rows (url, title, issue), markup inside a title dropped and entities decoded.
+
+    ``issue`` is the label that stands right behind a link, null if there is none.
+    """
+    p = r'(?s)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>(?:\s*<lable>([^<]+)</lable>)?'
     found = pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(p), F.lit(0))).alias("pos", "raw"))
-    title = F.trim(decode_entities(F.regexp_replace(F.regexp_extract("raw", p, 2), "<[^>]*>", "")))
-    return found.select(key, "pos", decode_entities(F.regexp_extract("raw", p, 1)).alias("url"), title.alias("title"))
+    title = tx.strip(decode_entities(F.regexp_replace(F.regexp_extract("raw", p, 2), "<[^>]*>", "")))
+    issue = F.nullif(tx.strip(decode_entities(F.regexp_extract("raw", p, 3))), F.lit(""))
+    return found.select(key, "pos", decode_entities(F.regexp_extract("raw", p, 1)).alias("url"), title.alias("title"), issue.alias("issue"))
 
 
 def last_page(html: Column) -> Column:

@@ -176,7 +176,13 @@ query("a8_pages_to_text", sql(
     f"SELECT page_id, array_to_string(list_filter(list_transform(string_split({_PLAIN}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> ''), chr(10)) AS text FROM pages"))(lambda s, d: T(s, d, "pages").select("page_id", doc.page_text(c("html")).alias("text")))
 _LINK = '<a[^>]*\\bhref="([^"]*)"[^>]*>([^<]*)</a>'
 query("a9_extract_listing", sql(f"SELECT page_id, regexp_extract(r, '{_LINK}', 1) AS url, trim(regexp_extract(r, '{_LINK}', 2), ' ') AS title FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_LINK}')) AS r FROM pages)"))(
-    lambda s, d: doc.extract_listing(T(s, d, "pages")).drop("pos"))
+    lambda s, d: doc.extract_listing(T(s, d, "pages")).drop("pos", "issue"))
+query("a9_listing_issues", sql(
+    """SELECT s_suppkey AS page_id, '/Details/' || s_suppkey || '-' || i || '?a=1&b=2' AS url, s_name || ' ' || i AS title, CASE WHEN (s_suppkey + i) % 3 <> 0 THEN '2020年第' || i || '期' END AS issue
+       FROM supplier, (SELECT unnest([1, 2, 3]) AS i)"""))(
+    lambda s, d: doc.extract_listing(T(s, d, "supplier").select(c("s_suppkey").alias("page_id"), F.expr(
+        """concat('<ul>', array_join(transform(sequence(1, 3), i -> concat('<li><a class="x" href="/Details/', s_suppkey, '-', i, '?a=1&amp;b=2" title="t">\n', s_name, ' <b>', i, '</b> </a>',
+           CASE WHEN (s_suppkey + i) % 3 <> 0 THEN concat(' <lable> 2020年第', i, '期\n</lable>') ELSE '' END, '</li>')), ''), '</ul>')""").alias("html"))).drop("pos"))
 query("a9_last_page", sql("SELECT page_id, coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&]page=(\\d+)', 1), lambda x: CAST(x AS INT))), 1) AS last_page FROM pages"))(
     lambda s, d: T(s, d, "pages").select("page_id", doc.last_page(F.concat("url", "html")).alias("last_page")))
 query("a10_extract_detail", sql(
