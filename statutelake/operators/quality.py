@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from statutelake.functions.text import repeal_number
 from statutelake.operators import relational as rel
 from statutelake.operators.ordered import top_per_group
+from statutelake.operators.search import search_docs
 
 Findings = list[tuple[str, str, Column]]
 
@@ -132,6 +133,27 @@ def case_suite(docs: DataFrame, links: DataFrame) -> DataFrame:
     return facts.unpivot([], facts.columns, "check", "value").unionByName(linked.unpivot([], linked.columns, "check", "value"))
 
 
+def case_probes(docs: DataFrame, terms: DataFrame, columns: list[str]) -> DataFrame:
+    """L3: (term, docs, found) of every probe term: in how many court documents the search finds it, and whether in any."""
+    hits = search_docs(docs, "doc_key", columns, terms).select("term", "doc_key").distinct()
+    counts = hits.groupBy("term").agg(F.count("*").alias("docs"))
+    return terms.select("term").distinct().join(counts, "term", "left").select(
+        "term", F.coalesce("docs", F.lit(0)).alias("docs"), F.col("docs").isNotNull().alias("found"))
+
+
+def translation_keys(docs: DataFrame, translations: DataFrame) -> DataFrame:
+    """L3: translated documents against the table, as (check, value): all, with a known key, of these with a title, without a known key,
+    and documents of the table that have a title and no translation."""
+    known = docs.select("doc_key", F.col("title_en").alias("own_title"), F.lit(1).alias("known"))
+    both = translations.select("doc_key", F.lit(1).alias("translated")).distinct().join(known, "doc_key", "full")
+    titled = ~rel.missing(F.col("own_title"))
+    facts = both.agg(
+        F.count("translated").alias("translations"), F.count_if(F.col("known").isNotNull() & F.col("translated").isNotNull()).alias("known_keys"),
+        F.count_if(titled & F.col("translated").isNotNull()).alias("known_with_title"), F.count_if(F.col("known").isNull()).alias("unknown_keys"),
+        F.count_if(titled & F.col("translated").isNull()).alias("title_without_translation"))
+    return facts.unpivot([], facts.columns, "check", "value")
+
+
 def currency_suite(laws: DataFrame) -> DataFrame:
     """Currency within each source, and of the second source against the
     current version of the first."""

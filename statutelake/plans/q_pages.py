@@ -42,6 +42,22 @@ query("h17_english_names", sql(
         CASE WHEN starts_with(subgroup, '{_BELOW}') THEN 'Administrative Regulations: ' || {_named('subject', f"replace(subgroup, '{_BELOW}', '')")} ELSE {_named('subgroup', 'subgroup')} END AS subgroup_en FROM menu""", "menu", "en_names"))(
     lambda s, d: cl.english_names(menu(s, d), cl.name_table(s)).select("id", "category_en", "domain_en", "body_en", "group_en", "subgroup_en"))
 
+# L3: probes in the search over court documents, and the keys of their translations.
+PROBES = [*corpus.WORDS, "裁判要点", "无此词"]
+query("l3_search_probes", sql(
+    f"""SELECT term, count(doc_key) AS docs, count(doc_key) > 0 AS found FROM (SELECT unnest({words(PROBES)}) AS term) t
+        LEFT JOIN cases c ON contains(lower(c.title), t.term) OR contains(lower(c.full_text), t.term) GROUP BY 1""", "cases"))(
+    lambda s, d: qa.case_probes(corpus.cases(s, d), s.createDataFrame([(w,) for w in PROBES], "term string"), ["title", "full_text"]))
+query("l3_translation_keys", sql(
+    """SELECT "check", value FROM (UNPIVOT (
+         SELECT count(t) AS translations, count(*) FILTER (t AND k) AS known_keys, count(*) FILTER (t AND k AND titled) AS known_with_title, count(*) FILTER (k IS NULL) AS unknown_keys,
+           count(*) FILTER (t IS NULL AND titled) AS title_without_translation FROM (
+             SELECT t.t, c.k, c.titled FROM (SELECT DISTINCT doc_key, true AS t FROM (SELECT doc_key FROM cases WHERE length(doc_key) % 2 = 0 OR doc_key LIKE '%3' UNION ALL SELECT 'x/' || s_suppkey FROM supplier)) t
+             FULL JOIN (SELECT doc_key, true AS k, coalesce(title_en, '') <> '' AS titled FROM cases) c ON c.doc_key = t.doc_key))
+       ON COLUMNS(*) INTO NAME "check" VALUE value)""", "cases"))(
+    lambda s, d: qa.translation_keys(corpus.cases(s, d), corpus.cases(s, d).filter("length(doc_key) % 2 = 0 OR doc_key LIKE '%3'").select("doc_key").unionByName(
+        corpus.table(s, d, "supplier").select(F.concat(F.lit("x/"), "s_suppkey").alias("doc_key")))))
+
 # The run before had other citations: some are gone, some new, some had no target.
 cte("edges_before", "SELECT * REPLACE (CASE WHEN from_law_id % 5 = 1 THEN 0 ELSE resolved END AS resolved) FROM edges WHERE from_law_id % 7 <> 3", "edges")
 cte("edges_after", "SELECT * REPLACE (CASE WHEN from_law_id % 13 = 4 THEN 0 ELSE resolved END AS resolved) FROM edges WHERE from_law_id % 11 <> 2", "edges")
