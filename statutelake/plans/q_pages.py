@@ -118,6 +118,23 @@ def g19_pages(s, d):
     return doc.render_pages(nodes, L(s, d), found, _places(s, d), 20).filter("global_order >= 0")
 
 
+_FIELDS = [("分类", "category"), ("法律部门", "legal_domain"), ("发布机关", "issuing_org"), ("发文字号", "doc_number"), ("公布日期", "pub_date"), ("生效日期", "effective_date")]
+_META = ", ".join(f"CASE WHEN trim(coalesce({col}::VARCHAR, '')) <> '' THEN '**{name}**：' || {col} END" for name, col in _FIELDS)
+cte("plain_links", """SELECT DISTINCT from_law_id AS law_id, from_order AS global_order, raw_text AS raw,
+      '[' || raw_text || '](' || CASE WHEN ref_type = 'self_ref' THEN '' ELSE 'law-' || to_law_id END || '#art-' || to_article_num || ')' AS link
+    FROM edges WHERE resolved = 1 AND raw_text <> ''""", "edges")
+query("g19_render_laws", sql(
+    f"""SELECT id AS law_id, -1::BIGINT AS global_order, '# ' || title || chr(10) || chr(10) || concat_ws('  ' || chr(10), {_META}) || chr(10) || chr(10) || '> ' || promulgation_info || chr(10) || chr(10) || '---' AS line FROM laws
+        UNION ALL SELECT n.law_id, n.global_order, CASE type WHEN 'chapter' THEN '### ' || content WHEN 'section' THEN '#### ' || content ELSE '<a id="art-' || n.article_num || '"></a>' ||
+          replace(trim(coalesce(linked, content), ' '), chr(10), '  ' || chr(10)) || coalesce(english, '') END FROM nodes n LEFT JOIN (
+            SELECT law_id, global_order, list_reduce(list_prepend({{'raw': '', 'link': text}}, links), lambda a, x: {{'raw': '', 'link': replace(a.link, x.raw, x.link)}}).link AS linked FROM (
+              SELECT k.law_id, k.global_order, any_value(a.content) AS text, list({{'raw': raw, 'link': link}} ORDER BY length(raw) DESC, raw, link) AS links
+              FROM plain_links k JOIN articles a USING (law_id, global_order) GROUP BY 1, 2)) t ON t.law_id = n.law_id AND t.global_order = n.global_order
+          LEFT JOIN (SELECT law_id, global_order, chr(10) || chr(10) || '**' || CASE WHEN label <> '' THEN label ELSE 'Article ' || article_num END || '** ' ||
+              replace(CASE WHEN label <> '' THEN trim(content_en[length(label) + 1:], ' ') ELSE content_en END, chr(10), '  ' || chr(10)) AS english
+            FROM (SELECT *, regexp_extract(content_en, '^(Article \\d+)', 1) AS label FROM articles WHERE content_en IS NOT NULL)) e ON e.law_id = n.law_id AND e.global_order = n.global_order""",
+    "laws", "nodes", "plain_links", "articles"))(lambda s, d: doc.render_laws(N(s, d), L(s, d), edges(s, d)))
+
 # Groups of law with domains of their own.
 _DOMAIN = f"({words(DOMAINS)})"
 cte("chain_domains", f"SELECT DISTINCT expert AS q_id, unnest([{_DOMAIN}[length(law_title) % 4 + 1], {_DOMAIN}[(length(law_title) + 1) % 4 + 1]]) AS legal_domain FROM experts", "experts")

@@ -134,7 +134,6 @@ query("g18_align_paragraphs", sql(
     """SELECT law_id, global_order, replace(replace(content_en, ' If the', chr(10) || 'If the'), ' See ', chr(10) || 'See ') AS aligned FROM articles
        WHERE contains(content, chr(10)) AND contains(content_en, 'See ')""", "articles"))(
     lambda s, d: A(s, d).select("law_id", "global_order", doc.align_paragraphs(c("content"), c("content_en")).alias("aligned")).filter("aligned IS NOT NULL"))
-query("g19_render_laws")(lambda s, d: doc.render_laws(N(s, d), L(s, d), edges(s, d)))
 query("g20_link_text", sql("SELECT p_partkey, '见[甲法第十条](b)和[甲法](a)' || p_name AS linked FROM part"))(
     lambda s, d: T(s, d, "part").select("p_partkey", F.replace(doc.link_text(F.concat(F.lit("见甲法第十条和乙法"), "p_name"), F.array(
         F.struct(F.lit("乙法").alias("raw"), F.lit("[甲法](a)").alias("link")), F.struct(F.lit("甲法第十条").alias("raw"), F.lit("[甲法第十条](b)").alias("link")))), F.lit("\u0000"), F.lit("")).alias("linked")))
