@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .session import columns, written
 
 WIDTH, PERCENT = 5, 80
+#: Bytes of templates, over all bands, that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 #: Chance that no band retrieves a template for a window that holds enough of it.
 MISS = 1e-7
 
@@ -176,6 +178,9 @@ def scan(documents: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> D
         keyed = rows.select("doc_id", "start_word", "found", F.explode(_smallest(F.col("found"), count)).alias("k"))
         own = table.filter(F.col("size_class") == i)
         index = own.select("template", "shingles", F.explode(_smallest(F.col("shingles"), count)).alias("k"))
+        # Each band has the template's text once; what is too large to broadcast is joined by shuffle.
+        if count * sum(WIDTH * len(text.encode()) for _, text in templates if low <= len(words_of(text)) <= high) <= BROADCAST_BYTES:
+            index = F.broadcast(index)
         met = keyed.join(index, "k")
         share = F.size(F.array_intersect("found", "shingles")) / F.size("shingles")
         part = met.select("doc_id", "template", "start_word", share.alias("containment")).filter(F.col("containment") * 100 >= percent - 1e-9)
