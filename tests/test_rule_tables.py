@@ -59,3 +59,22 @@ def test_any_of_is_containment(one, text):
     words = ["合同", "(a|b)", "\\E"]
     got = one(cl.any_of(F.col("t").cast("string"), words), t=text if text is not None else "\0")
     assert got == any(w in (text or "") for w in words)
+
+
+def test_words_by_grams_equal_words_one_by_one(spark):
+    rng = random.Random(3)
+    texts = spark.createDataFrame([(i, "".join(rng.choice("甲乙丙 a") for _ in range(rng.randint(0, 30)))) for i in range(60)], "id long, text string")
+    words = spark.createDataFrame([("".join(rng.choice("甲乙丙 a") for _ in range(rng.randint(1, 5))),) for _ in range(90)], "word string")
+    one_by_one, by_grams = (rt.words_in_text(texts, ["id"], "text", words, few=few) for few in (1000, 3))
+    assert sorted(map(tuple, one_by_one.collect())) == sorted(map(tuple, by_grams.collect()))
+
+
+def test_exploded_grams_are_not_broadcast(spark, tmp_path):
+    """The estimate of a compressed file says nothing about what is derived from it."""
+    spark.range(20_000).selectExpr("id", "repeat('xyz ', 50) AS text").write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t"))
+    words = spark.range(2_000).select(F.concat(F.lit("word"), "id").alias("word"))
+    for found in (rt.words_in_text(texts, ["id"], "text", words), rt.words_in_text(texts, ["id"], "text", words.limit(9))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan
+        assert found.count() == 0
