@@ -27,8 +27,14 @@ def build_postings(texts: DataFrame, keys: list[str], text: str, n: int = 3) ->
 
 def phrase_match(terms: DataFrame, postings: DataFrame, keys: list[str]) -> DataFrame:
     """Documents that contain the consecutive grams of a term, from a
-    stored postings table. Returns (term, keys)."""
+    stored postings table. Returns (term, keys).
+
+    The terms' grams are counted: at most ``BROADCAST_TERMS`` are broadcast, so
+    that postings of other grams are never shuffled; more are joined by shuffle.
+    """
     grams = terms.select("term", F.posexplode(ngrams(F.lower("term"), 3)).alias("offset", "gram"))
+    if grams.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        grams = F.broadcast(grams)
     sizes = terms.select("term", (F.length("term") - 2).alias("size"))
     runs = (
         postings.join(grams, "gram").groupBy("term", *keys, (F.col("pos") - F.col("offset")).alias("start")).agg(F.count("*").alias("found"))
