@@ -36,10 +36,14 @@ def first_match(text: Column, rules: Rules, default: str | None) -> Column:
 
 
 def best_match(scores: list[tuple[str, Column]]) -> Column:
-    """The highest positive score; the earlier rule wins a tie (Q8)."""
-    ranked = F.array(*[F.struct(s.alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, s) in enumerate(scores)])
-    top = F.array_max(ranked)
-    return F.when(top["score"] > 0, top["name"])
+    """The highest positive score; the earlier rule wins a tie (Q8).
+
+    A nameless score of 0 ranks before all others of 0, so that the scores are
+    written, and worked out, only once.
+    """
+    ranked = [F.struct(s.alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, s) in enumerate(scores)]
+    none = F.struct(F.lit(0).alias("score"), F.lit(1).alias("order"), F.lit(None).cast("string").alias("name"))
+    return F.array_max(F.array(*ranked, none))["name"]
 
 
 def map_value(key: Column, table: dict[str, str]) -> Column:
@@ -80,8 +84,13 @@ def reclassify(laws: DataFrame, source: str) -> DataFrame:
 
 
 def classification_diff(laws: DataFrame, old: str, new: str) -> DataFrame:
-    """K7: from - to counts of two classifications."""
-    return laws.filter(~F.col(old).eqNullSafe(F.col(new))).groupBy(F.col(old).alias("from_domain"), F.col(new).alias("to_domain")).agg(F.count("*").alias("n"))
+    """K7: from - to counts of two classifications.
+
+    Equal pairs are dropped after counting: a filter before it would be pushed
+    down to the scan, with the whole classification worked out there once more.
+    """
+    differs = ~F.col(old).eqNullSafe(F.col(new))
+    return laws.groupBy(F.col(old).alias("from_domain"), F.col(new).alias("to_domain")).agg(F.count_if(differs).alias("n")).filter("n > 0")
 
 
 def subject_area(laws: DataFrame, rules: Rules = r.SUBJECT_RULES) -> DataFrame:
