@@ -434,8 +434,11 @@ def cited_by(edges: DataFrame, laws: DataFrame) -> DataFrame:
 
 
 def substrings(df: DataFrame, text: str, lengths: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` once for each distinct substring of ``text`` that has one of the ``lengths`` (column ``size``)."""
-    sized = df.filter(F.length(text) >= 1).withColumn("size", F.explode(F.sequence(F.lit(1), F.length(text)))).join(lengths, "size")
+    """The rows of ``df`` once for each distinct substring of ``text`` that has one of the ``lengths`` (column ``size``).
+
+    The lengths are few numbers, however many rows they come from: they are broadcast, and no text is shuffled.
+    """
+    sized = df.filter(F.length(text) >= 1).withColumn("size", F.explode(F.sequence(F.lit(1), F.length(text)))).join(F.broadcast(lengths), "size")
     cut = F.expr(f"transform(sequence(1, length(`{text}`) - size + 1), i -> substring(`{text}`, i, size))")
     return sized.select(*df.columns, F.explode(F.array_distinct(cut)).alias(name))
 

@@ -284,10 +284,15 @@ def search_by_group(group_terms: DataFrame, hits: DataFrame, laws: DataFrame, do
     """First k hits per group and term in current laws of the group's own domains, in node order.
 
     ``group_terms`` is (q_id, pos, term), ``domains`` (q_id, legal_domain).
+
+    A domain keeps its first k hits per term before it meets the groups, so that
+    a frequent term's hits are not repeated for every group that asks for them.
     """
     allowed = laws.filter((F.col("is_current") == 1) & F.col("category").isin(categories)).select(F.col("id").alias("law_id"), "legal_domain")
-    scope = hits.join(allowed, "law_id").join(domains.distinct(), "legal_domain")
-    return top_per_group(group_terms.join(scope, ["q_id", "term"]), ["q_id", "term"], [F.col("law_id"), F.col("global_order")], k, rank="hit_rank")
+    order = [F.col("law_id"), F.col("global_order")]
+    best = top_per_group(hits.join(allowed, "law_id"), ["term", "legal_domain"], order, k)
+    scope = group_terms.join(domains.distinct(), "q_id").join(best, ["term", "legal_domain"])
+    return top_per_group(scope, ["q_id", "term"], order, k, rank="hit_rank")
 
 
 def retrieve_chain(
@@ -320,7 +325,9 @@ def retrieve_chain(
     named = interpretations_for(laws, short.select("title").distinct(), newest).select("title", "id", F.col("place").alias("newest"))
     scope = short.join(named, "title").groupBy("q_id", "id").agg(F.min("newest").alias("newest"))
     core = group_terms.filter(F.col("pos") < core_terms).join(scope, "q_id")
-    deep = core.join(hits.withColumnRenamed("law_id", "id"), ["term", "id"])
+    # Each interpretation is searched once per term, however many groups come to it.
+    inner = hits.withColumnRenamed("law_id", "id").join(scope.select("id").distinct(), "id", "left_semi")
+    deep = core.join(top_per_group(inner, ["term", "id"], [F.col("global_order")], per_interpretation), ["term", "id"])
     deep = top_per_group(deep, ["q_id", "term", "id"], [F.col("global_order")], per_interpretation, rank="hit_rank")
     out = out.unionByName(rows(deep.withColumnRenamed("id", "law_id"), 4))
     return first_seen(out, ["layer", "term_rank", "hit_rank"])
@@ -332,12 +339,16 @@ def interpretations_for(laws: DataFrame, titles: DataFrame, n: int) -> DataFrame
     newest n per title.
 
     Both texts give their substrings of the lengths that occur, which are joined
-    to the probes by equality.
+    to the probes by equality. A text keeps its newest n before it is cut, and a
+    beginning its newest n before it meets the titles that share it: many titles
+    and many interpretations of one beginning are never paired.
     """
-    probe = titles.select("title", F.substring("title", 1, 6).alias("gram")).filter(F.length("gram") >= 1)
-    lengths = probe.select(F.length("gram").alias("size")).distinct()
+    newest = [F.desc("pub_date"), F.col("id")]
+    probe = titles.select("title", F.substring("title", 1, 6).alias("gram")).filter(F.length("gram") >= 1).distinct()
+    grams = probe.select("gram").distinct()
+    lengths = grams.select(F.length("gram").alias("size")).distinct()
     interp = laws.filter((F.col("category") == "司法解释") & (F.col("is_current") == 1))
-    texts = interp.select("id", "pub_date", F.col("title").alias("text")).unionByName(
-        interp.select("id", "pub_date", F.col("promulgation_info").alias("text")))
-    found = substrings(texts, "text", lengths, "gram").join(probe, "gram").select("title", "id", "pub_date").distinct()
-    return top_per_group(found, ["title"], [F.desc("pub_date"), F.col("id")], n, rank="place")
+    texts = interp.select("id", "pub_date", F.explode(F.array("title", "promulgation_info")).alias("text"))
+    kept = top_per_group(texts.filter(F.col("text").isNotNull()).distinct(), ["text"], newest, n)
+    found = substrings(kept, "text", lengths, "gram").join(grams, "gram").select("gram", "id", "pub_date").distinct()
+    return top_per_group(found, ["gram"], newest, n, rank="place").join(probe, "gram").select("title", "id", "pub_date", "place")
