@@ -13,14 +13,16 @@ from statutelake.plans.oracle import cte, sql
 from statutelake.plans.registry import query
 from statutelake.sources import manifest as man
 from statutelake.sources import readers, schemas
+from statutelake.sources.sinks import write_texts
 
 T, c = corpus.table, F.col
 
 
-def _files(rows: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """One file for each row (name, text), in a folder of its name."""
-    text = rows.repartition("name").select("name", c("text").alias("value"))
-    text.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("name").text(path)
+def _files(rows: DataFrame, path: str) -> str:
+    """One file for each row (name, text), ``part-<name>.txt`` in one of 256 folders; a file that is there is written anew."""
+    folder = F.concat(F.lit("folder="), F.crc32(c("name").cast("string")) % 256)
+    cut = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "name")
+    write_texts(cut.select(F.concat(folder, F.lit("/part-"), "name", F.lit(".txt")).alias("path"), "text"), path)
     return path
 
 
@@ -54,7 +56,7 @@ def _gazette(s, d) -> dict[str, str]:
        CASE WHEN s_suppkey % 5 <> 0 THEN 'own/' || s_suppkey WHEN s_suppkey % 2 = 0 THEN 'al/part' ELSE 'sfwj/part' END AS doc_key FROM supplier WHERE s_suppkey % 7 <> 0"""))
 def a2(s, d):
     docs = readers.read_gazette(s, _gazette(s, d), TXT)
-    # A key made of a file's name ends in what Spark numbers its files by.
+    # A key made of a file's name ends in what the file is numbered by.
     return docs.select("source", "title", "content", "year", "case_number", F.regexp_replace("doc_key", "/part-.*$", "/part").alias("doc_key"))
 
 
@@ -62,7 +64,7 @@ def a2(s, d):
 def a2_damaged(s, d):
     out = None
     for source, path in _gazette(s, d).items():
-        part = readers.read_damaged(s, path, schemas.GAZETTE, TXT).select(F.lit(source).alias("source"), F.regexp_extract("file", "/name=([0-9]+)/", 1).cast("bigint").alias("name"))
+        part = readers.read_damaged(s, path, schemas.GAZETTE, TXT).select(F.lit(source).alias("source"), F.regexp_extract("file", "/part-([0-9]+)", 1).cast("bigint").alias("name"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -165,14 +167,14 @@ def m1_files(s, d):
     """Files are written and listed; some are written anew with another text, some are new, and the old list knows files that are gone."""
     path, rows = new_path(s, "files"), _suppliers(s, d).select("name", c("body").alias("text"))
     _files(rows.filter(c("name") % 7 != 0), path)
-    name = F.regexp_extract("path", "/name=(-?[0-9]+)/", 1).cast("bigint")
+    name = F.regexp_extract("path", "/part-(-?[0-9]+)", 1).cast("bigint")
     first = man.refresh(s, path, s.createDataFrame([], man.MANIFEST), TXT)
-    gone = T(s, d, "nation").select(F.concat(F.lit("/name="), -1 - c("n_nationkey"), F.lit("/x")).alias("path"), F.lit(1).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified"), F.lit("x").alias("md5"))
+    gone = T(s, d, "nation").select(F.concat(F.lit("/part-"), -1 - c("n_nationkey")).alias("path"), F.lit(1).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified"), F.lit("x").alias("md5"))
     out = new_path(s, "manifest")
     first.unionByName(gone).write.parquet(out)
     old = s.read.schema(man.MANIFEST).parquet(out)
-    _files(rows.filter(c("name") % 7 == 0), path, "append")
-    _files(rows.filter((c("name") % 5 == 0) & (c("name") % 7 != 0)).withColumn("text", F.concat("text", F.lit(" changed"))), path, "overwrite")
+    _files(rows.filter(c("name") % 7 == 0), path)
+    _files(rows.filter((c("name") % 5 == 0) & (c("name") % 7 != 0)).withColumn("text", F.concat("text", F.lit(" changed"))), path)
     now = man.refresh(s, path, old, TXT)
     outputs = rows.filter(c("name") % 3 != 0).select(c("name").alias("path"))
     return ident.changed_files(man.by_name(old, name), man.by_name(now, name), outputs)

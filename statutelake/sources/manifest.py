@@ -24,7 +24,7 @@ def hash_files(spark: SparkSession, paths: DataFrame) -> DataFrame:
     out, names = None, []
 
     def read(some: list[str]) -> DataFrame:
-        return spark.read.format("binaryFile").load(some).select("path", F.md5("content").alias("md5"))
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(some).select("path", F.md5("content").alias("md5"))
 
     for row in paths.select("path").toLocalIterator():
         names.append(row["path"])

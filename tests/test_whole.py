@@ -149,3 +149,19 @@ def test_ids_of_one_category_and_one_date(spark):
     got = {r["filename"]: r["id"] for r in assign_ids(docs, index, {"a": (100, 1000)}).collect()}
     order = sorted(((("2020-01-01" if i % 10 else "2019-05-05"), n) for i, n in enumerate(names)))
     assert [got[n] for _, n in order] == list(range(105, 405))
+
+
+def test_rows_become_files_in_few_folders_and_are_written_anew(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from statutelake.operators.lineage import new_path
+    from statutelake.plans import q_sources
+
+    path = new_path(spark, "files")
+    rows = spark.range(1000).selectExpr("id AS name", "concat('甲\n', id) AS text")
+    q_sources._files(rows, path)
+    q_sources._files(rows.filter("name < 10").selectExpr("name", "concat(text, ' neu') AS text"), path)
+    files = [f for f in Path(urlparse(path).path).rglob("*") if f.is_file()]
+    assert {f.name: f.read_text() for f in files} == {f"part-{i}.txt": f"甲\n{i}" + (" neu" if i < 10 else "") for i in range(1000)}
+    assert len({f.parent for f in files}) <= 256 and spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).count() == 1000
