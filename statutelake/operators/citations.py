@@ -76,7 +76,12 @@ def short_titles(laws: DataFrame) -> DataFrame:
 # The text between two article labels, and the later label's number. Matches
 # follow one another (\\G), so the text behind the last label is not retried.
 SEGMENT = f"\\G((?s:.*?))第({NUMERAL})条"
-LABELLED = f"^((?s:.*))第({NUMERAL})条$"
+BROADCAST_ENDINGS = 100_000
+
+
+def _before(segment: str) -> Column:
+    """What stands before the label that ends a segment; a label has one 第, its first character."""
+    return F.expr(f"left({segment}, length({segment}) - length(substring_index({segment}, '第', -1)) - 1)")
 
 
 def title_lengths(titles: DataFrame) -> list[int]:
@@ -87,13 +92,16 @@ def title_lengths(titles: DataFrame) -> list[int]:
 def labelled_segments(content: Column, longest: int) -> Column:
     """What stands before each article label, as far as the longest title and one character more, with the label."""
     matches = F.regexp_extract_all(content, F.lit(SEGMENT), F.lit(0))
-    before = F.transform(
-        matches,
-        lambda m: F.concat(
-            F.right(F.regexp_extract(m, LABELLED, 1), F.lit(longest + 1)), F.lit("第"), F.regexp_extract(m, LABELLED, 2), F.lit("条")
-        ),
-    )
-    return F.filter(before, lambda m: ~m.rlike(f"^(?s:.?|.*[《》〈〉])第{NUMERAL}条$"))
+
+    def cut(m: Column) -> Column:
+        label = F.length(F.substring_index(m, "第", -1)) + 1
+        return F.right(m, F.least(F.length(m), label + F.lit(longest + 1)))
+
+    def keep(m: Column) -> Column:
+        size = F.length(m) - F.length(F.substring_index(m, "第", -1)) - 1
+        return (size >= 2) & ~F.substr(m, size, F.lit(1)).isin("《", "》", "〈", "〉")
+
+    return F.filter(F.transform(matches, cut), keep)
 
 
 def match_short(matches: DataFrame, keys: list[str], titles: DataFrame, lengths: list[int]) -> DataFrame:
@@ -103,11 +111,16 @@ def match_short(matches: DataFrame, keys: list[str], titles: DataFrame, lengths:
     directly behind a quotation mark. Texts whose last two characters end no
     title are left out first; of the others the distinct ones are matched once.
     """
-    found = matches.select(
-        *keys, "pos", F.regexp_extract("raw_text", LABELLED, 1).alias("run"), F.regexp_extract("raw_text", LABELLED, 2).alias("number")
-    )
     endings = titles.select(F.right("short", F.lit(2)).alias("ending")).distinct()
-    runs = found.select("run").distinct().withColumn("ending", F.right("run", F.lit(2))).join(endings, "ending", "left_semi")
+    if endings.limit(BROADCAST_ENDINGS + 1).count() <= BROADCAST_ENDINGS:
+        endings = F.broadcast(endings)
+    found = (
+        matches.select(*keys, "pos", _before("raw_text").alias("run"), F.expr("rtrim('条', substring_index(raw_text, '第', -1))").alias("number"))
+        .withColumn("ending", F.right("run", F.lit(2)))
+        .join(endings, "ending", "left_semi")
+        .drop("ending")
+    )
+    runs = found.select("run").distinct()
     sizes = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("run"))
     suffixes = runs.select("run", F.explode(sizes).alias("size")).filter(
         ~F.expr("substring(run, length(run) - size, IF(length(run) > size, 1, 0))").isin("《", "》", "〈", "〉")
@@ -247,10 +260,19 @@ def citation_matches(articles: DataFrame, keys: list[str], longest: int) -> Data
         return F.transform(matches, lambda m, i: F.struct(F.lit(number).alias("pass"), i.alias("pos"), m.alias("raw_text")))
 
     text = F.col("content")
+    none = F.array().cast("array<string>")
+
+    def matches(starts: list[str], pattern: str) -> Column:
+        """The pattern is only tried on texts that have one of its first characters."""
+        likely = F.contains(text, F.lit(starts[0]))
+        for start in starts[1:]:
+            likely = likely | F.contains(text, F.lit(start))
+        return F.when(likely, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+
     found = F.concat(
-        tagged(F.regexp_extract_all(text, F.lit(QUOTED), F.lit(0)), 1),
+        tagged(matches(["《", "〈"], QUOTED), 1),
         tagged(labelled_segments(text, longest), 2),
-        tagged(F.regexp_extract_all(text, F.lit(SELF), F.lit(0)), 3),
+        tagged(matches(["本"], SELF), 3),
     )
     return articles.select(*keys, F.inline(found))
 
@@ -305,8 +327,11 @@ def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
 
 
 def resolved_citations(articles: DataFrame, laws: DataFrame) -> DataFrame:
-    """Passes, resolution, first occurrence per article, target law id."""
-    cites = resolve_citations(citation_passes(articles, laws), article_index(articles, laws))
+    """Passes, resolution, first occurrence per article, target law id.
+
+    The citations are written once: their distinct targets and they themselves are used.
+    """
+    cites = resolve_citations(materialize(citation_passes(articles, laws)), article_index(articles, laws))
     first = first_citation(cites, SOURCE_KEYS, ["to_title", "to_label"], ["pass", "pos"])
     ids = title_ids(laws).withColumnRenamed("title", "to_title")
     self_id = F.when(F.col("ref_type") == "self_ref", F.col("law_id"))

@@ -196,3 +196,17 @@ def test_readers_and_sinks(spark, tmp_path):
     lines = spark.createDataFrame([("g", 1, "a"), ("g", 2, "b")], ["menu_group", "global_order", "line"])
     sinks.write_rendered(lines, str(tmp_path / "out"), ["menu_group"], ["global_order"])
     assert {r.value for r in spark.read.text(str(tmp_path / "out")).collect()} == {"a", "b"}
+
+
+def test_labelled_segments_keep_what_stands_before_a_label(spark):
+    from statutelake.operators import citations as cit
+
+    text = "第一条　参照合同甲法第二十条，《乙法》第三条，丙第四条\n又依 合同甲法第五条第六条"
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "没有")], "id long, content string")
+    found = rows.select("id", F.explode(cit.labelled_segments(F.col("content"), 4)).alias("m")).collect()
+    assert [(x["id"], x["m"]) for x in found] == [(1, "照合同甲法第二十条"), (1, "，丙第四条"), (1, " 合同甲法第五条")]
+    titles = spark.createDataFrame([("合同甲法", "中华人民共和国合同甲法")], "short string, full string")
+    plan = cit.match_short(rows.limit(0).selectExpr("id", "0 AS pos", "content AS raw_text"), ["id"], titles, [4])._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
+    short = cit.cite_short(rows, ["id"], titles).collect()
+    assert sorted((x["raw_text"], x["to_title"], x["to_label"]) for x in short) == [(f"合同甲法{n}", "中华人民共和国合同甲法", n) for n in ("第二十条", "第五条")]
