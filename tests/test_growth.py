@@ -65,3 +65,16 @@ def test_cutting_texts_shuffles_none(spark):
     texts, lengths = spark.range(50).selectExpr("concat('abcdef', id) AS t"), spark.range(2, 4).selectExpr("cast(id AS int) AS size").distinct()
     plan = cit.substrings(texts, "t", lengths, "gram")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_shuffles_begin_with_more_partitions_than_cores(spark):
+    from statutelake.session import ADAPTIVE, ESTIMATED, apply_settings
+
+    apply_settings(spark, ADAPTIVE)
+    rows = spark.range(1000).selectExpr("id % 500 AS k").groupBy("k").count()
+    before = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in before and ", 400)" in before
+    assert len(rows.collect()) == 500 and rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    apply_settings(spark, ESTIMATED)
+    assert ", 400)" not in spark.range(1000).selectExpr("id % 500 AS k").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    apply_settings(spark, ADAPTIVE)
