@@ -15,9 +15,11 @@ larger sets, of the next one.
 Equal sets are one set with many documents. The lists are then joined through
 leaders (``leader_join``): sets that link to their leader are in its class, and
 what they link to follows from the class. What is left are sets of different
-classes in one list. Every set has a sketch of a few counters, which bounds how
-near two sets can be; only pairs that it allows are compared on the whole sets,
-and every link is confirmed on them.
+classes in one list. Every set has a sketch of small counters, which bounds how
+near two sets can be. What the sketches of a list allow leaves a task as groups,
+with one row for each set but the first, and never as pairs. Groups that share a
+set are one group; its whole sets meet block against block inside tasks, and what
+leaves those are the links that join two classes.
 """
 
 from __future__ import annotations
@@ -30,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import components
 from .hashing import U, mix, shingles, word_hashes
 from .leader_join import link_classes, mixed_lists
 from .session import written
 
-#: Sets whose blocks a task has sent already (more copies of them send none), and pairs that it has sent.
+#: Sets whose blocks a task has sent already (more copies of them send none), and rows of groups that it has sent.
 SEEN = 200_000
-#: Ranges of a sketch (the upper 6 bits of a hash), and items of one block of a list.
-SKETCH, BLOCK_ITEMS = 64, 256
-MOST_RANGES = 1 << 14
+#: Fewest and most ranges of a sketch, items of one block of a list or group, and shingles of one block of a group.
+SKETCH, MOST_RANGES, BLOCK_ITEMS, BLOCK_SHINGLES = 64, 1 << 14, 256, 1 << 18
+#: Distinct shingles of two blocks that are compared at a time.
+COLUMNS = 1 << 12
 
 
 def shingle_set(text: str | None, width: int = 3) -> np.ndarray:
@@ -52,21 +56,37 @@ def set_id(items: np.ndarray) -> int:
     return int(np.array([total], U).view(np.int64)[0])
 
 
+def _ranges(items: np.ndarray, each: int) -> np.ndarray:
+    """How many shingles of a set fall into each range of a hash; the ranges are a power of two that leaves less than ``each`` to one, as far as MOST_RANGES allows."""
+    ranges = min(MOST_RANGES, max(SKETCH, 1 << (len(items) // each).bit_length()))
+    place = mix(items + U(0x7F4A7C15)) >> U(65 - int(ranges).bit_length())
+    return np.bincount(place.astype(np.int64), minlength=ranges)
+
+
 def sketch(items: np.ndarray) -> np.ndarray:
-    """How many shingles of a set fall into each of SKETCH ranges of a hash.
+    """Counts of a set's shingles by ranges of a hash, about six to each, as half bytes.
 
     The counts of two sets differ by no more in total than the sets do, so a pair
-    whose sketches differ by too much cannot link.
+    whose sketches differ by too much cannot link. That holds for counts that stop
+    at 15, and for sums of neighbours, which make a sketch as short as another.
     """
-    counts = np.bincount((mix(items + U(0x7F4A7C15)) >> U(58)).astype(np.int64), minlength=SKETCH)
-    return np.minimum(counts, 65535).astype(np.uint16)
+    counts = np.minimum(_ranges(items, 8), 15).astype(np.uint8)
+    return counts[0::2] | counts[1::2] << 4
 
 
 def fine_sketch(items: np.ndarray) -> np.ndarray:
-    """Like ``sketch``, with as many ranges as leave about four shingles to each (MOST_RANGES at most)."""
-    ranges = min(MOST_RANGES, max(SKETCH, 1 << max(0, len(items) // 4).bit_length()))
-    place = mix(items + U(0x7F4A7C15)) >> U(65 - int(ranges).bit_length())
-    return np.minimum(np.bincount(place.astype(np.int64), minlength=ranges), 255).astype(np.uint8)
+    """Like ``sketch``, with two to four shingles to a range, as whole bytes."""
+    return np.minimum(_ranges(items, 4), 255).astype(np.uint8)
+
+
+def opened(packed: bytes | memoryview) -> np.ndarray:
+    """Counts of a sketch of half bytes."""
+    halves = np.frombuffer(packed, np.uint8)
+    return np.stack([halves & 15, halves >> 4], 1).reshape(-1).astype(np.int32)
+
+
+def folded(counts: np.ndarray, ranges: int) -> np.ndarray:
+    return counts.reshape(ranges, -1).sum(1)
 
 
 def difference_limit(total: int, percent: int) -> int:
@@ -199,33 +219,16 @@ def _differences(percent: int):
     return run
 
 
-def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.int32)
-
-
-def _near_enough(percent: int):
-    """Pairs (a, b) of (a, b, size, size, sketch, sketch) that may link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = _sketches(batch.column(4)), _sketches(batch.column(5))
-            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            keep = pa.array((100 + percent) * np.abs(x - y).sum(1) <= (100 - percent) * total)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    return run
-
-
-def _nearer(percent: int):
-    """Pairs (a, b) of (a, b, size, size, fine sketch, fine sketch) that may link; the finer one is folded to the other's ranges."""
+def _allowed(percent: int, counts):
+    """Pairs (a, b) of (a, b, size, size, sketch, sketch) that may link; the longer sketch is folded to the other's ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for m, n, u, v in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
-                x, y = (np.frombuffer(w.as_buffer(), np.uint8).astype(np.int32) for w in (u, v))
+                x, y = counts(u.as_buffer()), counts(v.as_buffer())
                 ranges = min(len(x), len(y))
-                gap = np.abs(x.reshape(ranges, -1).sum(1) - y.reshape(ranges, -1).sum(1)).sum()
+                gap = np.abs(folded(x, ranges) - folded(y, ranges)).sum()
                 keep.append(bool((100 + percent) * gap <= (100 - percent) * (m + n)))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
@@ -233,81 +236,187 @@ def _nearer(percent: int):
     return run
 
 
-def _list_pairs(percent: int):
-    """Pairs of different classes that may link, from the lists' blocks, which come one after the other.
+def _near_enough(percent: int):
+    return _allowed(percent, opened)
+
+
+def _nearer(percent: int):
+    return _allowed(percent, lambda data: np.frombuffer(data, np.uint8).astype(np.int32))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """The columns of the rows of one (first, second, third column) after the other; a run's rows come together."""
+    held, at = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        heads = [batch.column(i).to_numpy() for i in range(3)]
+        new = np.flatnonzero((heads[0][1:] != heads[0][:-1]) | (heads[1][1:] != heads[1][:-1]) | (heads[2][1:] != heads[2][:-1])) + 1
+        rest = [batch.column(i).to_pylist() for i in range(3, batch.num_columns)]
+        for start, end in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
+            name = tuple(int(h[start]) for h in heads)
+            part = [column[start:end] for column in rest]
+            if name == at:
+                for column, more in zip(held, part):
+                    column.extend(more)
+                continue
+            if at is not None:
+                yield [at, *held]
+            held, at = part, name
+    if at is not None:
+        yield [at, *held]
+
+
+def _sides(at: tuple, side: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of what is compared with each other: the two sides, or inside one block (p = q) all with all."""
+    if at[1] == at[2]:
+        return np.arange(len(side)), np.arange(len(side))
+    side = np.array(side)
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
 
-    A row is (key, p, q, side, item, kind, class, size, sketch). Inside one block
-    (p = q) all pairs count, else those of the two sides.
+def _list_groups(percent: int):
+    """(a, b): an item and the smallest one of its group, from the lists' blocks, which come one after the other.
+
+    A row is (key, p, q, side, item, kind, class, size, sketch). Items of
+    different classes whose sketches allow a link are in one group, and what such
+    pairs connect is too: a list gives one row less than it has items at most.
     """
 
-    def pairs(rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-        p, q, side, item, kind, group, size, counts = rows
-        if p[0] == q[0]:
-            left = right = np.arange(len(item))
-        else:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        able = (group[left][:, None] != group[right][None]) & (kind[left][:, None] + kind[right][None] < 2)
-        if p[0] == q[0]:
-            able = np.triu(able, 1)
-        i, j = np.nonzero(able)
-        i, j = left[i], right[j]
-        near = np.ones(len(i), bool)
-        for at in range(0, len(i), 1 << 16):
-            u, v = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            near[at : at + (1 << 16)] = (100 + percent) * np.abs(counts[u] - counts[v]).sum(1) <= (100 - percent) * (size[u] + size[v])
-        i, j = i[near], j[near]
-        return np.minimum(item[i], item[j]), np.maximum(item[i], item[j])
+    def join(at, side, item, kind, group, size, packed) -> Iterator[tuple[int, int]]:
+        if len(item) == 2 and (group[0] == group[1] or kind[0] + kind[1] > 1 or 100 * min(size) < percent * max(size)):
+            return  # most lists are as short as this
+        left, right = _sides(at, side)
+        kind, group, size = np.array(kind), np.array(group, np.int64), np.array(size, np.int64)
+        counts = [opened(v) for v in packed]
+        ranges = min(map(len, counts))
+        counts = np.stack([folded(v, ranges) for v in counts])
+        name = np.arange(len(item))
+        for i in left:
+            # What is in the group of i already needs no answer.
+            j = right[(name[right] != name[i]) & (group[right] != group[i]) & (kind[right] + kind[i] < 2)]
+            j = j[100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i])]
+            if at[1] == at[2]:
+                j = j[j > i]
+            for some in np.array_split(j, -(-len(j) * ranges // (1 << 20)) or 1):
+                gap = np.abs(counts[some] - counts[i]).sum(1)
+                near = some[(100 + percent) * gap <= (100 - percent) * (size[some] + size[i])]
+                if len(near):
+                    name[np.isin(name, name[near])] = name[i]
+        order = np.argsort(name, kind="stable")
+        edges = np.flatnonzero(np.diff(name[order])) + 1
+        for members in np.split(order, edges):
+            if len(members) > 1:
+                items = sorted(item[k] for k in members)
+                yield from ((items[0], other) for other in items[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sent = None, OrderedDict()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column(i).to_numpy() for i in range(8)] + [_sketches(batch.column(8))]
-            now = now if held is None else [np.concatenate([h, n]) for h, n in zip(held, now)]
-            key, p, q = now[:3]
-            edges = np.flatnonzero((key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1
-            starts = np.concatenate([[0], edges])
-            held = [v[starts[-1] :] for v in now]
-            yield found([pairs(tuple(v[a:b] for v in now[1:])) for a, b in zip(starts[:-1], starts[1:])], sent)
-        if held is not None:
-            yield found([pairs(tuple(held[1:]))], sent)
-
-    def found(parts: list, sent: OrderedDict) -> pa.RecordBatch:
-        fresh = []
-        for x, y in parts:
-            for pair in zip(x.tolist(), y.tolist()):
+        sent, fresh = OrderedDict(), []
+
+        def rows() -> pa.RecordBatch:
+            a, b = zip(*fresh) if fresh else ((), ())
+            fresh.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for block in _runs(batches):
+            for pair in join(*block):
                 if pair not in sent:
                     sent[pair] = None
                     fresh.append(pair)
-        while len(sent) > SEEN:
-            sent.popitem(last=False)
-        a, b = zip(*fresh) if fresh else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    if len(sent) > SEEN:
+                        sent.popitem(last=False)
+            if len(fresh) > 10_000:
+                yield rows()
+        yield rows()
+
+    return run
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one side has in common with each of the other."""
+    sizes = [len(s) for s in (*left, *right)]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    flat = np.concatenate([*left, *right])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.append(True, flat[1:] != flat[:-1])
+    # Shingles of one set only are no one's common ones.
+    kept = ~(new & np.append(new[1:], True))
+    column, owner = np.cumsum(new[kept]) - 1, owner[kept]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        table = np.zeros((len(sizes), COLUMNS), np.float32)
+        table[owner[a:b], column[a:b] - start] = 1
+        out += (table[: len(left)] @ table[len(left) :].T).astype(np.int64)
+    return out
+
+
+def _group_links(percent: int):
+    """Links (a, b) that join different classes, from the groups' blocks, which come one after the other.
+
+    A row is (group, p, q, side, item, class, shingles). All pairs of a block are
+    compared on their whole sets; of the links only those are rows that join
+    classes which earlier ones of the same block have not joined.
+    """
+
+    def links(at, side, item, group, packed) -> Iterator[tuple[int, int]]:
+        left, right = _sides(at, side)
+        sets = [np.frombuffer(v, U) for v in packed]
+        size = np.array([len(s) for s in sets], np.int64)
+        if not len(left) or not len(right):
+            return
+        common = _shared([sets[i] for i in left], [sets[j] for j in right])
+        union = size[left][:, None] + size[right][None] - common
+        linked = 100 * common >= percent * union
+        name = np.unique(np.array(group, np.int64), return_inverse=True)[1]
+        for row, i in enumerate(left):
+            for j in right[linked[row]]:
+                if name[i] != name[j]:
+                    name[name == name[j]] = name[i]
+                    yield min(item[i], item[j]), max(item[i], item[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _runs(batches):
+            if pairs := list(links(*block)):
+                a, b = zip(*pairs)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _across_lists(slim: DataFrame, measure, percent: int, name: str):
-    """Links between items of different classes that share a list.
+def _dealt(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """The rows with (p, q, side): once for each pair of blocks that a row's block is in.
 
-    A list is dealt into blocks, blocks are compared in pairs inside tasks, and
-    what leaves a task are the pairs whose sketches allow a link.
+    Items of a key are unique, so blocks by hash are even; ``blocks`` has (key, blocks).
+    """
+    dealt = rows.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block, other = F.col("block"), F.col("other")
+    return dealt.select(*rows.columns, F.least(block, other).alias("p"), F.greatest(block, other).alias("q"), (block > other).cast("int").alias("side"))
+
+
+def _across_lists(slim: DataFrame, whole, percent: int, name: str):
+    """Links between items of different classes that share a list; ``whole`` takes items and returns their sets.
+
+    Lists and groups are dealt into blocks, and blocks are compared in pairs inside tasks.
     """
 
     def run(near: DataFrame, first: DataFrame, stars: DataFrame) -> DataFrame:
         rows = mixed_lists(near, first, name)
         sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ITEMS).cast("int").alias("blocks"))
-        # Items of a list are unique, so blocks by hash are even; a row goes to one group for each block of its list.
-        dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("item"), "blocks").cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-            (F.col("block") > F.col("other")).cast("int").alias("side"), "item", F.col("kind").cast("int").alias("kind"), "class",
-        )
-        full = dealt.join(slim, "item").select("key", "p", "q", "side", "item", "kind", "class", "size", "sketch")
+        full = _dealt(rows, "key", sizes).join(slim, "item")
+        full = full.select("key", "p", "q", "side", "item", F.col("kind").cast("int").alias("kind"), "class", "size", "sketch")
         full = full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-        pairs = written(full.mapInArrow(_list_pairs(percent), "a long, b long").distinct(), f"{name}-across")
-        return measure(pairs, pruned=True).filter("linked").select("a", "b")
+        found = written(full.mapInArrow(_list_groups(percent), "a long, b long").distinct(), f"{name}-allowed")
+        groups = components(found).select(F.col("node").alias("item"), F.col("component").alias("group"))
+        groups = groups.join(slim.select("item", "size"), "item").join(first.withColumnRenamed("node", "item"), "item", "left")
+        groups = written(groups.select("group", "item", "size", F.coalesce("component", "item").alias("class")), f"{name}-groups")
+        most = F.greatest(F.count("*") / BLOCK_ITEMS, F.sum("size") / BLOCK_SHINGLES)
+        sizes = groups.groupBy("group").agg(F.ceil(most).cast("int").alias("blocks"))
+        sets = _dealt(groups, "group", sizes).join(whole(groups.select("item")), "item")
+        sets = sets.select("group", "p", "q", "side", "item", "class", "shingles").repartition("group", "p", "q").sortWithinPartitions("group", "p", "q")
+        return sets.mapInArrow(_group_links(percent), "a long, b long")
 
     return run
 
@@ -334,28 +443,27 @@ def jaccard_join(df: DataFrame, percent: int = 90, width: int = 3, text: str = "
     copies = written(usable.groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine")), "copies")
     slim = copies.select("item", "size", "sketch")
 
-    def measure(pairs: DataFrame, pruned: bool = False) -> DataFrame:
+    def whole(wanted: DataFrame) -> DataFrame:
+        """(item, shingles) of the wanted items."""
+        chosen = written(copies.select("item", "doc_id").join(wanted, "item"), "wanted")
+        texts = named.join(chosen.hint("shuffle_hash"), "doc_id").select("item", "text")
+        return written(texts.mapInArrow(_set_bytes(width), "item long, shingles binary"), "shingles")
+
+    def measure(pairs: DataFrame) -> DataFrame:
         """Pairs that may link, compared on their whole sets; sketches rule out most others before any set is sent."""
-        def allowed(pairs: DataFrame, name: str, test) -> DataFrame:
+        for name, test in (("sketch", _near_enough), ("fine", _nearer)):
             x = copies.select(F.col("item").alias("a"), F.col("size").alias("m"), F.col(name).alias("x"))
             y = copies.select(F.col("item").alias("b"), F.col("size").alias("n"), F.col(name).alias("y"))
             both = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y")
-            return written(both.mapInArrow(test(percent), "a long, b long"), f"{name}-pairs")
-
-        if not pruned:
-            pairs = allowed(pairs, "sketch", _near_enough)
-        pairs = allowed(pairs, "fine", _nearer)
-        wanted = pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item"))).distinct()
-        chosen = written(copies.select("item", "doc_id").join(wanted, "item"), "wanted")
-        texts = named.join(chosen.hint("shuffle_hash"), "doc_id").select("item", "text")
-        sets = written(texts.mapInArrow(_set_bytes(width), "item long, shingles binary"), "shingles")
+            pairs = written(both.mapInArrow(test(percent), "a long, b long"), f"{name}-pairs")
+        sets = whole(pairs.select(F.col("a").alias("item")).unionByName(pairs.select(F.col("b").alias("item"))).distinct())
         x = sets.select(F.col("item").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("item").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(
             _differences(percent), "a long, b long, distance double, linked boolean, span double"
         )
 
-    classes = link_classes(lists, measure, _across_lists(slim, measure, percent, "jaccard"), "jaccard")
+    classes = link_classes(lists, measure, _across_lists(slim, whole, percent, "jaccard"), "jaccard")
     classes = written(classes.select(F.col("node").alias("item"), F.col("component").alias("class")), "classes")
     copies = copies.select("item", "doc_id")
     members = copies.join(classes, "item")

@@ -255,3 +255,51 @@ def test_seen_sets_are_bounded(monkeypatch, spark, documents):
     monkeypatch.setattr(shingle_join, "SEEN", 1)
     rows = [(i, f"same words in this text {i % 3} " * 3) for i in range(12)]
     check_jaccard(rows, [tuple(r) for r in jaccard_join(documents(rows)).collect()])
+
+
+def list_rows(sets, key=7):
+    """Rows of one list whose items are all of different classes."""
+    import pyarrow as pa
+
+    n = len(sets)
+    columns = [[key] * n, [0] * n, [0] * n, [0] * n, list(range(n)), [0] * n, list(range(n)), [len(s) for s in sets], [shingle_join.sketch(s).tobytes() for s in sets]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "p", "q", "side", "item", "kind", "class", "size", "sketch"])
+
+
+def near_the_threshold(n, rng, size=300):
+    """Sets of which some pairs link at 80 percent and others just do not."""
+    base = np.unique(rng.randint(0, 2**62, size).astype(np.uint64))
+    out = []
+    for _ in range(n):
+        keep = rng.random(len(base)) >= rng.choice([0.02, 0.1, 0.12])
+        out.append(np.unique(np.concatenate([base[keep], rng.randint(0, 2**62, int((~keep).sum())).astype(np.uint64)])))
+    return out
+
+
+def test_a_list_gives_fewer_rows_than_it_has_items():
+    rng = np.random.RandomState(5)
+    near, far = near_the_threshold(200, rng), [np.unique(rng.randint(0, 2**62, 4000).astype(np.uint64)) for _ in range(50)]
+    rows, none = (
+        [tuple(r.values()) for b in shingle_join._list_groups(80)(iter([list_rows(s)])) for r in b.to_pylist()] for s in (near, far)
+    )
+    assert 150 < len(rows) < 200
+    # Large sets that have nothing in common are told apart where the lists are.
+    assert not none
+    root = union_find(range(200), rows)
+    sets = [set(s.tolist()) for s in near]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            assert root[i] == root[j] or 100 * len(a & b) < 80 * len(a | b)
+
+
+def test_a_group_gives_links_that_join_what_all_links_join(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(shingle_join, "COLUMNS", 37)
+    sets = near_the_threshold(60, np.random.RandomState(6))
+    linked = [(i, j) for i in range(60) for j in range(i) if 100 * len(c := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(c))]
+    rows = [(1, p, q, int(q != p and i % 2 == 1), i, i, sets[i].tobytes()) for p, q in ((0, 0), (0, 1), (1, 1)) for i in range(60) if p != q or i % 2 == p]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[at : at + 25])], list("gpqsics")) for at in range(0, len(rows), 25)]
+    got = [tuple(r.values()) for b in shingle_join._group_links(80)(iter(batches)) for r in b.to_pylist()]
+    assert set(got) <= {(j, i) for i, j in linked} and len(got) < 120 < len(linked)
+    assert union_find(range(60), got) == union_find(range(60), linked)
