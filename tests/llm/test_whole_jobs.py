@@ -101,3 +101,25 @@ def test_clean_takes_a_benchmark_of_any_size(spark, documents):
     kept = decontamination.clean(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(7, "clean"), (7, "clean"), (8, None), (9, ""), (None, "no id")], key=str)
+
+
+# --- the pipeline's tables -----------------------------------------------------------------------
+
+
+def test_a_stage_leaves_nothing_but_its_rows(spark, sf, monkeypatch):
+    """What a stage writes on the way, and what it has read, goes when its rows are written."""
+    import os
+
+    import corpus_pipeline
+    from statutelake.llm.session import table, written
+    from statutelake.operators.lineage import shared_folder
+
+    def stage(spark, docs, sf_dir):
+        return written(docs.filter("doc_id % 2 = 0"), "way")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", stage), ("second", stage), ("third", stage)])
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    got = corpus_pipeline.run(spark, sf)
+    assert [n.split("-")[1] for n in set(os.listdir(folder)) - before] == ["third"]
+    assert got.count() == table(spark, sf, "documents").filter("doc_id % 2 = 0").count() > 0
