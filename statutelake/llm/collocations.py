@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from .hashing import U, mix, word_spans
 from .session import columns, written
 
-#: Followers a task gathers before it sends stripes, and distinct words before it sends their counts.
-PAIRS, WORDS = 1 << 21, 200_000
+#: Followers a task gathers before it sends stripes, distinct words before it sends their counts, and rows it sends at a time.
+PAIRS, WORDS, ROWS = 1 << 19, 100_000, 1 << 14
 #: Parts of the stripe of a prefix that holds at least a share of 1 / HOT of all words.
 SLOTS, HOT = 64, 1000
 MOST_BITS = 26
@@ -74,6 +75,12 @@ def word_sequence(text: bytes, seed: np.uint64) -> tuple[np.ndarray, np.ndarray,
     return seq, places, starts, ends
 
 
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of ROWS rows, so that neither side of the pipe between Python and Spark holds a whole large batch twice."""
+    for at in range(0, max(batch.num_rows, 1), ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
     for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
         yield lang, text.as_buffer().to_pybytes()
@@ -85,14 +92,18 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, int] = {}
 
     def flush():
-        rows = [(lang, word, gram, n) for gram, (n, lang, word) in counts.items()] + [(lang, "", 0, n) for lang, n in totals.items()]
-        counts.clear()
-        totals.clear()
-        lang, word, gram, n = zip(*rows) if rows else ((), (), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(word, pa.string()), pa.array(np.array(gram, U).view(np.int64)), pa.array(n, pa.int64())],
+        grams = np.zeros(len(counts) + len(totals), U)
+        grams[: len(counts)] = np.fromiter(counts, U, len(counts))
+        out = pa.RecordBatch.from_arrays(
+            [
+                pa.array(chain((v[1] for v in counts.values()), totals), pa.string()), pa.array(chain((v[2] for v in counts.values()), repeat("", len(totals))), pa.string()),
+                pa.array(grams.view(np.int64)), pa.array(chain((v[0] for v in counts.values()), totals.values()), pa.int64()),
+            ],
             ["lang", "word", "gram", "n"],
         )
+        counts.clear()
+        totals.clear()
+        return sliced(out)
 
     for batch in batches:
         for lang, text in _texts(batch):
@@ -104,9 +115,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     counts[gram][0] += n
                 else:
                     counts[gram] = [n, lang, text[starts[i] : ends[i]].translate(_LOWER).decode("utf-8", "replace")]
-            if len(counts) > WORDS:
-                yield flush()
-    yield flush()
+                if len(counts) > WORDS:
+                    yield from flush()
+    yield from flush()
 
 
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -172,6 +183,13 @@ def _fill_stripes(sequences, length: int, frequent, hot: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, heavy = Bits(frequent.value), np.array(hot, np.int64).view(U)
         prefixes, followers, held = [], [], 0
+
+        def stripes() -> pa.RecordBatch:
+            prefix, follower = np.concatenate(prefixes), np.concatenate(followers)
+            prefixes.clear()
+            followers.clear()
+            return _stripe_batch(prefix, follower, heavy)
+
         for batch in batches:
             for seq in sequences(batch):
                 grams = phrases(seq, length) if len(seq) > length else seq[:0]
@@ -184,11 +202,11 @@ def _fill_stripes(sequences, length: int, frequent, hot: list[int]):
                 prefixes.append(grams[at])
                 followers.append(after)
                 held += len(at)
-            if held >= PAIRS:
-                yield _stripe_batch(np.concatenate(prefixes), np.concatenate(followers), heavy)
-                prefixes, followers, held = [], [], 0
+                if held >= PAIRS:
+                    yield from sliced(stripes())
+                    held = 0
         if held:
-            yield _stripe_batch(np.concatenate(prefixes), np.concatenate(followers), heavy)
+            yield from sliced(stripes())
 
     return run
 

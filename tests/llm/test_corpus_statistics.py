@@ -291,3 +291,28 @@ def test_op12_equals_the_plain_version(spark, sf):
     rows = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     got = sorted(tuple(r) for r in QUERIES["op12_order_minhash"](spark, sf).collect())
     assert got == sorted(plain_edits(in_key_order(rows)))
+
+
+def test_tasks_send_stripes_and_counts_in_small_batches(monkeypatch):
+    """What a task gathers is bounded inside a batch of texts too, and goes out in slices."""
+    import numpy as np
+    import pyarrow as pa
+
+    from statutelake.llm import collocations as c
+
+    class Frequent:
+        value = np.full(1 << 10, -1, np.int64).tobytes()
+
+    texts = [" ".join(f"t{i}w{j}" for j in range(50)) for i in range(6)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 6), pa.array(texts)], ["lang", "text"])
+    monkeypatch.setattr(c, "PAIRS", 40)
+    monkeypatch.setattr(c, "WORDS", 40)
+    monkeypatch.setattr(c, "ROWS", 16)
+    stripes = list(c._fill_stripes(c._text_sequences, 1, Frequent, [])(iter([batch])))
+    assert max(b.num_rows for b in stripes) <= 16
+    assert sum(sum(map(sum, b.column(3).to_pylist())) for b in stripes) == 300
+    words = list(c._count_words(iter([batch])))
+    assert max(b.num_rows for b in words) <= 16
+    rows = [r for b in words for r in b.to_pylist()]
+    assert sum(r["n"] for r in rows if r["gram"]) == sum(r["n"] for r in rows if not r["gram"]) == 300
+    assert {r["word"] for r in rows if r["gram"]} == {w for t in texts for w in t.split()}
