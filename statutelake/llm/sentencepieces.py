@@ -8,7 +8,9 @@ of spaces; words between cuts are worked out once each.
 A giant text is split into chunks of fixed length, wherever they end. A piece
 may reach over a chunk's end by 0 to L - 1 characters (L: the longest piece);
 that overhang is the state at the boundary. A chunk gives a matrix of the best
-sums from each entry state to each exit state. Products of these matrices in
+sums from each entry state to each exit state. Where a chunk has cuts, every path
+takes the same pieces between the first and the last one, so their sum would raise
+all entries alike and change no choice: it is left out. Products of these matrices in
 the (max, +) algebra are associative: they are combined block by block, and a
 scan over the blocks gives the best sums at every boundary. With them each chunk
 finds, on its own, from which entry each exit comes; these tables are composed
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,8 @@ from .wordcache import WordCache
 #: Characters of a chunk, and chunks of a block. A text has at most 2^31 characters, so at most 256 blocks.
 CHUNK, BLOCK = 1 << 15, 256
 SPACE = "▁"
+#: Characters of short texts that are encoded at a time, and of a word that is worked out together with others.
+SLICE, WORD = 1 << 20, 64
 #: Worse than any sum of scores; two of them still fit a 64-bit integer.
 NEVER = -(1 << 61)
 SCALE = 1 << 10
@@ -72,8 +77,96 @@ class Model:
             self.longest, low = max(self.longest, len(piece)), min(low, value)
         #: An unknown character costs more than any piece.
         self.penalty = low - 10 * scale
+        self._number_trie()
         self.words = WordCache(self._words, limit)
-        self.scores = WordCache(self._scores, limit)
+
+    def _number_trie(self) -> None:
+        """The trie as arrays: nodes and characters get numbers, steps are sorted by node and character."""
+        marks, steps, hits, nodes = {}, [], [None], [self.trie]
+        for number, node in enumerate(nodes):  # grows on the way
+            for char, child in node.items():
+                if char:
+                    steps.append((number, marks.setdefault(char, len(marks) + 1), len(nodes)))
+                    nodes.append(child)
+                    hits.append(child.get(""))
+        self.marks = np.zeros(0x110000, np.int16 if len(marks) < 1 << 15 else np.int32)
+        for char, mark in marks.items():
+            self.marks[ord(char)] = mark
+        self.width = len(marks) + 1
+        table = np.array(sorted((a * self.width + m, b) for a, m, b in steps), np.int64).reshape(-1, 2)
+        self.steps, self.targets = table[:, 0].copy(), table[:, 1].astype(np.int32)
+        self.first = np.zeros(self.width, np.int32)
+        self.first[self.steps[: len(self.trie)]] = self.targets[: len(self.trie)]
+        self.value = np.array([NEVER if h is None else h[0] for h in hits], np.int64)
+        self.piece = np.array([-1 if h is None else h[1] for h in hits], np.int32)
+        self.byte_ids = np.array([self.bytes.get(b, self.unknown) for b in range(256)], np.int32)
+
+    def _edges(self, marks: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, value, id) of every piece in the words; a character that is no piece gives one of id -1."""
+        out, at = [], np.flatnonzero(~ends)
+        node = self.first[marks[at]]
+        single = self.piece[node] >= 0
+        none = at[~single]
+        out.append((none, np.ones(len(none), np.int64), np.full(len(none), self.penalty, np.int64), np.full(len(none), -1, np.int32)))
+        length = 1
+        at, node = at[node > 0], node[node > 0]
+        while len(at):
+            hit = self.piece[node] >= 0
+            out.append((at[hit], np.full(int(hit.sum()), length, np.int64), self.value[node[hit]], self.piece[node[hit]]))
+            # Words end in a character without a number, which no step has.
+            step = node.astype(np.int64) * self.width + marks[at + length]
+            place = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            on = (self.steps[place] == step) & (marks[at + length] > 0)
+            at, node, length = at[on], self.targets[place[on]], length + 1
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def paths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and the ids, one text after the other: ``forward`` and ``trace`` for many words at once.
+
+        All words take a step of one character together; ends are reached from
+        early starts first, so of equal sums the longest last piece wins here too.
+        """
+        codes = np.frombuffer(("\0".join(texts) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        stops = np.cumsum(sizes) - 1
+        begins = stops - sizes + 1
+        ends = np.zeros(len(codes), bool)
+        ends[stops] = True
+        marks = self.marks[codes]
+        marks[stops] = 0
+        start, length, value, piece = self._edges(marks, ends)
+        depth = (start - np.repeat(begins, sizes)[start]).astype(np.int32 if sizes.max() > 1 << 15 else np.int16)
+        order = np.argsort(depth, kind="stable")
+        bounds = np.searchsorted(depth[order], np.arange(int(sizes.max()), dtype=depth.dtype))
+        best = np.full(len(codes), NEVER, np.int64)
+        best[begins] = 0
+        edge = np.zeros(len(codes), np.int64)
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            some = order[a:b]
+            sums, goal = best[start[some]] + value[some], start[some] + length[some]
+            better = sums > best[goal]
+            best[goal[better]], edge[goal[better]] = sums[better], some[better]
+        on_path, now, begin = np.zeros(len(codes), bool), stops, begins
+        while len(now):
+            on = now > begin
+            now, begin = now[on], begin[on]
+            on_path[now] = True
+            now = start[edge[now]]
+        places = np.flatnonzero(on_path)
+        ids = piece[edge[places]]
+        counts = np.ones(len(ids), np.int64)
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown) and self.bytes:
+            chars = codes[places[unknown] - 1]
+            data = chars.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            counts[unknown] = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+            low = np.repeat(ids < 0, counts)
+            ids = np.repeat(ids, counts)
+            ids[low] = self.byte_ids[np.frombuffer(data, np.uint8)]
+        else:
+            ids[unknown] = self.unknown
+        before = np.concatenate([[0], np.cumsum(counts)])
+        return np.diff(before[np.searchsorted(places, np.append(begins, len(codes)))]), ids
 
     def forward(self, text: str, starts: dict[int, int], stop: int) -> tuple[list[int], list[int], list[int]]:
         """Best sum, start and id of the last piece for each end position.
@@ -123,22 +216,22 @@ class Model:
             end = start
         return ids[::-1], end
 
-    def _words(self, words: list[str]) -> list[list[int]]:
-        out = []
-        for word in words:
-            text = SPACE + word.replace(" ", SPACE)
-            _, back, last = self.forward(text, {0: 0}, len(text))
-            out.append(self.trace(text, back, last, len(text))[0])
-        return out
-
-    def _scores(self, words: list[str]) -> list[list[int]]:
-        """The sum of each word in two 31-bit halves: the memo holds 32-bit numbers."""
-        out = []
-        for word in words:
-            text = SPACE + word.replace(" ", SPACE)
-            value = -self.forward(text, {0: 0}, len(text))[0][-1]
-            out.append([value >> 31, value & 0x7FFFFFFF])
-        return out
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [SPACE + word.replace(" ", SPACE) for word in words]
+        if max(map(len, texts)) <= WORD:
+            return self.paths(texts)
+        # The steps of the longest word count for all: long ones go one by one.
+        short = [i for i, text in enumerate(texts) if len(text) <= WORD]
+        rows: list = [None] * len(texts)
+        if short:
+            sizes, flat = self.paths([texts[i] for i in short])
+            for i, ids in zip(short, np.split(flat, np.cumsum(sizes)[:-1])):
+                rows[i] = ids
+        for i, text in enumerate(texts):
+            if rows[i] is None:
+                _, back, last = self.forward(text, {0: 0}, len(text))
+                rows[i] = np.array(self.trace(text, back, last, len(text))[0], np.int32)
+        return np.fromiter(map(len, rows), np.int64, len(rows)), np.concatenate(rows)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of the pieces, a space for each word mark; the leading space stays."""
@@ -187,9 +280,19 @@ def _encode_short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            texts = [_plain(v) for v in batch.column(1).to_pylist()]
-            ids = [model.words.gather(words_of(t)) if t else np.zeros(0, np.int32) for t in texts]
-            yield _id_batch(batch.column(0), pa.array(np.zeros(len(ids), np.int32)), ids)
+            lengths = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE)) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows] if batch.num_rows else []):
+                part = batch.slice(a, b - a)
+                words, counts = [], []
+                for value in part.column(1):
+                    text = _plain(value.as_py())
+                    more = words_of(text) if text else []
+                    words += more
+                    counts.append(len(more))
+                rows = model.words.rows(words)
+                ids = [model.words.gather_rows(r) for r in np.split(rows, np.cumsum(counts)[:-1])]
+                yield _id_batch(part.column(0), pa.array(np.zeros(len(ids), np.int32)), ids)
 
     return run
 
@@ -242,7 +345,7 @@ class Chunk:
         return out + [NEVER] * (states - len(out))
 
     def matrix(self) -> np.ndarray:
-        """Best sums from each entry state to each exit state; NEVER where no path leads.
+        """Best sums from each entry state to each exit state, without what all paths share; NEVER where no path leads.
 
         An entry behind the end of a short last chunk stays as it is.
         """
@@ -250,12 +353,11 @@ class Chunk:
         out = np.full((states, states), NEVER, np.int64)
         if len(self.cuts) and self.cuts[0] < self.stop:
             first, final = int(self.cuts[0]), int(self.cuts[-1])
-            middle = self._middle(first, final)
             tail = np.array(self._exits(self.model.forward(self.text[final:], {0: 0}, self.stop - final)[0], final, states), np.int64)
             for i in range(min(first + 1, states)):
                 head = 0 if i == first else self.model.forward(self.text[i:first], {0: 0}, first - i)[0][-1]
                 if head > NEVER:
-                    out[i] = np.where(tail > NEVER, tail + head + middle, NEVER)
+                    out[i] = np.where(tail > NEVER, tail + head, NEVER)
             return out
         for i in range(states):
             if i >= self.stop:
@@ -266,14 +368,6 @@ class Chunk:
             out[i] = self._exits(best, i, states)
         return out
 
-    def _middle(self, first: int, final: int) -> int:
-        if first == final:
-            return 0
-        memo = self.model.scores
-        rows = memo.rows(words_of(self.text[first + 1 : final].replace(SPACE, " ")))
-        at = memo.starts[rows]
-        return -((int(memo.flat[at].astype(np.int64).sum()) << 31) + int(memo.flat[at + 1].astype(np.int64).sum()))
-
     def entry(self, sums: np.ndarray) -> np.ndarray:
         """The entry state that each exit state comes from, given the best sums at the entry; -1 where none does."""
         states = self.model.longest

@@ -30,11 +30,12 @@ def pieces(text: str, limit: int = PIECE) -> Iterator[str]:
 class WordCache:
     """Maps words to rows of integers, at most ``limit`` words at a time.
 
-    ``work`` gets a list of unknown words and returns a list of integer lists.
+    ``work`` gets a list of unknown words and returns a list of integer lists, or
+    two arrays: the rows' lengths and their integers one after the other.
     The memo is emptied when it is full; that only costs time.
     """
 
-    def __init__(self, work: Callable[[list[str]], list], limit: int = 500_000):
+    def __init__(self, work: Callable[[list[str]], list | tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
         self.work, self.limit = work, limit
         self.clear()
 
@@ -47,16 +48,16 @@ class WordCache:
 
     def learn(self, words: list[str]) -> None:
         rows = self.work(words)
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        sizes = rows[0] if isinstance(rows, tuple) else np.fromiter(map(len, rows), np.int64, len(rows))
         first, total = len(self.index), int(sizes.sum())
-        while first + len(rows) > len(self.starts):
+        while first + len(sizes) > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         ends = np.cumsum(sizes)
-        self.lengths[first : first + len(rows)] = sizes
-        self.starts[first : first + len(rows)] = self.used + ends - sizes
-        self.flat[self.used : self.used + total] = np.fromiter((i for row in rows for i in row), np.int32, total)
+        self.lengths[first : first + len(sizes)] = sizes
+        self.starts[first : first + len(sizes)] = self.used + ends - sizes
+        self.flat[self.used : self.used + total] = rows[1] if isinstance(rows, tuple) else np.fromiter((i for row in rows for i in row), np.int32, total)
         self.used += total
         self.index.update(zip(words, range(first, first + len(words))))
 

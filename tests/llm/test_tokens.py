@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from statutelake.llm import sentencepieces, token_counts, token_files
@@ -202,3 +203,35 @@ def test_nulls_and_repeated_rows_are_encoded_each(spark, documents):
     assert len(rows[3][0]) == 2 and None in rows
     digest = sentencepieces.digest(sentencepieces.encode(documents([(1, "a  b\n")]), PIECES), PIECES).first()
     assert (digest["text_bytes"], digest["text_crc32"]) == (5, zlib.crc32(b"a  b\n"))
+
+
+ODD = ["", "a", " lead", "  two", "trail  ", "x\0y\n", "漢字😀é", "\ud800", "<0x41>", "international" * 9, "aaaaaaaaab" * 5, "...." * 20, "é" * 64, "é" * 63]
+
+
+def test_words_of_a_slice_are_worked_out_together(model, monkeypatch):
+    one = []
+    for word in ODD:
+        text = "▁" + word.replace(" ", "▁")
+        _, back, last = model.forward(text, {0: 0}, len(text))
+        one.append(model.trace(text, back, last, len(text))[0])
+    sizes, flat = model._words(ODD)
+    assert [r.tolist() for r in np.split(flat, np.cumsum(sizes)[:-1])] == one
+    # Short words need no search of their own, and a slice of texts asks the memo's work once.
+    model.words.clear()
+    calls = []
+    monkeypatch.setattr(model, "forward", None)
+    monkeypatch.setattr(model.words, "work", lambda words: calls.append(len(words)) or model._words(words))
+    batch = pa.record_batch([pa.array(["1", "2", "3", "4"]), pa.array(["one two", None, "", "two  three"])], ["row", "text"])
+    ids = [r.as_py() for b in sentencepieces._encode_short(PIECES)([batch]) for r in b.column(2)]
+    model.words.clear()
+    assert calls == [3] and ids[1:3] == [[], []] and model.decode(ids[0]) == b" one two" and model.decode(ids[3]) == b" two  three"
+
+
+def test_slices_of_a_batch_keep_rows_and_order(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "SLICE", 10)
+    texts = ["one", None, "two words here", "", "x", "y" * 30, "z"]
+    batch = pa.record_batch([pa.array([str(i) for i in range(7)]), pa.array(texts)], ["row", "text"])
+    out = list(sentencepieces._encode_short(PIECES)([batch, batch.slice(0, 0)]))
+    assert [r for b in out for r in b.column(0).to_pylist()] == [str(i) for i in range(7)]
+    monkeypatch.setattr(sentencepieces, "SLICE", 1 << 20)
+    assert [r for b in out for r in b.column(2).to_pylist()] == [r for b in sentencepieces._encode_short(PIECES)([batch]) for r in b.column(2).to_pylist()]
