@@ -51,7 +51,7 @@ _cache: dict[str, "Model"] = {}
 class Model:
     """Pieces and whole-number scores of a model file, with a memo of words."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -499,17 +499,20 @@ def _on_chunks(path: str, chunk: int, work: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(path)
         for batch in batches:
-            rows = batch.to_pylist()
-            chunks = [Chunk(model, r["text"], chunk) for r in rows]
+            values = []
+            for i in range(batch.num_rows):  # one chunk in memory at a time
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                part = Chunk(model, row["text"], chunk)
+                if work == "matrix":
+                    values.append(part.matrix().tobytes())
+                elif work == "entries":
+                    values.append(part.entry(np.frombuffer(row["sums"], np.int64)).tobytes())
+                else:
+                    values.append(part.ids(np.frombuffer(row["sums"], np.int64), row["entry"], row["leave"]))
             if work == "ids":
-                ids = [c.ids(np.frombuffer(r["sums"], np.int64), r["entry"], r["leave"]) for c, r in zip(chunks, rows)]
-                yield _id_batch(batch.column("row"), batch.column("part"), ids)
-                continue
-            if work == "matrix":
-                values = [c.matrix().tobytes() for c in chunks]
+                yield _id_batch(batch.column("row"), batch.column("part"), values)
             else:
-                values = [c.entry(np.frombuffer(r["sums"], np.int64)).tobytes() for c, r in zip(chunks, rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), pa.array(values, pa.binary())], ["row", "part", work])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), pa.array(values, pa.binary())], ["row", "part", work])
 
     return run
 

@@ -235,3 +235,24 @@ def test_slices_of_a_batch_keep_rows_and_order(monkeypatch):
     assert [r for b in out for r in b.column(0).to_pylist()] == [str(i) for i in range(7)]
     monkeypatch.setattr(sentencepieces, "SLICE", 1 << 20)
     assert [r for b in out for r in b.column(2).to_pylist()] == [r for b in sentencepieces._encode_short(PIECES)([batch]) for r in b.column(2).to_pylist()]
+
+
+def test_chunks_are_held_one_at_a_time_and_fill_no_memo(model, monkeypatch):
+    import weakref
+
+    alive, most = weakref.WeakSet(), []
+
+    class Watched(sentencepieces.Chunk):
+        def __init__(self, *args):
+            super().__init__(*args)
+            alive.add(self)
+            most.append(len(alive))
+
+    monkeypatch.setattr(sentencepieces, "Chunk", Watched)
+    model.words.clear()
+    rows = [("r", i, "x" + "some words of a chunk " * 4) for i in range(20)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], ["row", "part", "text"])
+    out = list(sentencepieces._on_chunks(PIECES, 60, "matrix")([batch]))
+    assert sum(b.num_rows for b in out) == 20 and max(most) <= 2
+    # The words between the first and the last cut are worked out once, for the ids.
+    assert not model.words.index and not hasattr(model, "scores") and model.words.limit <= 200_000
