@@ -8,11 +8,13 @@ so the text itself is never shuffled: what moves are the short citation rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statutelake.functions.numerals import NUMERAL, NUMERAL_ANY, numeral_to_int
-from statutelake.operators.lineage import materialize
+from statutelake.operators.lineage import materialize, step
 from statutelake.operators.ordered import top_per_group
 
 PRC = "中华人民共和国"
@@ -169,32 +171,30 @@ def title_ids(laws: DataFrame) -> DataFrame:
 LOCATION = ["article_num", "chapter_num", "section_num", "part_num"]
 
 
-def article_index(articles: DataFrame, laws: DataFrame) -> DataFrame:
-    """(key, label) to location, for full and short titles; Q6 order.
+def located_labels(articles: DataFrame) -> DataFrame:
+    """(law_id, label) to the location of its first article in reading order.
 
-    The preferred version wins, then the lowest id and reading order. Each
-    coordinate is its own ``min_by`` over a number: the buffers are then of
+    Each coordinate is its own ``min_by`` over a number: the buffers are then of
     fixed width and the aggregation hashes, combines on the map side and never
     sorts.
     """
-    titled = laws.select(F.col("id").alias("law_id"), "title").join(title_ids(laws), "title", "left")
     label = F.regexp_extract("article_number", f"^(第{NUMERAL}条)", 1)
-    located = (
+    return (
         articles.select("law_id", "global_order", "article_num", "chapter_num", "section_num", "part_num", label.alias("label"))
         .filter(F.col("label") != "")
         .groupBy("law_id", "label")
         .agg(*[F.min_by(c, "global_order").alias(f"loc_{c}") for c in LOCATION])
     )
-    keyed = located.join(titled, "law_id").select(
+
+
+def title_keys(laws: DataFrame) -> DataFrame:
+    """(key, law_id, newest): the full and short title of every law; ``newest`` marks the preferred version of its title."""
+    titled = laws.select(F.col("id").alias("law_id"), "title").join(title_ids(laws), "title", "left")
+    return titled.select(
         F.explode(F.array_distinct(F.array(F.trim("title"), strip_prc(F.col("title"))))).alias("key"),
-        "label",
-        # The preferred version first, then the lowest id: no two laws share a rank.
-        F.when(F.col("law_id") == F.col("preferred_id"), F.col("law_id")).otherwise(F.col("law_id") + F.lit(1 << 62)).alias("rank"),
-        F.col("law_id").alias("loc_law_id"),
-        *[f"loc_{c}" for c in LOCATION],
+        "law_id",
+        F.coalesce(F.col("law_id") == F.col("preferred_id"), F.lit(False)).alias("newest"),
     )
-    names = ["loc_law_id", *[f"loc_{c}" for c in LOCATION]]
-    return keyed.groupBy("key", "label").agg(*[F.min_by(n, "rank").alias(n) for n in names])
 
 
 def title_variants(title: Column) -> Column:
@@ -208,37 +208,74 @@ def title_variants(title: Column) -> Column:
     return F.array_distinct(F.array(*forms))
 
 
-def resolve_citations(cites: DataFrame, index: DataFrame) -> DataFrame:
-    """Add the location of the first title variant that has the article.
+#: Marks targets whose title is taken as it is: that of the citing law.
+OWN_TITLE = "-"
+
+
+def law_contexts(law_title: Column) -> Column:
+    """Which of the fixed contexts occur in a law's title, as text; hardly any law has one."""
+    return F.concat_ws("", *[F.when(law_title.contains(context), f"{i};") for i, (context, _, _) in enumerate(CONTEXT_ALIASES)])
 
-    ``alias_title`` (may be NULL) is tried after ``to_title``; if it is used, or
-    nothing is found, it becomes the cited title. Distinct targets are resolved
-    once, so a target that is cited a billion times is one row in the join.
+
+def _alias_of(contexts: Column, short: Column) -> Column:
+    """``context_alias`` from the contexts of a title in place of the title."""
+    alias = F.lit(None).cast("string")
+    for i, (_, name, full) in reversed(list(enumerate(CONTEXT_ALIASES))):
+        alias = F.when((short == name) & contexts.contains(f"{i};"), full).otherwise(alias)
+    return alias
+
+
+def resolve_targets(targets: DataFrame, shorts: DataFrame, articles: DataFrame, laws: DataFrame) -> DataFrame:
+    """The location of each distinct target (to_title, contexts, to_label); Q6 order.
+
+    Spellings are worked out once for each title, and only the laws that have a
+    spelling meet the articles, by numbers. Of the laws that have the article
+    the first spelling wins, then the preferred version, then the lowest id. An
+    alias is tried after the title; if it is used, or nothing is found, it
+    becomes the cited title (``final_title``).
     """
-    keyed = cites.withColumn("alias_key", F.coalesce("alias_title", F.lit("")))
-    targets = keyed.select("to_title", "alias_key", "to_label").distinct()
+    numbered = materialize(targets.withColumn("target", F.monotonically_increasing_id()))
+    named = numbered.select("to_title", "contexts").distinct().withColumn("short", strip_prc(F.col("to_title")))
+    named = named.join(shorts.withColumnRenamed("full", "short_full"), "short", "left")
+    title = F.when(F.col("contexts") == OWN_TITLE, F.col("to_title")).otherwise(F.coalesce("short_full", "to_title"))
+    named = named.select("to_title", "contexts", title.alias("title")).withColumn(
+        "alias_title", F.coalesce(_alias_of(F.col("contexts"), F.col("title")), F.lit(""))
+    )
+    named = materialize(named)
     variants = F.concat(
-        F.transform(title_variants(F.col("to_title")), lambda v: F.struct(F.lit(0).alias("step"), v.alias("key"))),
+        F.transform(title_variants(F.col("title")), lambda v: F.struct(F.lit(0).alias("step"), v.alias("key"))),
         F.when(
-            F.col("alias_key") != "",
-            F.transform(title_variants(F.col("alias_key")), lambda v: F.struct(F.lit(1).alias("step"), v.alias("key"))),
+            F.col("alias_title") != "",
+            F.transform(title_variants(F.col("alias_title")), lambda v: F.struct(F.lit(1).alias("step"), v.alias("key"))),
         ).otherwise(F.expr("array()").cast("array<struct<step:int,key:string>>")),
     )
-    tried = targets.select(
-        "to_title", "alias_key", F.col("to_label").alias("label"), F.posexplode(variants).alias("pos", "variant")
-    ).select("to_title", "alias_key", "label", "pos", F.col("variant.step").alias("step"), F.col("variant.key").alias("key"))
-    names = ["loc_law_id", "loc_article_num", "loc_chapter_num", "loc_section_num", "loc_part_num"]
+    tried = named.select("to_title", "contexts", F.posexplode(variants).alias("pos", "variant")).select(
+        "to_title", "contexts", "pos", F.col("variant.step").alias("step"), F.col("variant.key").alias("key")
+    )
+    laws_of = tried.join(title_keys(laws), "key").groupBy("to_title", "contexts", "law_id").agg(
+        F.min("pos").alias("pos"), F.min("step").alias("step"), F.max("newest").alias("newest")
+    )
+    # One number for the order of the candidates: spelling, newest version, id.
+    level = (F.col("pos") * 2 + F.when(F.col("newest"), 0).otherwise(1)).cast("decimal(4,0)")
+    place = level * F.lit(Decimal(1 << 64)) + F.col("law_id").cast("decimal(20,0)")
+    candidates = numbered.join(laws_of.withColumn("place", place), ["to_title", "contexts"]).select(
+        "target", F.col("to_label").alias("label"), "law_id", "step", "place"
+    )
+    names = ["loc_law_id", *[f"loc_{c}" for c in LOCATION]]
     hits = (
-        tried.join(index, ["key", "label"])
-        .groupBy("to_title", "alias_key", F.col("label").alias("to_label"))
-        .agg(*[F.min_by(n, "pos").alias(n) for n in ["step", *names]])
-    )
-    joined = keyed.join(hits, ["to_title", "alias_key", "to_label"], "left")
-    use_alias = (F.col("alias_key") != "") & (F.coalesce("step", F.lit(1)) == 1)
-    return joined.select(
-        *[c for c in cites.columns if c not in ("to_title", "alias_title")],
-        F.when(use_alias, F.col("alias_key")).otherwise(F.col("to_title")).alias("to_title"),
-        F.col("loc_law_id").isNotNull().alias("resolved"),
+        candidates.join(located_labels(articles), ["law_id", "label"])
+        .withColumnRenamed("law_id", "loc_law_id")
+        .groupBy("target")
+        .agg(*[F.min_by(n, "place").alias(n) for n in ["step", *names]])
+    )
+    by_title = named.join(title_ids(laws).withColumnRenamed("preferred_id", "title_id"), "title", "left").join(
+        title_ids(laws).select(F.col("title").alias("alias_title"), F.col("preferred_id").alias("alias_id")), "alias_title", "left"
+    )
+    use_alias = (F.col("alias_title") != "") & (F.coalesce("step", F.lit(1)) == 1)
+    return numbered.join(hits, "target", "left").join(by_title, ["to_title", "contexts"]).select(
+        "to_title", "contexts", "to_label",
+        F.when(use_alias, F.col("alias_title")).otherwise(F.col("title")).alias("final_title"),
+        F.when(use_alias, F.col("alias_id")).otherwise(F.col("title_id")).alias("preferred_id"),
         *names,
     )
 
@@ -288,14 +325,14 @@ def _split_match(found: DataFrame, keys: list[str], pattern: str, title_group: i
     )
 
 
-def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
-    """The three passes over articles of current laws, before resolution.
+def _passes(articles: DataFrame, laws: DataFrame, shorts: DataFrame) -> DataFrame:
+    """The three passes over articles of current laws, with titles as they are cited.
 
     The matches are written once: the text is scanned a single time although
-    the later steps use them several times.
+    the later steps use them several times. A bare title is known under its full
+    one, a law's own title is taken as it is (``contexts`` says so).
     """
     keys = SOURCE_KEYS
-    shorts = materialize(short_titles(laws))
     lengths = title_lengths(shorts)
     current = laws.filter(F.col("is_current") == 1).select(F.col("id").alias("law_id"), F.col("title").alias("law_title"))
     found = materialize(citation_matches(articles, keys, max(lengths, default=0)))
@@ -303,17 +340,9 @@ def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
     bare = match_short(found.filter("pass = 2"), keys, shorts, lengths).withColumn("pass", F.lit(2))
     own = _split_match(found.filter("pass = 3"), keys, SELF, None, 1).withColumn("pass", F.lit(3))
     cites = quoted.unionByName(bare).unionByName(own).join(current, "law_id")
-    cites = cites.withColumn("short", strip_prc(F.col("to_title"))).join(
-        shorts.withColumnRenamed("full", "short_full"), "short", "left"
-    )
     amendment = F.col("law_title").startswith(CRIMINAL_LAW + "修正案")
-    title = (
-        F.when(F.col("pass") == 3, F.when(amendment, CRIMINAL_LAW).otherwise(F.col("law_title")))
-        .otherwise(F.coalesce("short_full", "to_title"))
-    )
-    out = cites.withColumn("new_title", title)
-    same = (F.col("new_title") == F.col("law_title")) | (F.col("new_title") == strip_prc(F.col("law_title")))
-    return out.filter((F.col("pass") != 2) | ~same).select(
+    same = (F.col("to_title") == F.col("law_title")) | (F.col("to_title") == strip_prc(F.col("law_title")))
+    return cites.filter((F.col("pass") != 2) | ~same).select(
         *keys,
         "law_title",
         "pass",
@@ -321,23 +350,43 @@ def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
         "raw_text",
         "to_label",
         F.when((F.col("pass") == 3) & ~amendment, "self_ref").otherwise("cross_law").alias("ref_type"),
-        F.col("new_title").alias("to_title"),
-        F.when(F.col("pass") == 1, context_alias(F.col("law_title"), F.col("new_title"))).alias("alias_title"),
+        F.when(F.col("pass") == 3, F.when(amendment, CRIMINAL_LAW).otherwise(F.col("law_title"))).otherwise(F.col("to_title")).alias("to_title"),
+        F.when(F.col("pass") == 1, law_contexts(F.col("law_title"))).when(F.col("pass") == 2, "").otherwise(OWN_TITLE).alias("contexts"),
+    )
+
+
+def citation_passes(articles: DataFrame, laws: DataFrame) -> DataFrame:
+    """The three passes over articles of current laws, before resolution."""
+    shorts = materialize(short_titles(laws))
+    cites = _passes(articles, laws, shorts).withColumn("short", F.when(F.col("pass") == 1, strip_prc(F.col("to_title"))))
+    cites = cites.join(shorts.withColumnRenamed("full", "short_full"), "short", "left").withColumn("to_title", F.coalesce("short_full", "to_title"))
+    return cites.select(
+        *SOURCE_KEYS, "law_title", "pass", "pos", "raw_text", "to_label", "ref_type", "to_title",
+        F.when(F.col("pass") == 1, context_alias(F.col("law_title"), F.col("to_title"))).alias("alias_title"),
     )
 
 
 def resolved_citations(articles: DataFrame, laws: DataFrame) -> DataFrame:
     """Passes, resolution, first occurrence per article, target law id.
 
-    The citations are written once: their distinct targets and they themselves are used.
+    The citations are written once: their distinct targets and they themselves
+    are used. Distinct targets are resolved once, so a target that is cited a
+    billion times is one row in the joins. Citations are dealt out by the
+    article number that ``bind_edges`` joins them by, so they move once for both.
     """
-    cites = resolve_citations(materialize(citation_passes(articles, laws)), article_index(articles, laws))
-    first = first_citation(cites, SOURCE_KEYS, ["to_title", "to_label"], ["pass", "pos"])
-    ids = title_ids(laws).withColumnRenamed("title", "to_title")
+    shorts = materialize(short_titles(laws))
+    cites = step(lambda: _passes(articles, laws, shorts).drop("law_title"))
+    targets = step(lambda: resolve_targets(cites.select("to_title", "contexts", "to_label").distinct(), shorts, articles, laws))
+    joined = cites.join(targets, ["to_title", "contexts", "to_label"], "left")
     self_id = F.when(F.col("ref_type") == "self_ref", F.col("law_id"))
-    return first.join(ids, "to_title", "left").withColumn(
-        "to_law_id", F.coalesce("loc_law_id", self_id, "preferred_id", F.when(F.col("pass") == 3, F.col("law_id")))
+    found = joined.select(
+        *SOURCE_KEYS, "pass", "pos", "raw_text", "to_label", "ref_type",
+        F.col("final_title").alias("to_title"),
+        F.col("loc_law_id").isNotNull().alias("resolved"),
+        "loc_law_id", "loc_article_num", "loc_chapter_num", "loc_section_num", "loc_part_num",
+        F.coalesce("loc_law_id", self_id, "preferred_id", F.when(F.col("pass") == 3, F.col("law_id"))).alias("to_law_id"),
     )
+    return first_citation(found.repartition("law_id", "article_num"), SOURCE_KEYS, ["to_title", "to_label"], ["pass", "pos"])
 
 
 def article_nodes(articles: DataFrame) -> DataFrame:
@@ -430,12 +479,19 @@ def citation_tiers(laws: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def citation_degree(edges: DataFrame) -> DataFrame:
-    """Out- and in-degree and resolution rate per law."""
-    out = edges.groupBy(F.col("from_law_id").alias("law_id")).agg(
-        F.count("*").alias("cites"), F.count_if(F.col("resolved") == 1).alias("cites_resolved")
-    )
-    inn = edges.filter(F.col("to_law_id").isNotNull()).groupBy(F.col("to_law_id").alias("law_id")).agg(F.count("*").alias("cited"))
-    both = out.join(inn, "law_id", "full").na.fill(0, ["cites", "cites_resolved", "cited"])
+    """Out- and in-degree and resolution rate per law.
+
+    An edge gives one row for each of its ends, so the edges are worked out once.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def end(law: str, cites: Column, resolved: Column, cited: Column) -> Column:
+        return F.struct(F.col(law).alias("law_id"), cites.alias("cites"), resolved.alias("cites_resolved"), cited.alias("cited"))
+
+    source = end("from_law_id", one, F.when(F.col("resolved") == 1, one).otherwise(none), none)
+    target = end("to_law_id", none, none, one)
+    ends = edges.select(F.inline(F.array(source, target))).filter((F.col("cited") == 0) | F.col("law_id").isNotNull())
+    both = ends.groupBy("law_id").agg(*[F.sum(n).alias(n) for n in ("cites", "cites_resolved", "cited")])
     return both.withColumn("rate", F.when(F.col("cites") > 0, F.round(F.col("cites_resolved") * 100.0 / F.col("cites"), 1)))
 
 
