@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from statutelake.functions.text import repeal_number
 from statutelake.operators import relational as rel
-from statutelake.operators.ordered import top_per_group
+from statutelake.operators.ordered import large_keys, top_per_group
 from statutelake.operators.search import search_docs
 
 Findings = list[tuple[str, str, Column]]
@@ -104,9 +104,10 @@ def translation_style(articles: DataFrame) -> DataFrame:
 
 
 def structure_issues(nodes: DataFrame, span: int) -> DataFrame:
-    """L2: article numbering and empty headings in one issues table."""
-    gaps = rel.article_gaps(nodes.filter(F.col("type") == "article"), span).select("law_id", "global_order", F.col("issue").alias("rule"))
-    empty = rel.empty_headings(nodes, span).select("law_id", "global_order", F.lit("empty_heading").alias("rule"))
+    """L2: article numbering and empty headings in one issues table. No text is moved: a heading's is not asked for."""
+    large = large_keys(nodes, ["law_id"])
+    gaps = rel.gaps_of(nodes.filter(F.col("type") == "article"), span, large).select("law_id", "global_order", F.col("issue").alias("rule"))
+    empty = rel.empty_headings_of(nodes.withColumn("content", F.lit(None).cast("string")), span, large).select("law_id", "global_order", F.lit("empty_heading").alias("rule"))
     return gaps.unionByName(empty)
 
 
@@ -247,14 +248,13 @@ def edge_totals(deltas: DataFrame) -> DataFrame:
 
 
 def edge_integrity(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edge ends that are not in the node table."""
-    keys = nodes.select("law_id", "global_order")
+    """Edge ends that are not in the node table. Both ends of an edge come from one pass over the edges."""
 
-    def lost(law: str, order: str) -> DataFrame:
-        ends = edges.filter(F.col(order).isNotNull()).select(F.col(law).alias("law_id"), F.col(order).alias("global_order"), F.lit(order).alias("side"))
-        return ends.join(keys, ["law_id", "global_order"], "left_anti")
+    def end(law: str, order: str) -> Column:
+        return F.struct(F.col(law).alias("law_id"), F.col(order).alias("global_order"), F.lit(order).alias("side"))
 
-    return lost("from_law_id", "from_order").unionByName(lost("to_law_id", "to_order"))
+    ends = edges.select(F.inline(F.array(end("from_law_id", "from_order"), end("to_law_id", "to_order")))).filter(F.col("global_order").isNotNull())
+    return ends.join(nodes.select("law_id", "global_order"), ["law_id", "global_order"], "left_anti")
 
 
 def changed_ids(files: DataFrame, index: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statutelake.operators.ordered import lag_by_segment, rank_by_segment, top_per_group
+from statutelake.operators.ordered import lag_by_segment, large_keys, rank_by_segment, top_per_group
 
 STATUTE_DOMAINS = ["宪法相关法", "民法典", "民法商法", "行政法", "经济法", "社会法", "刑法", "诉讼与非诉讼程序法"]
 
@@ -325,9 +325,14 @@ def pending_documents(docs: DataFrame) -> DataFrame:
 
 def article_gaps(articles: DataFrame, span: int) -> DataFrame:
     """Duplicate, gap and reversal of article numbers under one parent."""
+    return gaps_of(articles, span, large_keys(articles, ["law_id"]))
+
+
+def gaps_of(articles: DataFrame, span: int, large: DataFrame | None) -> DataFrame:
+    """``article_gaps`` with the laws that are to be cut into segments."""
     parent = ["part_num", "chapter_num", "section_num"]
     rows = articles.filter(F.col("article_num") > 0).select("law_id", "global_order", "article_num", *parent)
-    prev = lag_by_segment(rows, ["law_id"], "global_order", ["article_num", *parent], span)
+    prev = lag_by_segment(rows, ["law_id"], "global_order", ["article_num", *parent], span, large=large)
     same_parent = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"prev_{c}")) for c in parent])
     now, was = F.col("article_num"), F.col("prev_article_num")
     issue = F.when(now == was, "duplicate").when(now > was + 1, "gap").when(now < was, "reversal")
@@ -340,8 +345,13 @@ def article_gaps(articles: DataFrame, span: int) -> DataFrame:
 
 def empty_headings(nodes: DataFrame, span: int) -> DataFrame:
     """Two headings of one type with no article between them."""
-    rows = nodes.select("law_id", "global_order", "type", "content")
-    prev = lag_by_segment(rows, ["law_id"], "global_order", ["type", "content"], span)
+    return empty_headings_of(nodes, span, large_keys(nodes, ["law_id"]))
+
+
+def empty_headings_of(nodes: DataFrame, span: int, large: DataFrame | None) -> DataFrame:
+    """``empty_headings`` with the laws that are to be cut into segments. Texts of articles are not moved."""
+    rows = nodes.select("law_id", "global_order", "type", F.when(F.col("type") != "article", F.col("content")).alias("content"))
+    prev = lag_by_segment(rows, ["law_id"], "global_order", ["type", "content"], span, large=large)
     return prev.filter((F.col("type") != "article") & (F.col("prev_type") == F.col("type"))).select(
         "law_id", "global_order", "type", F.col("prev_content").alias("heading"), F.col("content").alias("next_heading")
     )
@@ -352,7 +362,8 @@ def order_violations(nodes: DataFrame, span: int, start: int | None = None) -> D
 
     Rows are compared in document order ``doc_order``.
     """
-    prev = lag_by_segment(nodes.select("law_id", "doc_order", "global_order"), ["law_id"], "doc_order", ["global_order"], span)
+    rows = nodes.select("law_id", "doc_order", "global_order")
+    prev = lag_by_segment(rows, ["law_id"], "doc_order", ["global_order"], span, large=large_keys(rows, ["law_id"]))
     rises = F.col("global_order") > F.col("prev_global_order")
     bad = F.when(F.col("prev_global_order").isNull(), F.lit(False) if start is None else F.col("global_order") != start).otherwise(~rises)
     return prev.filter(bad)
