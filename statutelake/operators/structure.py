@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from statutelake.functions.numerals import numeral_to_int
 from statutelake.functions.text import clean_article, strip
 from statutelake.operators.lineage import materialize
-from statutelake.operators.ordered import rank_by_segment
+from statutelake.operators.ordered import LARGE, few, large_keys, rank_by_segment, with_segment
 
 # The heading grammar.
 GRAMMAR = {
@@ -57,9 +57,12 @@ def drop_toc_block(lines: DataFrame) -> DataFrame:
 
     If a part or chapter heading of the block repeats before the first article,
     the body starts there and the block goes; otherwise the block's chapter and
-    section lines are the real headings and stay.
+    section lines are the real headings and stay. Lines are only moved if more
+    documents than can be broadcast have such a table.
     """
-    toc = lines.filter(F.col("kind") == "toc").groupBy("doc").agg(F.min("line_no").alias("toc_line"))
+    toc = few(lines.filter(F.col("kind") == "toc").groupBy("doc").agg(F.min("line_no").alias("toc_line")))
+    if toc is None:
+        return lines
     after = lines.join(toc, "doc").filter(F.col("line_no") > F.col("toc_line"))
     heads = after.filter(F.col("kind").isin("part", "chapter", "numbered")).withColumn("title", heading_title(F.col("text")))
     first = heads.groupBy("doc", "kind", "title").agg(F.min("line_no").alias("first_line"))
@@ -68,7 +71,7 @@ def drop_toc_block(lines: DataFrame) -> DataFrame:
         .groupBy("doc").agg(F.min("line_no").alias("repeat_line"))
     )
     article = after.filter(F.col("kind") == "article").groupBy("doc").agg(F.min("line_no").alias("article_line"))
-    facts = toc.join(repeat, "doc", "left").join(article, "doc", "left")
+    facts = few(toc.join(repeat, "doc", "left").join(article, "doc", "left"))
     joined = lines.join(facts, "doc", "left")
     far = F.lit((1 << 63) - 1)
     repeated = F.coalesce("repeat_line", far) < F.coalesce("article_line", far)
@@ -78,43 +81,57 @@ def drop_toc_block(lines: DataFrame) -> DataFrame:
     return joined.filter(F.col("toc_line").isNull() | ~inside | heading).select(*lines.columns)
 
 
-def carry_by_segment(df: DataFrame, keys: list[str], order: str, cols: list[str], span: int) -> DataFrame:
+def carry_by_segment(df: DataFrame, keys: list[str], order: str, cols: list[str], span: int, large: DataFrame | None) -> DataFrame:
     """Last non-NULL value of each column up to the row, within keys.
 
-    Done per (key, segment); one row per segment carries values onward.
+    The ``large`` keys are handled per (key, segment); one row per segment
+    carries values onward.
     """
-    cut = df.withColumn("_seg", F.expr(f"`{order}` div {span}"))
+    kept = [c for c in df.columns if c not in cols]
+    if large is None:
+        here = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*kept, *[F.last(c, ignorenulls=True).over(here).alias(c) for c in cols])
+    cut = with_segment(df, keys, order, span, large)
     here = Window.partitionBy(*keys, "_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.select(*cut.columns, *[F.last(c, ignorenulls=True).over(here).alias(f"_in_{c}") for c in cols])
-    ends = cut.groupBy(*keys, "_seg").agg(*[F.max(c).alias(f"_end_{c}") for c in cols])
+    ends = cut.filter("_large").groupBy(*keys, "_seg").agg(*[F.max(c).alias(f"_end_{c}") for c in cols])
     past = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     base = ends.select(*keys, "_seg", *[F.last(f"_end_{c}", ignorenulls=True).over(past).alias(f"_from_{c}") for c in cols])
     joined = local.join(base, [*keys, "_seg"], "left")
-    kept = [c for c in df.columns if c not in cols]
     return joined.select(*kept, *[F.coalesce(f"_in_{c}", f"_from_{c}").alias(c) for c in cols])
 
 
-def segment(lines: DataFrame, span: int, grammar: dict[str, str] = GRAMMAR) -> DataFrame:
+def segment(lines: DataFrame, span: int, grammar: dict[str, str] = GRAMMAR, large_rows: int = LARGE) -> DataFrame:
     """G1: articles with the lines of their headings.
 
     Columns: doc, article_line, label, content, part_line, chapter_line,
     section_line. The carried values are line numbers, which rise, so the end
     of a segment is a plain maximum. The classified lines are written once: the
     steps that look for headings then scan only the few lines of their kind.
+    Texts move once, by document, both to carry and to gather; those of
+    documents of more than ``large_rows`` lines move once more.
     """
-    marked = materialize(classify_lines(lines, grammar))
-    facts = marked.groupBy("doc").agg(F.max((F.col("kind") == "article").cast("int")).alias("has_articles"))
-    numbered = (F.col("kind") == "numbered") & (F.col("has_articles") == 0)
-    body = drop_toc_headings(drop_toc_block(marked)).join(facts, "doc")
-    is_article = (F.col("kind") == "article") | numbered
+    marked = materialize(classify_lines(lines, grammar).filter(F.col("doc").isNotNull()))
+    large = large_keys(marked, ["doc"], large_rows)
+    block = drop_toc_block(marked)
+    heads = drop_toc_headings(block.filter(F.col("kind").isin("part", "chapter")))
+    body = block.filter(~F.col("kind").isin("part", "chapter", "numbered")).unionByName(heads).withColumn("labelled", F.col("kind") == "article")
+    # Numbered lines are articles in documents that have no others.
+    numbered = block.filter(F.col("kind") == "numbered")
+    asked = few(numbered.select("doc").distinct())
+    if asked is not None:
+        known = few(marked.filter(F.col("kind") == "article").join(asked, "doc", "left_semi").select("doc", F.lit("text").alias("as_kind")).distinct())
+        numbered = numbered.withColumn("as_kind", F.lit(None).cast("string")) if known is None else numbered.join(known, "doc", "left")
+        as_kind = F.coalesce("as_kind", F.lit("article"))
+        body = body.unionByName(numbered.withColumn("kind", as_kind).drop("as_kind").withColumn("labelled", F.lit(False)))
     at = {
         "part_line": F.when(F.col("kind") == "part", F.col("line_no")),
         "chapter_line": F.when(F.col("kind") == "chapter", F.col("line_no")),
         "section_line": F.when(F.col("kind") == "section", F.col("line_no")),
-        "article_line": F.when(is_article, F.col("line_no")),
+        "article_line": F.when(F.col("kind") == "article", F.col("line_no")),
     }
     carried = carry_by_segment(
-        body.select("doc", "line_no", "text", "has_articles", *[c.alias(n) for n, c in at.items()]), ["doc"], "line_no", list(at), span
+        body.select("doc", "line_no", "text", "labelled", *[c.alias(n) for n, c in at.items()]), ["doc"], "line_no", list(at), span, large
     )
     low = F.lit(-1)
     part, chapter = F.coalesce("part_line", low), F.coalesce("chapter_line", low)
@@ -125,10 +142,10 @@ def segment(lines: DataFrame, span: int, grammar: dict[str, str] = GRAMMAR) -> D
     grouped = valid.groupBy("doc", "article_line").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("rows"),
         F.max("part_line").alias("part_line"), F.max("c_line").alias("chapter_line"), F.max("s_line").alias("section_line"),
-        F.max("has_articles").alias("has_articles"),
+        F.max("labelled").alias("labelled"),
     )
     first = F.col("rows")[0]["text"]
-    label = F.when(F.col("has_articles") == 1, F.regexp_extract(first, ARTICLE_LABEL, 1)).otherwise(F.regexp_extract(first, "^(.*?、)", 1))
+    label = F.when(F.col("labelled"), F.regexp_extract(first, ARTICLE_LABEL, 1)).otherwise(F.regexp_extract(first, "^(.*?、)", 1))
     return grouped.select(
         "doc", "article_line", "part_line", "chapter_line", "section_line",
         strip(label).alias("label"),
