@@ -294,15 +294,27 @@ def page_links(edges: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def render_pages(nodes: DataFrame, laws: DataFrame, edges: DataFrame, places: DataFrame, most: int = 50) -> DataFrame:
-    """``render_laws`` for pages at their menu places: relative links and cited-by marks behind the articles."""
+    """``render_laws`` for pages at their menu places: relative links and cited-by marks behind the articles.
+
+    Marks find the places of their articles by numbers; with the links of a
+    place they are one row, so texts are shuffled once. ``edges`` are used
+    several times: they should be written.
+    """
     paths = law_paths(laws, places)
-    links = page_links(edges, paths).groupBy("law_id", "global_order").agg(F.array_sort(F.collect_list(F.struct("raw", "link"))).alias("links"))
-    marked = nodes.join(links, ["law_id", "global_order"], "left").join(
-        cited_by(edges, laws, paths, most).drop("n"), ["law_id", "article_num"], "left")
+    keys = ["law_id", "global_order"]
+    no_link, no_mark = F.lit(None).cast("struct<raw:string,link:string>"), F.lit(None).cast("struct<num:int,marks:string>")
+    links = page_links(edges, paths).select(*keys, F.struct("raw", "link").alias("link"), no_mark.alias("mark"))
+    numbers = nodes.filter((F.col("type") == "article") & F.col("article_num").isNotNull()).select(*keys, "article_num")
+    marks = numbers.join(cited_by(edges, laws, paths, most), ["law_id", "article_num"]).select(
+        *keys, no_link.alias("link"), F.struct(F.col("article_num").alias("num"), "marks").alias("mark"))
+    added = links.unionByName(marks).groupBy(*keys).agg(
+        F.array_sort(F.collect_list("link")).alias("links"), F.collect_list("mark").alias("all_marks"))
+    marked = nodes.join(added, keys, "left")
+    # Nodes of one place may have several numbers.
+    own = F.when(F.col("type") == "article", F.get(F.filter("all_marks", lambda m: m["num"] == F.col("article_num")), F.lit(0))["marks"])
     whole = tx.strip(F.col("content"))
-    text = F.when(F.col("links").isNotNull(), link_text(whole, F.col("links"))).otherwise(whole)
-    own = (F.col("type") == "article") & F.col("marks").isNotNull()
-    return law_header(laws).unionByName(node_markdown(marked.withColumn("content", F.when(own, F.concat(text, "marks")).otherwise(text))))
+    text = F.when(F.size("links") > 0, link_text(whole, F.col("links"))).otherwise(whole)
+    return law_header(laws).unionByName(node_markdown(marked.withColumn("content", F.when(own.isNotNull(), F.concat(text, own)).otherwise(text))))
 
 
 def merge_template(articles: DataFrame, translated: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from statutelake.operators import classify as cl
 from statutelake.operators import documents as doc
 from statutelake.operators import quality as qa
 from statutelake.operators import search as se
-from statutelake.operators.lineage import materialize
+from statutelake.operators.lineage import materialize, step
 from statutelake.plans import corpus
 from statutelake.plans.oracle import cte, sql, words
 from statutelake.plans.q_citations import edges
@@ -101,8 +101,8 @@ def _places(s, d):
 
 
 query("g19_cited_by", sql("SELECT law_id, article_num, n, marks FROM marks", "marks"))(
-    lambda s, d: doc.cited_by(edges(s, d), L(s, d), doc.law_paths(L(s, d), _places(s, d)), 20))
-query("g19_page_links", sql("SELECT * FROM links", "links"))(lambda s, d: doc.page_links(edges(s, d), doc.law_paths(L(s, d), _places(s, d))))
+    lambda s, d: doc.cited_by(step(lambda: edges(s, d)), L(s, d), doc.law_paths(L(s, d), _places(s, d)), 20))
+query("g19_page_links", sql("SELECT * FROM links", "links"))(lambda s, d: doc.page_links(step(lambda: edges(s, d)), doc.law_paths(L(s, d), _places(s, d))))
 
 
 @query("g19_render_pages", sql(
@@ -114,7 +114,7 @@ query("g19_page_links", sql("SELECT * FROM links", "links"))(lambda s, d: doc.pa
            FROM links k JOIN articles a USING (law_id, global_order) GROUP BY 1, 2)) t ON t.law_id = n.law_id AND t.global_order = n.global_order""", "nodes", "marks", "links", "articles"))
 def g19_pages(s, d):
     nodes = N(s, d).withColumn("content_en", F.lit(None).cast("string"))
-    found = materialize(edges(s, d))
+    found = step(lambda: edges(s, d))
     return doc.render_pages(nodes, L(s, d), found, _places(s, d), 20).filter("global_order >= 0")
 
 
@@ -133,7 +133,7 @@ query("g19_render_laws", sql(
           LEFT JOIN (SELECT law_id, global_order, chr(10) || chr(10) || '**' || CASE WHEN label <> '' THEN label ELSE 'Article ' || article_num END || '** ' ||
               replace(CASE WHEN label <> '' THEN trim(content_en[length(label) + 1:], ' ') ELSE content_en END, chr(10), '  ' || chr(10)) AS english
             FROM (SELECT *, regexp_extract(content_en, '^(Article \\d+)', 1) AS label FROM articles WHERE content_en IS NOT NULL)) e ON e.law_id = n.law_id AND e.global_order = n.global_order""",
-    "laws", "nodes", "plain_links", "articles"))(lambda s, d: doc.render_laws(N(s, d), L(s, d), edges(s, d)))
+    "laws", "nodes", "plain_links", "articles"))(lambda s, d: doc.render_laws(N(s, d), L(s, d), step(lambda: edges(s, d))))
 
 # Groups of law with domains of their own.
 _DOMAIN = f"({words(DOMAINS)})"
