@@ -6,6 +6,11 @@ out in double precision on the vectors themselves, so no link below the
 threshold comes out. A pair at cosine 0.98 meets in no table with a chance of
 (1 - 0.936^16)^40 = 4e-8, a nearer pair with less.
 
+Most pairs of a bucket are far apart. The first components of two unit vectors,
+with the lengths of what they leave out, give a bound that no cosine exceeds
+(Cauchy-Schwarz): pairs meet by these few numbers first, and whole vectors are
+only moved for pairs whose bound allows a link.
+
 Equal vectors are collapsed first. The links of a vector are then counted inside
 its component, block against block.
 """
@@ -17,7 +22,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +30,9 @@ from .leader_join import across_leaders, link_classes
 from .session import written
 
 BITS, TABLES, BLOCK = 16, 40, 512
+#: Components that the bound looks at, and what single precision and sums may be off.
+HEAD, SLACK = 16, 1e-5
+HEADS = [f"h{i}" for i in range(HEAD)]
 
 
 @lru_cache(maxsize=8)
@@ -36,18 +43,22 @@ def _planes(size: int, tables: int, bits: int) -> np.ndarray:
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, label, vector): vector is the unit vector's doubles, or null if it can link with nothing."""
     for batch in batches:
-        out = []
-        for value, label in zip(batch.column(2), batch.column(1)):
-            row = value.values
-            unit = None
-            if value.is_valid and label.is_valid and row is not None and len(row) and not row.null_count:
-                x = row.to_numpy(zero_copy_only=False).astype(np.float64)
-                top = np.abs(x).max()
-                if np.isfinite(x).all() and top > 0:
-                    x = x / top
-                    unit = (x / math.sqrt(float(x @ x))).tobytes()
-            out.append(unit)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "label", "vector"])
+        lists, labels = batch.column(2), batch.column(1)
+        values, offsets = lists.values, lists.offsets.to_numpy()
+        full = np.asarray(lists.is_valid()) & np.asarray(labels.is_valid()) & (np.diff(offsets) > 0)
+        # A missing component counts as one that is not finite.
+        numbers = values.to_numpy(zero_copy_only=False).astype(np.float64)
+        out: list[bytes | None] = [None] * batch.num_rows
+        for size in np.unique(np.diff(offsets)[full]):
+            at = np.flatnonzero(full & (np.diff(offsets) == size))
+            x = numbers[offsets[at][:, None] + np.arange(size)]
+            top = np.abs(x).max(axis=1)
+            usable = np.isfinite(x).all(axis=1) & (top > 0)
+            at, x = at[usable], x[usable] / top[usable, None]
+            x /= np.sqrt(np.array([float(row @ row) for row in x]))[:, None]
+            for i, row in zip(at.tolist(), x):
+                out[i] = row.tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), labels, pa.array(out, pa.binary())], ["id", "label", "vector"])
 
 
 def _buckets(tables: int, bits: int):
@@ -81,6 +92,30 @@ def _by_size(vectors: list) -> dict[int, list]:
     return found
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, label, the first components, rest): rest is the length of the others."""
+    for batch in batches:
+        heads, rest = np.zeros((batch.num_rows, HEAD)), np.zeros(batch.num_rows)
+        for i, value in enumerate(batch.column(1).to_pylist()):
+            x = np.frombuffer(value)
+            heads[i, : min(len(x), HEAD)] = x[:HEAD]
+            rest[i] = math.sqrt(float(x[HEAD:] @ x[HEAD:]))
+        columns = [pa.array(c) for c in heads.T.astype(np.float32)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns, pa.array(rest)], ["item", "label", *HEADS, "rest"])
+
+
+def may_link(pairs: DataFrame, heads: DataFrame, limit: float) -> DataFrame:
+    """The pairs (a, b) of one label whose angle can be ``limit``, or ``radius`` more where the pairs have one."""
+    x, y = (heads.select(F.col("item").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("label", *HEADS, "rest")]) for n in ("a", "b"))
+    bound = F.col("rest_a") * F.col("rest_b")
+    for h in HEADS:
+        bound = bound + F.col(f"{h}_a").cast("double") * F.col(f"{h}_b").cast("double")
+    angle = F.lit(limit + 1e-6) + (F.col("radius") if "radius" in pairs.columns else F.lit(0.0))
+    near = bound >= F.cos(F.least(angle, F.lit(math.pi))) - SLACK
+    # A bucket's key is a hash with the label in it; labels are compared all the same.
+    return pairs.join(x, "a").join(y, "b").filter((F.col("label_a") == F.col("label_b")) & near).select("a", "b")
+
+
 def _cosines(threshold: float):
     limit = math.acos(threshold)
 
@@ -100,23 +135,24 @@ def _cosines(threshold: float):
 
 
 def _count_links(threshold: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pa.Table) -> pa.Table:
         """Weighted links between the two blocks of one group (or inside the one block)."""
-        left, right = group[group.side == 0], group[group.side == 1]
-        same = right.empty
+        side = group.column("side").to_numpy()
+        items, weights = group.column("item").to_numpy(), group.column("weight").to_numpy().astype(np.int64)
+        vectors = group.column("vector").to_pylist()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        same = not len(right)
         right = left if same else right
         totals_left, totals_right = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
-        a, b = np.array([np.frombuffer(v) for v in left.vector]), np.array([np.frombuffer(v) for v in right.vector])
+        a, b = (np.array([np.frombuffer(vectors[i]) for i in at]) for at in (left, right))
         if len(a) and len(b):
             linked = a @ b.T >= threshold
             if same:
                 np.fill_diagonal(linked, False)
-            totals_left = linked @ right.weight.to_numpy(np.int64)
-            totals_right = linked.T @ left.weight.to_numpy(np.int64)
-        out = [pd.DataFrame({"item": left.item, "links": totals_left})]
-        if not same:
-            out.append(pd.DataFrame({"item": right.item, "links": totals_right}))
-        return pd.concat(out)
+            totals_left = linked @ weights[right]
+            totals_right = linked.T @ weights[left]
+        rows, totals = (left, totals_left) if same else (np.concatenate([left, right]), np.concatenate([totals_left, totals_right]))
+        return pa.table({"item": items[rows], "links": totals})
 
     return run
 
@@ -157,11 +193,13 @@ def embedding_links(
 
     slim = reps.select(F.col("node").alias("item"), "vector", "label")
 
+    heads = written(slim.select("item", "vector", "label").mapInArrow(
+        _heads, f"item long, label string, {', '.join(f'{h} float' for h in HEADS)}, rest double"), "heads")
+
     def measure(pairs: DataFrame) -> DataFrame:
-        x = slim.select(F.col("item").alias("a"), F.col("vector").alias("x"), F.col("label").alias("label_x"))
-        y = slim.select(F.col("item").alias("b"), F.col("vector").alias("y"), F.col("label").alias("label_y"))
-        # A bucket's key is a hash with the label in it; labels are compared all the same.
-        met = pairs.join(x, "a").join(y, "b").filter("label_x = label_y")
+        x = slim.select(F.col("item").alias("a"), F.col("vector").alias("x"))
+        y = slim.select(F.col("item").alias("b"), F.col("vector").alias("y"))
+        met = may_link(pairs, heads, math.acos(threshold)).join(x, "a").join(y, "b")
         return met.select("a", "b", "x", "y").mapInArrow(
             _cosines(threshold), "a long, b long, distance double, linked boolean, span double"
         )
@@ -180,8 +218,10 @@ def embedding_links(
         "class", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "item", "weight", "vector",
     )
+    # Groups are small and take long for their size: so many tasks, not as many as their bytes ask for.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (
-        dealt.groupBy("class", "p", "q").applyInPandas(_count_links(threshold), "item long, links long")
+        dealt.repartition(tasks, "class", "p", "q").groupBy("class", "p", "q").applyInArrow(_count_links(threshold), "item long, links long")
         .groupBy("item").agg(F.sum("links").alias("links"))
     )
     known = (

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .session import written
 
+#: Pairs (a, b) to their measures; pairs that can neither link nor, with a column ``radius``, come within that of it may be left out.
 Measure = Callable[[DataFrame], DataFrame]
 #: (lists, first classes, links to leaders) -> links (a, b) between classes.
 Across = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
@@ -105,7 +106,7 @@ def _across(mixed, stars, measure, prune, name) -> DataFrame:
     )
     met = written(met, f"{name}-heads")
     left = (
-        measure(met.select("a", "b"))
+        measure(met)
         .join(met, ["a", "b"])
         .filter(F.col("linked") | ~prune(F.col("distance"), F.col("radius"), F.col("span")))
     )

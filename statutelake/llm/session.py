@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statutelake.operators.lineage import new_path
+from statutelake.operators.lineage import new_path, write
 
 #: Rows and bytes of one Arrow batch: texts are long, so batches are short.
 BATCH = {
@@ -62,7 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    write(df, path)
     return spark.read.schema(schema).parquet(path)
 
 
